@@ -43,7 +43,8 @@ def workbook_bytes(sheets: Sequence[tuple[str, Sequence[Sequence[object]]]]) ->
             f'<workbook xmlns="{main}" xmlns:r="{relations}"><sheets>{"".join(tags)}</sheets></workbook>',
         )
         book.writestr("xl/_rels/workbook.xml.rels", f"<Relationships>{''.join(links)}</Relationships>")
-        items = "".join(f'<si><t xml:space="preserve">{escape(text)}</t></si>' for text in numbers)
+        texts = (escape(text, {"\r": "_x000D_"}) for text in numbers)
+        items = "".join(f'<si><t xml:space="preserve">{text}</t></si>' for text in texts)
         book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}">{items}</sst>')
     return out.getvalue()
 

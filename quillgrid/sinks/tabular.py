@@ -31,9 +31,9 @@ def tsv_lines(cells: DataFrame) -> DataFrame:
 
 def write_tsv_cells(cells: DataFrame, path: str, mode: str = "error") -> None:
     """One folder per sheet, named like the sheet's output; lines keep their order."""
-    lines = in_document_order(tsv_lines(cells), ["file", "sheet_no", "n"])
     output = output_name(file_name("file"), F.col("sheet_no"), ".tab")
-    lines.select(output.alias("output"), F.col("line").alias("value")).write.mode(mode).partitionBy("output").text(path)
+    lines = in_document_order(tsv_lines(cells).withColumn("output", output), ["file", "sheet_no", "n"], ["output"])
+    lines.select("output", F.col("line").alias("value")).write.mode(mode).partitionBy("output").text(path)
 
 
 def write_tsv(
@@ -42,8 +42,7 @@ def write_tsv(
 ) -> None:
     """Wide records as tab-separated text: nothing is quoted, ``0`` and empties
     stay as they are."""
-    known = [c for c in order if c in df.columns]
-    rows = (in_document_order(df, known) if known else df).drop(*drop)
+    rows = in_document_order(df, order).drop(*drop)
     # Every escape mechanism of the format is switched off.
     writer = rows.write.mode(mode).options(sep="\t", quote="", escapeQuotes="false", emptyValue="", nullValue="")
     writer.options(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path, header=header)

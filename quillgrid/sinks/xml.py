@@ -28,10 +28,20 @@ def _printable(df: DataFrame) -> DataFrame:
     return df.withColumns({c: strip_control(f"`{c}`") for c in text}) if text else df
 
 
-def in_document_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def in_document_order(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
     """Range partitions, each sorted: part files follow each other in document
-    order, and one large document is written by many tasks."""
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    order, and one large document is written by many tasks.
+
+    A partitioned write sorts by its partition columns once more, and so loses
+    the order of the rows, unless the rows are already sorted by these columns
+    and the columns cannot be NULL.
+    """
+    keys = [*partition_by, *(c for c in order if c in df.columns)]
+    if not keys:
+        return df
+    for c in partition_by:
+        df = df.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit("")))
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def write_records(
@@ -46,9 +56,7 @@ def write_records(
 ) -> None:
     """Write records as XML, one root per part file. NULLs are left out, columns
     that start with ``_`` become attributes, and rows keep document order."""
-    known = [c for c in order if c in df.columns]
-    rows = _printable(in_document_order(df, known) if known else df)
-    rows = rows.drop(*(c for c in drop if c not in partition_by))
+    rows = in_document_order(_printable(df), order, partition_by).drop(*(c for c in drop if c not in partition_by))
     writer = rows.write.mode(mode).option("rootTag", _root(ROOT_TAG, root or {})).option("rowTag", row_tag)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

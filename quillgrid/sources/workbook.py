@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -25,6 +26,9 @@ RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationsh
 CELL_SCHEMA = (
     "file string, sheet_no int, sheet_name string, row int, col int, n int, header string, value string, error string"
 )
+# Fixed value: how the format writes characters that XML cannot hold or would
+# normalise, such as the carriage return.
+ESCAPED = re.compile("_x([0-9A-Fa-f]{4})_")
 _FIELDS = [f.split()[0] for f in CELL_SCHEMA.split(", ")]
 BATCH_CELLS = 50_000
 
@@ -34,7 +38,8 @@ def _text(element) -> str:
     if element is None:
         return ""
     runs = [element] if element.find(MAIN + "t") is not None else element.findall(MAIN + "r")
-    return "".join(t.text or "" for run in runs for t in run.findall(MAIN + "t"))
+    text = "".join(t.text or "" for run in runs for t in run.findall(MAIN + "t"))
+    return ESCAPED.sub(lambda found: chr(int(found[1], 16)), text) if "_x" in text else text
 
 
 def _shared_strings(book: zipfile.ZipFile) -> list[str]:
