@@ -52,15 +52,13 @@ def unescape_xml(c: Column | str) -> Column:
 def normalise_entities(c: Column | str) -> Column:
     """Keep ``&gt; &lt;``, decode ``&apos; &quot;``, escape any other ``&``.
 
-    ``#`` holds the place of ``&`` meanwhile, so a literal ``#gt;``, ``#lt;``,
+    The rule lets ``#`` stand for ``&``, so a literal ``#gt;``, ``#lt;``,
     ``#apos;`` or ``#quot;`` is changed as well.
     """
     c = _col(c)
-    kept = ("gt;", "lt;")
-    decoded = (("apos;", "'"), ("quot;", '"'))
-    out = _swap(c, *((f"&{e}", f"#{e}") for e in (*kept, "apos;", "quot;")))
-    out = _swap(out, ("&", "&amp;"), *((f"#{e}", f"&{e}") for e in kept))
-    out = _swap(out, *((f"#{e}", char) for e, char in decoded))
+    out = F.regexp_replace(c, "&(?!(?:gt|lt|apos|quot);)", "&amp;")
+    marked = _swap(out, ("#gt;", "&gt;"), ("#lt;", "&lt;"), ("#apos;", "'"), ("#quot;", '"'))
+    out = _swap(F.when(c.contains("#"), marked).otherwise(out), ("&apos;", "'"), ("&quot;", '"'))
     return F.when(c.contains("&") | c.contains("#"), out).otherwise(c)
 
 
@@ -122,11 +120,12 @@ def fit_fields(line: Column | str, n: int, sep: str = "\t") -> Column:
 def normalise_header(c: Column | str) -> Column:
     """Make a header cell usable as a name. The order of the steps matters: the
     semicolon goes before the entities are looked for."""
-    out = F.regexp_replace(_col(c), "\\Af([0-9]) ", "f0$1_")
-    out = _swap(out, (" ", "_"), ("#", "_No_"))
-    out = F.translate(out, "'\";()/\\", "")
-    out = _swap(out, ("&apos;", ""), ("&apos", ""), ("&quot;", ""))
-    return F.regexp_replace(out, "__+", "_")
+    c = _col(c)
+    out = F.when(c.startswith("f"), F.regexp_replace(c, "\\Af([0-9]) ", "f0$1_")).otherwise(c)
+    out = F.regexp_replace(_swap(out, (" ", "_"), ("#", "_No_")), "['\";()/\\\\]", "")
+    plain = _swap(out, ("&apos;", ""), ("&apos", ""), ("&quot;", ""))
+    out = F.when(c.contains("&"), plain).otherwise(out)
+    return F.when(out.contains("__"), F.regexp_replace(out, "__+", "_")).otherwise(out)
 
 
 def element_name(header: Column | str, col_no: Column | str) -> Column:

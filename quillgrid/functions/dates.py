@@ -24,14 +24,33 @@ def leading_int(c: Column | str) -> Column:
 
 
 def zpad(c: Column | str, width: int) -> Column:
-    """A number with leading zeros. Longer numbers are never cut."""
-    return F.format_string(f"%0{width}d", _col(c).cast("bigint"))
+    """A number with leading zeros. Longer numbers are never cut.
+
+    ``format_string`` goes through a general formatter for every row, so only
+    negative numbers, whose sign stands left of the zeros, are left to it.
+    """
+    n = _col(c).cast("bigint")
+    digits = n.cast("string")
+    return (
+        F.when(n < 0, F.format_string(f"%0{width}d", n))
+        .when(F.length(digits) >= width, digits)
+        .otherwise(F.lpad(digits, width, "0"))
+    )
+
+
+def date_text(year: Column | str, month: Column | str, day: Column | str) -> Column:
+    """``YYYY-MM-DD`` of three numbers."""
+    return F.concat_ws("-", zpad(year, 4), zpad(month, 2), zpad(day, 2))
 
 
 def partial_date(year: Column | str, month: Column | str, day: Column | str) -> Column:
     """``YYYY-MM-DD`` with ``00`` for unknown parts, NULL unless the year counts
-    as a value."""
+    as a value.
+
+    ``fold_dates`` does the same for whole frames at less cost.
+    """
     year = _col(year)
+    # One formatter call, since padding would evaluate each number repeatedly.
     text = F.format_string("%04d-%02d-%02d", leading_int(year), leading_int(month), leading_int(day))
     return F.when(~year.isin(*FALSY), text)
 

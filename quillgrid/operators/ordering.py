@@ -37,9 +37,11 @@ def _with_block(df: DataFrame, order: list[str], block: str | None, width: int)
     return df.withColumn(_BLOCK, F.col(order[0]) - F.pmod(F.col(order[0]), F.lit(width)))
 
 
-def _join_blocks(df: DataFrame, blocks: DataFrame, group: list[str]) -> DataFrame:
+def _join_blocks(df: DataFrame, blocks: DataFrame, group: list[str], few: bool = False) -> DataFrame:
     """Bring the values of the block table back to the rows, on a key that no
-    single group can make hot."""
+    single group can make hot. ``few`` says that the caller has bounded the
+    number of blocks, so that the rows need not move."""
+    blocks = F.broadcast(blocks) if few else blocks
     return df.join(blocks.withColumn(_SEEN, F.lit(True)), [*group, _BLOCK], "left")
 
 
@@ -90,9 +92,7 @@ def number_splits(scan: DataFrame, file: str, block: str, pos: str, few_blocks:
     offsets = counts.select(
         file, _BLOCK, "_n", "_first", F.coalesce(F.sum("_n").over(_before([file])), F.lit(0)).alias("_offset")
     )
-    if few_blocks:
-        offsets = F.broadcast(offsets)
-    joined = _join_blocks(scan.withColumn(_BLOCK, F.col(block)), offsets, [file])
+    joined = _join_blocks(scan.withColumn(_BLOCK, F.col(block)), offsets, [file], few_blocks)
     within = F.col(pos) - F.col("_first")
     same_splits = F.col(_SEEN).isNotNull() & within.between(F.lit(0), F.col("_n") - 1)
     rn = F.when(same_splits, F.col("_offset") + within + 1).otherwise(
@@ -117,6 +117,25 @@ def drop_first(df: DataFrame, group: str | Sequence[str], order: str) -> DataFra
     return df.join(first_rows(df, group, order), [*group, order], "left_anti")
 
 
+def started(
+    df: DataFrame,
+    predicate: Column,
+    group: str | Sequence[str],
+    order: str,
+    block: str | None = None,
+    width: int = BLOCK_ROWS,
+    name: str = "started",
+    few_blocks: bool = False,
+) -> DataFrame:
+    """Add a flag that is false until ``predicate`` first holds in the group."""
+    group = _names(group)
+    cut = _with_block(df, [order], block, width)
+    hits = cut.groupBy(*group, _BLOCK).agg(F.min(F.when(predicate, F.col(order))).alias("_hit"))
+    starts = hits.select(*group, _BLOCK, F.min("_hit").over(Window.partitionBy(*group)).alias("_start"))
+    flag = _checked(F.coalesce(F.col(order) >= F.col("_start"), F.lit(False)))
+    return _join_blocks(cut, starts, group, few_blocks).select(*df.columns, flag.alias(name))
+
+
 def keep_from_first(
     df: DataFrame,
     predicate: Column,
@@ -124,17 +143,14 @@ def keep_from_first(
     order: str,
     block: str | None = None,
     width: int = BLOCK_ROWS,
+    few_blocks: bool = False,
 ) -> DataFrame:
     """Drop the rows of a group before the first one that fulfils ``predicate``.
 
     Later rows stay whether they fulfil it or not.
     """
-    group = _names(group)
-    cut = _with_block(df, [order], block, width)
-    hits = cut.groupBy(*group, _BLOCK).agg(F.min(F.when(predicate, F.col(order))).alias("_hit"))
-    starts = hits.select(*group, _BLOCK, F.min("_hit").over(Window.partitionBy(*group)).alias("_start"))
-    kept = _join_blocks(cut, starts, group).where(_checked(F.col(order) >= F.col("_start")))
-    return kept.select(*df.columns)
+    flagged = started(df, predicate, group, order, block, width, "_started", few_blocks)
+    return flagged.where("_started").drop("_started")
 
 
 def previous_value(

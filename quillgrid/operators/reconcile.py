@@ -30,20 +30,24 @@ def manifest_from_names(files: DataFrame) -> DataFrame:
     return files.select("file", told["expected_n"].alias("declared_n"))
 
 
+def check_counts(counts: DataFrame, key: str = "file", fatal: bool = True) -> DataFrame:
+    """Add ``verdict`` to ``(key, declared_n, actual_n)``. With ``fatal`` the job
+    stops at the first failure."""
+    equal = F.coalesce(F.col("actual_n") == F.col("declared_n"), F.lit(False))
+    failure = F.lit(BOO)
+    if fatal:
+        failure = F.raise_error(F.concat_ws(" ", F.lit("count differs for"), F.col(key), F.lit("found"), "actual_n"))
+    return counts.withColumn("verdict", F.when(equal, F.lit(GOOD)).otherwise(failure))
+
+
 def reconcile(actual: DataFrame, manifest: DataFrame, key: str = "file", fatal: bool = False) -> DataFrame:
     """``(key, declared_n, actual_n, verdict)`` for every key of either side.
 
     A file without records counts 0, and a file nobody declared is a failure.
-    With ``fatal`` the job stops at the first failure.
     """
     joined = manifest.select(key, "declared_n").join(actual.select(key, "actual_n"), key, "full")
-    found = F.coalesce("actual_n", F.lit(0))
-    equal = F.coalesce(found == F.col("declared_n"), F.lit(False))
-    verdict = F.when(equal, F.lit(GOOD)).otherwise(F.lit(BOO))
-    if fatal:
-        message = F.concat_ws(" ", F.lit("count differs for"), F.col(key), F.lit("found"), found.cast("string"))
-        verdict = F.when(equal, F.lit(GOOD)).otherwise(F.raise_error(message))
-    return joined.select(key, "declared_n", found.cast("bigint").alias("actual_n"), verdict.alias("verdict"))
+    found = F.coalesce("actual_n", F.lit(0)).cast("bigint")
+    return check_counts(joined.withColumn("actual_n", found), key, fatal)
 
 
 def run_report(counts: DataFrame) -> DataFrame:

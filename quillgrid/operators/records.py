@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgrid.functions.clean import drop_empty_value, drop_falsy
-from quillgrid.functions.dates import partial_date
+from quillgrid.functions.clean import FALSY, drop_empty_value, drop_falsy
+from quillgrid.functions.dates import date_text, leading_int
 from quillgrid.functions.provenance import file_name, parse_file_name
 from quillgrid.operators import ordering
 
@@ -41,9 +41,12 @@ def limit_per_file(df: DataFrame, n: int, group: str | Sequence[str] = "file", o
     return ordering.first_n(df, n, group, order)
 
 
-def skip_until(df: DataFrame, predicate: Column, group="file", order: str = "rn", block: str | None = "block"):
+def skip_until(
+    df: DataFrame, predicate: Column, group="file", order: str = "rn", block: str | None = "block",
+    few_blocks: bool = False,
+) -> DataFrame:
     """Drop the records of a file before the first that fulfils ``predicate``."""
-    return ordering.keep_from_first(df, predicate, group, order, block)
+    return ordering.keep_from_first(df, predicate, group, order, block, few_blocks=few_blocks)
 
 
 def skip_comments(df: DataFrame, column: str = "line", mark: str = "#") -> DataFrame:
@@ -75,9 +78,15 @@ def fold_dates(df: DataFrame, triples: Sequence[tuple[str, str, str, str]], keep
     no date; ``keep_parts`` then keeps its day and month.
     """
     present = [t for t in triples if all(c in df.columns for c in t[1:])]
-    dates = {y: partial_date(y, m, d).alias(name) for name, y, m, d in present}
-    # NULL counts as no year.
-    undated = {c: partial_date(y, m, d).isNull() for _, y, m, d in present for c in (m, d)}
+    # The numbers become columns of their own, so that each text is parsed once
+    # however often its number is used.
+    parts = sorted({c for t in present for c in t[1:]})
+    df_numbers = df.withColumns({f"_n_{c}": leading_int(c) for c in parts}) if parts else df
+    known = {y: F.coalesce(~F.col(y).isin(*FALSY), F.lit(False)) for _, y, _, _ in present}
+    dates = {
+        y: F.when(known[y], date_text(f"_n_{y}", f"_n_{m}", f"_n_{d}")).alias(name) for name, y, m, d in present
+    }
+    undated = {c: ~known[y] for _, y, m, d in present for c in (m, d)}
     out = []
     for c in df.columns:
         if c in dates:
@@ -86,7 +95,7 @@ def fold_dates(df: DataFrame, triples: Sequence[tuple[str, str, str, str]], keep
             out.append(F.col(c))
         elif keep_parts:
             out.append(F.when(undated[c], F.col(c)).alias(c))
-    return df.select(*out)
+    return df_numbers.select(*out)
 
 
 def with_provenance(df: DataFrame, file: str = "file") -> DataFrame:

@@ -91,14 +91,18 @@ def dropped_values(df: DataFrame, names: Sequence[str], group: Sequence[str] = (
     return df.groupBy(*group).agg(*(F.count_if(_has_value(n)).alias(n) for n in names))
 
 
+def assert_empty(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same rows; the job stops at a value in one of the columns."""
+    for n in names:
+        message = F.concat(F.lit(f"dropped column {n} has value "), F.col(n).cast("string"))
+        df = df.where(F.when(_has_value(n), F.raise_error(message).cast("boolean")).otherwise(True))
+    return df
+
+
 def drop_columns(df: DataFrame, names: Sequence[str] = DROPPED, guard: bool = True) -> DataFrame:
-    """Drop columns; with ``guard`` the job stops at a value in one of them."""
+    """Drop columns; with ``guard`` they must not hold a value."""
     present = [n for n in names if n in df.columns]
-    if guard:
-        for n in present:
-            message = F.concat(F.lit(f"dropped column {n} has value "), F.col(n).cast("string"))
-            df = df.where(F.when(_has_value(n), F.raise_error(message).cast("boolean")).otherwise(True))
-    return df.drop(*present)
+    return (assert_empty(df, present) if guard else df).drop(*present)
 
 
 def drop_elements(elements: DataFrame, names: Sequence[str] = DROPPED) -> DataFrame:

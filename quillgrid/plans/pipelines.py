@@ -1,4 +1,9 @@
-"""The four conversions, composed of operators. Each is one lazy plan."""
+"""The four conversions, composed of operators. Each is one lazy plan.
+
+Their records lie as they were scanned while the table of splits can be
+broadcast; ``write_records(..., order=())`` then writes them in document order
+without a sort.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +12,15 @@ from pyspark.sql import functions as F
 
 from quillgrid.functions.clean import unescape_xml
 from quillgrid.functions.dates import DATE_STEMS, date_triples
-from quillgrid.functions.provenance import document_key, file_name, is_stub, parse_file_name
+from quillgrid.functions.provenance import document_key, is_stub, parse_file_name
 from quillgrid.operators import dictionary as words
 from quillgrid.operators import reconcile as counts
 from quillgrid.operators import records
+from quillgrid.operators.joins import lookup
 from quillgrid.operators.reshape import drop_elements, promote_header
 from quillgrid.operators.schema import registry_names
 from quillgrid.sinks.tabular import clean_cells
-from quillgrid.sources.files import list_files
+from quillgrid.sources.files import few_splits, list_files
 from quillgrid.sources.lines import read_delimited
 from quillgrid.sources.record_xml import read_records
 from quillgrid.sources.workbook import read_workbook_cells
@@ -45,22 +51,25 @@ def convert_volumes(
     names = registry_names(registry, row_tag)
     rows = read_records(spark, path, row_tag, names, split)
     numeric = F.rlike("lineNum", F.lit(records.NUMERIC_LINE))
-    body = records.skip_until(rows, numeric)
-    told = parse_file_name(file_name("file"))
+    # Names are parsed once per file, not per record.
+    files = list_files(spark, path)
+    told = files.select("file", parse_file_name("file_name").alias("told"))
+    body = records.skip_until(rows, numeric, few_blocks=few_splits(spark, path))
+    body = lookup(body, told, "file", salt="rn")
     line = F.regexp_extract("lineNum", records.NUMERIC_LINE, 0)
-    key = F.when(numeric, document_key(told["volume"], line, told["record_type"])).otherwise(F.col("lineNum"))
     marked = body.withColumns(
         {
-            "volume": told["volume"],
+            "volume": F.col("told.volume"),
             "line": F.when(numeric, line),
-            "record_type": F.coalesce(told["record_type"], F.lit(row_tag)),
-            "lineNum": key,
+            "record_type": F.coalesce("told.record_type", F.lit(row_tag)),
         }
-    )
+    ).drop("told")
+    key = F.when(F.col("line").isNotNull(), document_key("volume", "line", "record_type")).otherwise(F.col("lineNum"))
+    marked = marked.withColumn("lineNum", key)
     keep = (*records.POSITION, "record_type", "volume", "line")
     out = records.drop_empty(marked, keep)
     found = counts.count_records(rows, counted=F.coalesce(numeric, F.lit(False)))
-    promised = counts.manifest_from_names(list_files(spark, path))
+    promised = counts.manifest_from_names(files)
     return out, counts.reconcile(found, promised)
 
 

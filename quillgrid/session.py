@@ -20,6 +20,9 @@ def session(app_name: str = "quillgrid", master: str | None = None, **conf: obje
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Records are wide. The JVM does not compile methods above this size, so
+        # larger ones are better left to split, uncollapsed projections.
+        "spark.sql.codegen.hugeMethodLimit": 8000,
     }
     settings.update(conf)
     for key, value in settings.items():

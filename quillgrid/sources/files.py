@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgrid.functions.provenance import file_name
+from quillgrid.session import pin_splits
 
 
 def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -15,11 +16,29 @@ def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return found.select(uri.alias("file"), file_name(uri).alias("file_name"), "length")
 
 
-def split_bound(spark: SparkSession, path: str | list[str], smallest_split: int = 4 * 1024 * 1024) -> int:
-    """An upper bound for the number of splits a scan of these files has."""
-    largest = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    text = largest.lower().rstrip("b")
-    unit = {"k": 1024, "m": 1024**2, "g": 1024**3}.get(text[-1:], 1)
-    size = min(int(text.rstrip("kmg")) * unit, smallest_split)
-    parts = F.ceil(F.col("length") / size) + 1
-    return list_files(spark, path).agg(F.coalesce(F.sum(parts), F.lit(0)).alias("n")).first()["n"]
+MAX_BROADCAST_SPLITS = 1_000_000
+"""Split tables up to this many rows, some 200 bytes each, may be broadcast."""
+
+
+def _bytes(setting: str) -> int:
+    text = setting.strip().lower().removesuffix("b")
+    unit = {"k": 1024, "m": 1024**2, "g": 1024**3, "t": 1024**4}.get(text[-1:], 1)
+    return int(text.rstrip("kmgt")) * unit
+
+
+def split_bound(spark: SparkSession, path: str | list[str]) -> int:
+    """An upper bound for the number of splits a scan of these files has, from
+    the listing and the settings that cut files."""
+    size = F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("length")
+    found = list_files(spark, path).agg(*size).first()
+    pin_splits(spark)
+    largest, opening = (
+        _bytes(spark.conf.get(f"spark.sql.files.{key}")) for key in ("maxPartitionBytes", "openCostInBytes")
+    )
+    share = found["length"] // int(spark.conf.get("spark.sql.files.minPartitionNum"))
+    return found["files"] + found["length"] // max(1, min(largest, max(opening, share)))
+
+
+def few_splits(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether a table with one row per split is small enough to broadcast."""
+    return split_bound(spark, path) <= MAX_BROADCAST_SPLITS

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgrid.functions.clean import fit_fields, repair_quote, strip_eol, trim_ws
-from quillgrid.operators.joins import BROADCAST_ROWS
 from quillgrid.operators.ordering import number_splits
 from quillgrid.session import pin_splits
-from quillgrid.sources.files import split_bound
+from quillgrid.sources.files import few_splits
 
 UTF8 = "UTF-8"
 # The characters that windows-1252 has where ISO-8859-1 has
@@ -48,11 +47,15 @@ def scan_records(spark: SparkSession, path: str | list[str], separator: str = "\
     )
 
 
+def number_pieces(spark: SparkSession, path: str | list[str], separator: str = "\n") -> DataFrame:
+    """``scan_records`` with ``rn``, from 1 per file. Rows stay as scanned."""
+    scan = scan_records(spark, path, separator)
+    return number_splits(scan, "file", "block", "pos", few_splits(spark, path)).drop("pos")
+
+
 def read_lines(spark: SparkSession, path: str | list[str], charset: str = UTF8) -> DataFrame:
     """``(file, block, rn, line)``: every line with its number, from 1 per file."""
-    few = split_bound(spark, path) <= BROADCAST_ROWS
-    numbered = number_splits(scan_records(spark, path), "file", "block", "pos", few)
-    return numbered.select("file", "block", "rn", _decoded(F.col("raw"), charset).alias("line"))
+    return number_pieces(spark, path).select("file", "block", "rn", _decoded(F.col("raw"), charset).alias("line"))
 
 
 def repair_bytes(raw: Column, charset: str, correct: bool = False) -> Column:
@@ -89,8 +92,7 @@ def read_delimited(
     off. A blank line is a record without values. ``rn`` counts the header line.
     """
     n = len(names) if n_fields is None else n_fields
-    few = split_bound(spark, path) <= BROADCAST_ROWS
-    lines = number_splits(scan_records(spark, path), "file", "block", "pos", few)
+    lines = number_pieces(spark, path)
     if header:
         lines = lines.where(F.col("rn") > 1)
     raw = repair_bytes(F.col("raw"), charset, correct) if repair else F.col("raw")

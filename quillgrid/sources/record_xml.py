@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillgrid.operators.ordering import number_rows
 from quillgrid.session import pin_splits
-from quillgrid.sources.lines import UTF8, _decoded, scan_records
+from quillgrid.sources.lines import UTF8, _decoded, number_pieces, scan_records
 
 # Fixed value: the root tag of a record document.
 ROOT_TAG = "dataroot"
@@ -20,6 +20,35 @@ def _options(row_tag: str, mode: str) -> dict[str, str]:
     return {"rowTag": row_tag, "mode": mode, "ignoreSurroundingSpaces": "false", "nullValue": ""}
 
 
+def _opened_pieces(spark: SparkSession, path: str | list[str], row_tag: str, charset: str) -> DataFrame:
+    """``(file, block, rn, piece)``: cut before each record. What stands before
+    the first record is a piece of its own, so piece n + 1 is record n."""
+    numbered = number_pieces(spark, path, f"<{row_tag}").where(F.col("rn") > 1)
+    text = _decoded(F.col("raw"), charset)
+    rest = f"(?s)\\A(?:(?:\\s[^>]*)?/>|(?:\\s[^>]*)?>.*?</{re.escape(row_tag)}\\s*>)"
+    found = numbered.select("file", "block", (F.col("rn") - 1).alias("rn"), F.regexp_extract(text, rest, 0).alias("rest"))
+    message = f"a <{row_tag}> is not closed, or a tag starts with its name: read with split=False"
+    piece = F.when(F.col("rest") == "", F.raise_error(F.lit(message))).otherwise(F.concat(F.lit(f"<{row_tag}"), "rest"))
+    return found.select("file", "block", "rn", piece.alias("piece"))
+
+
+def _closed_pieces(spark: SparkSession, path: str | list[str], row_tag: str, charset: str) -> DataFrame:
+    """The same when elements start with the name of the record: cut behind each
+    record. A piece may then hold more records, namely empty ones without a
+    closing tag, so they are counted in a window per split."""
+    scan = scan_records(spark, path, f"</{row_tag}>")
+    tag = re.escape(row_tag)
+    empty, opened = f"<{tag}(?:\\s[^>]*)?/>", f"<{tag}(?:\\s[^>]*)?>"
+    text = _decoded(F.col("raw"), charset)
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s){empty}|{opened}.*"), F.lit(0))
+    found = scan.select("file", "block", "pos", F.posexplode(pieces).alias("sub", "piece"))
+    numbered = number_rows(found, "file", ["pos", "sub"], block="block")
+    whole = F.when(F.rlike("piece", F.lit(f"\\A{empty}\\z")), F.col("piece")).otherwise(
+        F.concat("piece", F.lit(f"</{row_tag}>"))
+    )
+    return numbered.select("file", "block", "rn", whole.alias("piece"))
+
+
 def read_records(
     spark: SparkSession,
     path: str | list[str],
@@ -35,27 +64,21 @@ def read_records(
     columns that start with ``_``.
 
     Spark's XML source gives a whole file to one task. ``split=True`` therefore
-    cuts the text at the closing tag of the records, in a scan that can be split
-    anywhere, and parses each piece. It needs records that are not nested and a
-    closing tag without blanks that is not quoted in a comment or CDATA section;
-    ``split=False`` has no such needs and fits many files of moderate size.
+    cuts the text at the opening tag of the records, in a scan that can be split
+    anywhere, and parses each piece. Rows stay in the order of the scan and are
+    not shuffled. It needs records that are neither nested nor commented out;
+    a record that is not closed stops the job. ``split=False`` leaves all that
+    to the XML source and fits many files of moderate size.
     """
     schema = ", ".join(f"`{c}` string" for c in columns)
     if split:
-        scan = scan_records(spark, path, f"</{row_tag}>")
-        tag = re.escape(row_tag)
-        empty, opened = f"<{tag}(?:\\s[^>]*)?/>", f"<{tag}(?:\\s[^>]*)?>"
-        text = _decoded(F.col("raw"), charset)
-        pieces = F.regexp_extract_all(text, F.lit(f"(?s){empty}|{opened}.*"), F.lit(0))
-        found = scan.select("file", "block", "pos", F.posexplode(pieces).alias("sub", "piece"))
-        whole = F.when(F.rlike("piece", F.lit(f"\\A{empty}\\z")), F.col("piece")).otherwise(
-            F.concat("piece", F.lit(f"</{row_tag}>"))
-        )
-        record = F.from_xml(whole, schema, _options(row_tag, mode))
-        parsed = found.select("file", "block", "pos", "sub", record.alias("r"))
-        parsed = parsed.select("file", "block", "pos", "sub", *(F.col("r")[c].alias(c) for c in columns))
-        return number_rows(parsed, "file", ["pos", "sub"], block="block").drop("pos", "sub").select(
-            "file", "block", "rn", *columns
+        if any(c.startswith(row_tag) for c in columns):
+            pieces = _closed_pieces(spark, path, row_tag, charset)
+        else:
+            pieces = _opened_pieces(spark, path, row_tag, charset)
+        record = F.from_xml("piece", schema, _options(row_tag, mode))
+        return pieces.select("file", "block", "rn", record.alias("r")).select(
+            "file", "block", "rn", *(F.col("r")[c].alias(c) for c in columns)
         )
     pin_splits(spark)
     reader = spark.read.options(**_options(row_tag, mode)).option("charset", charset)

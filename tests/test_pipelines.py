@@ -137,6 +137,11 @@ def test_marriages(spark, tmp_path, registry, tiny_splits):
     carried = pipelines.convert_delimited(spark, path, registry, "kgm", carry=True).orderBy("rn").collect()
     before = [(0, 0), *((d, m) for _, _, _, d, m, _ in rows)]
     assert [r.marriageDate for r in carried] == [f"{r[1]}-{m:02d}-{d:02d}" for r, (d, m) in zip(rows, before)]
+    as_scanned = pipelines.convert_delimited(spark, path, registry, "kgm")
+    xml.write_records(as_scanned, str(tmp_path / "o"), "kgm", order=())
+    assert len(texts(str(tmp_path / "o"), "*.xml")) > 3
+    back = read_records(spark, str(tmp_path / "o"), "kgm", ["rec_no"]).orderBy("file", "rn").collect()
+    assert [int(r.rec_no) for r in back] == list(range(1, 1200))
     short = pipelines.convert_delimited(spark, path, registry, "kgm", n_fields=5)
     assert short.columns[-1] == "forename" and short.count() == len(rows)
 

@@ -5,8 +5,8 @@ from quillgrid.functions import file_name
 from quillgrid.operators import schema
 from quillgrid.operators.ordering import number_splits
 from quillgrid.plans.samples import workbook_bytes
-from quillgrid.sources.files import list_files
-from quillgrid.sources.lines import WINDOWS_1252, read_delimited, read_dictionary, read_lines
+from quillgrid.sources.files import list_files, split_bound
+from quillgrid.sources.lines import WINDOWS_1252, read_delimited, read_dictionary, read_lines, scan_records
 from quillgrid.sources.record_xml import read_records, read_root_attributes
 from quillgrid.sources.registry import read_registry
 from quillgrid.sources.workbook import cells_from_content, read_workbook_cells
@@ -116,14 +116,21 @@ def test_record_xml(spark, tmp_path, split):
     assert values(df, "rn", "_n", "lineNum", "ship", "dcfNote") == [
         (1, None, "LINE", "SHIP", None), (2, "1", " 1 & ", None, "x"), (3, None, None, None, None),
         (4, "3", "3", None, None)]
+    (tmp_path / "r.xml").write_text(RECORDS.replace("dcfNote", "note"))
+    df = read_records(spark, str(tmp_path), "dcf", ["_n", "lineNum", "ship", "note"], split)
+    assert values(df, "rn", "_n", "lineNum", "ship", "note") == [
+        (1, None, "LINE", "SHIP", None), (2, "1", " 1 & ", None, "x"), (3, None, None, None, None),
+        (4, "3", "3", None, None)]
     roots = read_root_attributes(spark, str(tmp_path)).collect()
     assert [(r["source"], r["declared_n"]) for r in roots] == [("a&amp;b", 3)]
 
 
-def test_record_xml_is_read_by_many_tasks(spark, tmp_path, tiny_splits):
-    body = "".join(f"<r><a>{i}</a></r>\n" if i % 11 else "<r/>\n" for i in range(3000))
+@pytest.mark.parametrize("tag", ["q", "a"])
+def test_record_xml_is_read_by_many_tasks(spark, tmp_path, tiny_splits, tag):
+    body = "".join(f"<{tag}><a1>{i}</a1></{tag}>\n" if i % 11 else f"<{tag}/>\n" for i in range(3000))
     (tmp_path / "r.xml").write_text(f"<dataroot>\n{body}</dataroot>\n")
-    df = read_records(spark, str(tmp_path), "r", ["a"])
+    (tmp_path / "s.xml").write_text("<dataroot></dataroot>\n")
+    df = read_records(spark, str(tmp_path), tag, ["a1"]).withColumnRenamed("a1", "a")
     assert df.select("block").distinct().count() > 5
     assert values(df, "rn", "a") == [(i + 1, str(i) if i % 11 else None) for i in range(3000)]
 
@@ -132,6 +139,17 @@ def test_broken_records_stop_the_job(spark, tmp_path):
     (tmp_path / "r.xml").write_text("<dataroot><r><a>1</b></r></dataroot>")
     with pytest.raises(Exception, match="MALFORMED"):
         read_records(spark, str(tmp_path), "r", ["a"]).collect()
+    for text in ("<dataroot><r><a>1</a>", "<dataroot><r><a>1</a></r><row/></dataroot>"):
+        (tmp_path / "r.xml").write_text(text)
+        with pytest.raises(Exception, match="is not closed, or a tag starts"):
+            read_records(spark, str(tmp_path), "r", ["a"]).collect()
+
+
+def test_split_bounds(spark, tmp_path, tiny_splits):
+    (tmp_path / "a.dat").write_text("x" * 9000)
+    (tmp_path / "b.dat").write_text("x")
+    assert split_bound(spark, str(tmp_path)) == 4
+    assert scan_records(spark, str(tmp_path)).rdd.getNumPartitions() <= 4
 
 
 def test_dictionary(spark, tmp_path):
