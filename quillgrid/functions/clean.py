@@ -102,8 +102,9 @@ def repair_quote(c: Column | str, correct: bool = False) -> Column:
 def drop_falsy(c: Column | str, keep_zero: bool = False) -> Column:
     """NULL for values that count as missing: ``''`` and, unless kept, ``'0'``."""
     c = _col(c)
-    missing = FALSY[:1] if keep_zero else FALSY
-    return F.when(~c.isin(*missing), c)
+    for missing in FALSY[:1] if keep_zero else FALSY:
+        c = F.nullif(c, F.lit(missing))
+    return c
 
 
 def drop_empty_value(c: Column | str) -> Column:

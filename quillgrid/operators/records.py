@@ -6,7 +6,7 @@ the order operators are filters on ``rn`` that move no data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,31 +71,45 @@ def carry_previous(df: DataFrame, columns: Sequence[str], group="file", order: s
     return out.select(*(F.col("_before")[c].alias(c) if c in columns else F.col(c) for c in df.columns))
 
 
+def fold_date_columns(
+    values: Mapping[str, Column],
+    triples: Sequence[tuple[str, str, str, str]],
+    date: Callable[[str, str, str], Column],
+    keep_parts: bool = False,
+) -> list[Column]:
+    """The columns of ``fold_dates`` over named expressions; ``date`` makes the
+    date of the year, month and day columns of these names."""
+    present = [t for t in triples if all(c in values for c in t[1:])]
+    dates = {y: date(y, m, d).alias(name) for name, y, m, d in present}
+    year_of = {c: y for _, y, m, d in present for c in (m, d)}
+    out = []
+    for c, value in values.items():
+        if c in dates:
+            out.append(dates[c])
+        elif c not in year_of:
+            out.append(value.alias(c))
+        elif keep_parts:
+            dated = F.coalesce(~values[year_of[c]].isin(*FALSY), F.lit(False))
+            out.append(F.when(~dated, value).alias(c))
+    return out
+
+
 def fold_dates(df: DataFrame, triples: Sequence[tuple[str, str, str, str]], keep_parts: bool = False) -> DataFrame:
     """Put a partial date in the place of each year column and drop its parts.
 
     Triples whose columns are absent are skipped. A record without a year has
     no date; ``keep_parts`` then keeps its day and month.
     """
-    present = [t for t in triples if all(c in df.columns for c in t[1:])]
     # The numbers become columns of their own, so that each text is parsed once
     # however often its number is used.
-    parts = sorted({c for t in present for c in t[1:]})
-    df_numbers = df.withColumns({f"_n_{c}": leading_int(c) for c in parts}) if parts else df
-    known = {y: F.coalesce(~F.col(y).isin(*FALSY), F.lit(False)) for _, y, _, _ in present}
-    dates = {
-        y: F.when(known[y], date_text(f"_n_{y}", f"_n_{m}", f"_n_{d}")).alias(name) for name, y, m, d in present
-    }
-    undated = {c: ~known[y] for _, y, m, d in present for c in (m, d)}
-    out = []
-    for c in df.columns:
-        if c in dates:
-            out.append(dates[c])
-        elif c not in undated:
-            out.append(F.col(c))
-        elif keep_parts:
-            out.append(F.when(undated[c], F.col(c)).alias(c))
-    return df_numbers.select(*out)
+    parts = sorted({c for t in triples if all(c in df.columns for c in t[1:]) for c in t[1:]})
+    numbers = df.withColumns({f"_n_{c}": leading_int(c) for c in parts}) if parts else df
+
+    def date(y: str, m: str, d: str) -> Column:
+        return F.when(~F.col(y).isin(*FALSY), date_text(f"_n_{y}", f"_n_{m}", f"_n_{d}"))
+
+    values = {c: F.col(c) for c in df.columns}
+    return numbers.select(*fold_date_columns(values, triples, date, keep_parts))
 
 
 def with_provenance(df: DataFrame, file: str = "file") -> DataFrame:

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.functions.clean import unescape_xml
-from quillgrid.functions.dates import DATE_STEMS, date_triples
+from quillgrid.functions.clean import drop_falsy, unescape_xml
+from quillgrid.functions.dates import DATE_STEMS, date_triples, partial_date
 from quillgrid.functions.provenance import document_key, is_stub, parse_file_name
 from quillgrid.operators import dictionary as words
 from quillgrid.operators import reconcile as counts
@@ -21,7 +21,7 @@ from quillgrid.operators.reshape import drop_elements, promote_header
 from quillgrid.operators.schema import registry_names
 from quillgrid.sinks.tabular import clean_cells
 from quillgrid.sources.files import few_splits, list_files
-from quillgrid.sources.lines import read_delimited
+from quillgrid.sources.lines import field_columns, read_delimited, read_fields
 from quillgrid.sources.record_xml import read_records
 from quillgrid.sources.workbook import read_workbook_cells
 
@@ -86,14 +86,26 @@ def convert_delimited(
     """
     names = registry_names(registry, record_type)
     charset = charset or counts.DELIMITED[record_type][3]
-    rows = read_delimited(spark, path, names, n_fields, charset, correct=correct)
-    triples = [t for t in date_triples(DATE_STEMS) if all(c in rows.columns for c in t[1:])]
+    triples = date_triples(DATE_STEMS)
     if carry:
-        late = [c for _, y, m, d in triples for c in (m, d) if rows.columns.index(y) < rows.columns.index(c)]
-        if late:
-            rows = records.carry_previous(rows, late)
-    dated = records.fold_dates(rows, triples, keep_parts)
-    return records.drop_falsy_values(dated, keep_zero=keep_zero)
+        rows = read_delimited(spark, path, names, n_fields, charset, correct=correct)
+        at = rows.columns.index
+        parts = [t[1:] for t in triples if all(c in rows.columns for c in t[1:])]
+        late = [c for y, *others in parts for c in others if at(y) < at(c)]
+        dated = records.fold_dates(records.carry_previous(rows, late) if late else rows, triples, keep_parts)
+        return records.drop_falsy_values(dated, keep_zero=keep_zero)
+    n = len(names) if n_fields is None else n_fields
+    rows = read_fields(spark, path, n, charset, correct=correct)
+    # One projection from the fields to the result: records are wide, so every
+    # further one would copy dozens of columns.
+    values = field_columns(names, n)
+    dated = {c for t in triples if all(x in values for x in t[1:]) for c in t[1:]}
+    cleaned = {c: v if c in dated else drop_falsy(v, keep_zero) for c, v in values.items()}
+    columns = records.fold_date_columns(
+        cleaned, triples, lambda y, m, d: partial_date(values[y], values[m], values[d]), keep_parts
+    )
+    out = rows.select(*records.POSITION, *columns)
+    return records.drop_falsy_values(out, keep_zero=keep_zero) if keep_parts else out
 
 
 def convert_workbooks(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.functions.clean import fit_fields, repair_quote, strip_eol, trim_ws
+from quillgrid.functions.clean import repair_quote, strip_eol, trim_ws
 from quillgrid.operators.ordering import number_splits
 from quillgrid.session import pin_splits
 from quillgrid.sources.files import few_splits
@@ -75,30 +75,48 @@ def repair_bytes(raw: Column, charset: str, correct: bool = False) -> Column:
     return F.when(latin.contains("\u0092"), F.encode(fixed, "ISO-8859-1")).otherwise(raw)
 
 
-def read_delimited(
+def read_fields(
     spark: SparkSession,
     path: str | list[str],
-    names: Sequence[str],
-    n_fields: int | None = None,
+    n_fields: int,
     charset: str = UTF8,
     sep: str = "\t",
     header: bool = True,
     repair: bool = True,
     correct: bool = False,
 ) -> DataFrame:
-    """``(file, block, rn, <names>)``: one trimmed record per line.
-
-    Short rows get NULL at the end; the last field keeps whatever was not split
-    off. A blank line is a record without values. ``rn`` counts the header line.
-    """
-    n = len(names) if n_fields is None else n_fields
+    """``(file, block, rn, fields)``: one record per line, as an array of the
+    untrimmed fields. The last one keeps whatever was not split off; a blank
+    line is a record without values. ``rn`` counts the header line."""
     lines = number_pieces(spark, path)
     if header:
         lines = lines.where(F.col("rn") > 1)
     raw = repair_bytes(F.col("raw"), charset, correct) if repair else F.col("raw")
-    fields = lines.select("file", "block", "rn", fit_fields(strip_eol(_decoded(raw, charset)), n, sep).alias("f"))
-    values = (trim_ws(F.col("f")[i]).alias(name) for i, name in enumerate(names[:n]))
-    return fields.select("file", "block", "rn", *values)
+    fields = F.split(strip_eol(_decoded(raw, charset)), sep, n_fields)
+    return lines.select("file", "block", "rn", fields.alias("fields"))
+
+
+def field_columns(names: Sequence[str], n_fields: int | None = None) -> dict[str, Column]:
+    """The trimmed fields of ``read_fields`` by name, NULL where a row is short."""
+    named = names if n_fields is None else names[:n_fields]
+    return {name: trim_ws(F.get("fields", F.lit(i))) for i, name in enumerate(named)}
+
+
+def read_delimited(
+    spark: SparkSession,
+    path: str | list[str],
+    names: Sequence[str],
+    n_fields: int | None = None,
+    charset: str = UTF8,
+    sep: str = "\t",
+    header: bool = True,
+    repair: bool = True,
+    correct: bool = False,
+) -> DataFrame:
+    """``(file, block, rn, <names>)``: one trimmed record per line."""
+    n = len(names) if n_fields is None else n_fields
+    rows = read_fields(spark, path, n, charset, sep, header, repair, correct)
+    return rows.select("file", "block", "rn", *(c.alias(name) for name, c in field_columns(names, n).items()))
 
 
 def read_dictionary(spark: SparkSession, path: str | list[str]) -> DataFrame:
