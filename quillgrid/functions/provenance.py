@@ -52,6 +52,11 @@ def file_name(path: Column | str) -> Column:
     return F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B")))
 
 
+def folder(path: Column | str) -> Column:
+    """What stands before the last part of a file URI."""
+    return F.regexp_extract(_col(path), "(?s)\\A(.*)/[^/]*\\z", 1)
+
+
 def parse_file_name(name: Column | str, rules: tuple[NameRule, ...] = NAME_RULES) -> Column:
     """A struct ``(series, volume_no, volume, expected_n, record_type)``; all
     NULL when no rule knows the name."""

@@ -86,7 +86,7 @@ def route_files(files: DataFrame, name: str = "file_name", record_type: str = "r
 
 
 def stubs_for_missing(files: DataFrame, name: str = "file_name") -> DataFrame:
-    """``(output, declared_n)``: an empty document for each file that was never
-    delivered."""
+    """``(file, output, declared_n)``: an empty document for each file that was
+    never delivered."""
     missing = files.where(is_stub(name))
-    return missing.select(output_name(name).alias("output"), F.lit(0).cast("bigint").alias("declared_n"))
+    return missing.select("file", output_name(name).alias("output"), F.lit(0).cast("bigint").alias("declared_n"))

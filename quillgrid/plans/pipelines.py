@@ -113,17 +113,16 @@ def convert_workbooks(
 ) -> tuple[DataFrame, DataFrame]:
     """Self-describing workbooks: ``(elements, cells)``.
 
-    ``elements`` has a row for each value under its header's name, as plain text
-    for the XML sink; ``cells`` feeds the tab-separated and audit sinks.
+    ``elements`` has a row for each value under its header's name, as plain
+    text; ``cells`` feeds ``write_rows``, ``write_tsv_cells`` and ``write_audit``.
     """
     cells = read_workbook_cells(spark, path)
     named = drop_elements(promote_header(clean_cells(cells)))
-    missing = F.col("cleaned").isin(*(("",) if keep_zero else ("", "0")))
-    elements = named.where(~missing).select(
-        "file", "sheet_no", "sheet_name", "n", (F.col("col") + 1).alias("ordinal"), "element",
-        unescape_xml("cleaned").alias("value"),
+    value = unescape_xml(drop_falsy("cleaned", keep_zero))
+    elements = named.select(
+        "file", "sheet_no", "sheet_name", "n", (F.col("col") + 1).alias("ordinal"), "element", value.alias("value")
     )
-    return elements, cells
+    return elements.where(F.col("value").isNotNull()), cells
 
 
 def convert_listing(files: DataFrame) -> tuple[DataFrame, DataFrame]:

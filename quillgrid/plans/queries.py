@@ -233,11 +233,11 @@ def route_files(spark, sf):
 
 @query(
     "stub_files",
-    f"""SELECT regexp_replace(name, '\\.xls$', '.xml') AS output, CAST(0 AS BIGINT) AS declared_n
+    f"""SELECT url AS file, regexp_replace(name, '\\.xls$', '.xml') AS output, CAST(0 AS BIGINT) AS declared_n
     FROM {_FILE_NAME_SQL} WHERE regexp_matches(name, 'MISSINGFILE|_n\\.xls')""",
 )
 def stub_files(spark, sf):
-    return reconcile.stubs_for_missing(table(spark, sf, "pages").select(_file_name().alias("name")), "name")
+    return reconcile.stubs_for_missing(table(spark, sf, "pages").select(F.col("url").alias("file"), _file_name().alias("name")), "name")
 
 
 @query(
@@ -670,6 +670,21 @@ def workbook_elements(spark, sf):
     return shown.select("file", "n", "element", F.col("cleaned").alias("value"))
 
 
+@query(
+    "workbook_xml",
+    f"""WITH c AS (SELECT *, 'book_' || CAST(c_custkey // 500 AS BIGINT) || '.xml' AS output,
+      CAST(c_custkey % 500 + 2 AS INT) AS n FROM customer)
+    SELECT output, n, '<row n="' || (c_custkey % 500 + 2) || '">' || chr(10) ||
+      CASE WHEN c_custkey = 0 THEN '' ELSE '<f01_id>' || c_custkey || '</f01_id>' || chr(10) END ||
+      '<Masters_name>' || c_name || '</Masters_name>' || chr(10) ||
+      CASE WHEN c_nationkey = 0 THEN '' ELSE '<_No_>' || c_nationkey || '</_No_>' || chr(10) END || '</row>'
+      || CASE WHEN n = max(n) OVER (PARTITION BY output) THEN chr(10) || '</dataroot>' ELSE '' END AS value
+    FROM c UNION ALL SELECT DISTINCT output, 1, '<?xml version="1.0" encoding="UTF-8"?>' || chr(10) || '<dataroot>' FROM c""",
+)
+def workbook_xml(spark, sf):
+    return xml.row_documents(_customer_cells(spark, sf)).select("output", "n", "value")
+
+
 @query(
     "workbook_tsv",
     f"""WITH c AS (SELECT *, {_BOOK_SQL} AS file FROM customer)

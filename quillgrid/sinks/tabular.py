@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillgrid.functions.clean import clean_cell, normalise_header
-from quillgrid.functions.provenance import file_name, output_name
-from quillgrid.sinks.xml import in_document_order
+from quillgrid.functions.provenance import file_name, folder, output_name
+from quillgrid.sinks.order import in_document_order
 
 
 def clean_cells(cells: DataFrame) -> DataFrame:
@@ -30,10 +30,13 @@ def tsv_lines(cells: DataFrame) -> DataFrame:
 
 
 def write_tsv_cells(cells: DataFrame, path: str, mode: str = "error") -> None:
-    """One folder per sheet, named like the sheet's output; lines keep their order."""
+    """One folder per sheet, named like its source's folder and the sheet's
+    output; lines keep their order."""
     output = output_name(file_name("file"), F.col("sheet_no"), ".tab")
-    lines = in_document_order(tsv_lines(cells).withColumn("output", output), ["file", "sheet_no", "n"], ["output"])
-    lines.select("output", F.col("line").alias("value")).write.mode(mode).partitionBy("output").text(path)
+    lines = tsv_lines(cells).withColumns({"folder": folder("file"), "output": output})
+    ordered = in_document_order(lines, ["file", "sheet_no", "n"], ["folder", "output"])
+    ordered = ordered.select("folder", "output", F.col("line").alias("value"))
+    ordered.write.mode(mode).partitionBy("folder", "output").text(path)
 
 
 def write_tsv(

@@ -5,14 +5,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from quillgrid.functions.clean import strip_control
+from quillgrid.functions.clean import drop_falsy, element_name, escape_xml, strip_control, unescape_xml
+from quillgrid.functions.provenance import file_name, folder, output_name
+from quillgrid.operators.reshape import drop_elements
+from quillgrid.sinks.order import in_document_order
+from quillgrid.sinks.tabular import clean_cells
 from quillgrid.sources.record_xml import ROOT_TAG
 from quillgrid.sources import registry as registry_format
 
+ROWS_PER_PART = 1_000_000
 DECLARATION = 'version="1.0" encoding="UTF-8"'
 
 
@@ -28,22 +33,6 @@ def _printable(df: DataFrame) -> DataFrame:
     return df.withColumns({c: strip_control(f"`{c}`") for c in text}) if text else df
 
 
-def in_document_order(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
-    """Range partitions, each sorted: part files follow each other in document
-    order, and one large document is written by many tasks.
-
-    A partitioned write sorts by its partition columns once more, and so loses
-    the order of the rows, unless the rows are already sorted by these columns
-    and the columns cannot be NULL.
-    """
-    keys = [*partition_by, *(c for c in order if c in df.columns)]
-    if not keys:
-        return df
-    for c in partition_by:
-        df = df.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit("")))
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-
-
 def write_records(
     df: DataFrame,
     path: str,
@@ -64,15 +53,66 @@ def write_records(
 
 
 def write_stubs(stubs: DataFrame, path: str, mode: str = "error") -> None:
-    """An empty document for each row ``(output, declared_n)``. The XML sink
-    would write no root for an empty frame, so these are written as text."""
-    source = F.replace(F.replace(F.replace("output", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
-                       F.lit('"'), F.lit("&quot;"))
+    """An empty document for each row ``(file, output, declared_n)``, under the
+    folder of ``file``. The XML sink would write no root for an empty frame, so
+    these are written as text."""
+    source = F.replace(escape_xml("output"), F.lit('"'), F.lit("&quot;"))
     text = F.concat(
         F.lit(f"<?xml {DECLARATION}?>\n<{ROOT_TAG} source=\""), source,
         F.lit('" n="'), F.col("declared_n").cast("string"), F.lit(f'">\n</{ROOT_TAG}>'),
     )
-    stubs.select("output", text.alias("value")).write.mode(mode).partitionBy("output").text(path)
+    lines = stubs.select(folder("file").alias("folder"), "output", text.alias("value"))
+    lines.write.mode(mode).partitionBy("folder", "output").text(path)
+
+
+def row_documents(cells: DataFrame, root: Mapping[str, object] | None = None, keep_zero: bool = False) -> DataFrame:
+    """``(folder, output, part, n, value)``: the text of one document per sheet,
+    a ``<row n="k">`` for each row below the header.
+
+    The names differ from sheet to sheet, which the XML sink could not express
+    in one job; a row or a sheet without values keeps its empty element. The
+    first and the last row of a document bring its root along. A document holds
+    up to ``ROWS_PER_PART`` rows, so nearly always the whole sheet.
+    """
+    below = F.col("n") > 1
+    named = clean_cells(cells).withColumn("element", element_name("header", F.col("col") + 1))
+    named = drop_elements(named.withColumn("value", F.when(below, F.col("value"))))
+    value = escape_xml(strip_control(unescape_xml("cleaned")))
+    text = F.concat(F.lit("<"), "element", F.lit(">"), value, F.lit("</"), F.col("element"), F.lit(">"))
+    present = below & drop_falsy("cleaned", keep_zero).isNotNull()
+    shown = F.when(present, F.struct("col", text.alias("text")))
+    where = ["folder", "output", "part"]
+    rows = named.groupBy("file", "sheet_no", "n").agg(F.sort_array(F.collect_list(shown)).alias("e")).select(
+        F.coalesce(folder("file"), F.lit("")).alias("folder"),
+        F.coalesce(output_name(file_name("file"), F.col("sheet_no")), F.lit("")).alias("output"),
+        F.floor(F.col("n") / ROWS_PER_PART).cast("int").alias("part"),
+        "n", "e",
+    )
+    document = Window.partitionBy(*where).orderBy("n")
+    opening = f"<?xml {DECLARATION}?>\n<{_root(ROOT_TAG, root or {})}>"
+    tags = F.concat(F.array(F.concat(F.lit('<row n="'), F.col("n").cast("string"), F.lit('">'))),
+                    F.transform("e", lambda x: x["text"]), F.array(F.lit("</row>")))
+    return rows.withColumns(
+        {"_first": F.row_number().over(document) == 1, "_last": F.lead("n").over(document).isNull()}
+    ).select(
+        *where, "n",
+        F.concat_ws(
+            "\n", F.when(F.col("_first"), F.lit(opening)), F.when(below, F.array_join(tags, "\n")),
+            F.when(F.col("_last"), F.lit(f"</{ROOT_TAG}>")),
+        ).alias("value"),
+    ).where(F.col("value") != "")
+
+
+def write_rows(
+    cells: DataFrame, path: str, root: Mapping[str, object] | None = None, keep_zero: bool = False, mode: str = "error"
+) -> None:
+    """Write ``row_documents``: one folder and one well-formed file per document.
+
+    The window has left the rows by document and in order, which is what the
+    write needs.
+    """
+    lines = row_documents(cells, root, keep_zero).drop("n")
+    lines.write.mode(mode).partitionBy("folder", "output", "part").text(path)
 
 
 def write_registry(registry: DataFrame, path: str, mode: str = "error") -> DataFrame:

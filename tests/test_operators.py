@@ -92,7 +92,8 @@ def test_routes(spark):
             ("a.xls", "dcf", "registered")]
     df = spark.createDataFrame(rows, "file_name string, record_type string, expected string")
     assert all(r.route == r.expected for r in reconcile.route_files(df).collect())
-    assert sorted(r.output for r in reconcile.stubs_for_missing(df).collect()) == ["a_MISSINGFILE.xml", "x_n.xml"]
+    stubs = reconcile.stubs_for_missing(df.withColumn("file", F.col("file_name")))
+    assert sorted(r.output for r in stubs.collect()) == ["a_MISSINGFILE.xml", "x_n.xml"]
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])

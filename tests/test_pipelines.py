@@ -1,5 +1,6 @@
 import glob
 import os
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,10 +161,17 @@ def test_workbooks(spark, tmp_path):
     assert rows == [(1, 2, "f01_id", "1"), (1, 2, "Masters_No_", "a & b#PARA_START#c"),
                     (1, 3, "Masters_No_", '<i> "q"'), (2, 2, "other", "v"), (2, 2, "_c2", "w")]
     tabular.write_tsv_cells(cells, str(tmp_path / "tab"))
-    assert sorted(d for d in os.listdir(tmp_path / "tab") if d.startswith("output")) == [
+    (folder,) = (tmp_path / "tab").glob("folder=*")
+    assert folder.name.endswith("%2Fin") and sorted(d for d in os.listdir(folder) if d.startswith("output")) == [
         "output=my_book.tab", "output=my_book_2.tab"]
-    first = "".join(texts(str(tmp_path / "tab" / "output=my_book.tab")))
+    first = "".join(texts(str(folder / "output=my_book.tab")))
     assert first == 'f01_id\tMasters_No_\txxxx\n1\ta &amp; b#PARA_START#c\t\n0\t&lt;i&gt; "q"\t\n'
+    xml.write_rows(cells, str(tmp_path / "xml"), {"generatedBy": "test"})
+    (document,) = texts(str(tmp_path / "xml"), "*.txt")[:1]
+    assert document == (
+        '<?xml version="1.0" encoding="UTF-8"?>\n<dataroot generatedBy="test">\n<row n="2">\n<f01_id>1</f01_id>\n'
+        '<Masters_No_>a &amp; b#PARA_START#c</Masters_No_>\n</row>\n<row n="3">\n'
+        '<Masters_No_>&lt;i&gt; "q"</Masters_No_>\n</row>\n</dataroot>\n')
     tabular.write_audit(cells, str(tmp_path / "audit"))
     audit = spark.read.parquet(str(tmp_path / "audit"))
     assert audit.count() == 13 and audit.where("raw = 'f1 id' and cleaned = 'f01_id' and row = 0").count() == 1
@@ -172,20 +180,44 @@ def test_workbooks(spark, tmp_path):
         ("t1", 1, "f01_id"), ("t1", 2, "Masters_No_"), ("t1", 3, "xxxx"), ("t2", 1, "other"), ("t2", 2, "_c2")]
 
 
+def test_rows_of_many_sheets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(xml, "ROWS_PER_PART", 40)
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        for k in range(3):
+            rows = [["h"], *([f"{folder}{k}-{i}" if i % 9 else None] for i in range(100))]
+            (tmp_path / folder / f"{k}.xlsx").write_bytes(workbook_bytes([("s", rows), ("t", rows[:5]), ("u", rows[:1])]))
+    _, cells = pipelines.convert_workbooks(spark, str(tmp_path))
+    xml.write_rows(cells, str(tmp_path / "o"))
+    found = {}
+    for document in sorted(glob.glob(str(tmp_path / "o" / "*" / "*" / "part=*" / "*.txt"))):
+        text = open(document).read()
+        root = ElementTree.fromstring(text.split("\n", 1)[1])
+        where = tuple(p.split("=")[1] for p in document.split("/")[-4:-2])
+        found.setdefault(where, []).extend((int(r.get("n")), r.findtext("h")) for r in root)
+    assert len(found) == 18
+    for (folder, output), rows in found.items():
+        stem = folder[-1] + output[0]
+        n = 4 if "_2" in output else 0 if "_3" in output else 100
+        assert rows == [(i + 2, f"{stem}-{i}" if i % 9 else None) for i in range(n)]
+
+
 def test_a_value_in_a_dropped_column_stops(spark, tmp_path):
     (tmp_path / "b.xlsx").write_bytes(workbook_bytes([("s", [["a", "xxxx"], ["1", "oops"]])]))
     with pytest.raises(Exception, match="dropped column xxxx has value oops"):
         pipelines.convert_workbooks(spark, str(tmp_path))[0].collect()
+    with pytest.raises(Exception, match="dropped column xxxx has value oops"):
+        xml.row_documents(pipelines.convert_workbooks(spark, str(tmp_path))[1]).collect()
 
 
 def test_stubs(spark, tmp_path):
     files = spark.createDataFrame(
-        [("f1", 'survey_MISSINGFILE.xls', "dcf"), ("f2", "x_n.xls", "dcf"), ("f3", "real.xls", "dcf")],
+        [("d/f1", "survey_MISSINGFILE.xls", "dcf"), ("e/f2", "x_n.xls", "dcf"), ("f3", "real.xls", "dcf")],
         "file string, file_name string, record_type string")
     held, stubs = pipelines.convert_listing(files)
     assert [(r.file, r.route) for r in held.collect()] == [("f3", "registered")]
     xml.write_stubs(stubs, str(tmp_path / "o"))
-    written = texts(str(tmp_path / "o" / "output=x_n.xml"))
+    written = [t for t in texts(str(tmp_path / "o"), "*.txt") if "x_n" in t]
     assert written == ['<?xml version="1.0" encoding="UTF-8"?>\n<dataroot source="x_n.xml" n="0">\n</dataroot>\n']
     assert read_root_attributes(spark, str(tmp_path / "o")).where("declared_n = 0").count() == 2
 
