@@ -49,6 +49,21 @@ def unescape_xml(c: Column | str) -> Column:
     return _swap(_col(c), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
 
 
+def _has_entity(c: Column) -> Column:
+    return c.contains("&") | c.contains("#")
+
+
+def _entities(c: Column) -> Column:
+    out = F.regexp_replace(c, "&(?!(?:gt|lt|apos|quot);)", "&amp;")
+    out = _swap(out, ("#gt;", "&gt;"), ("#lt;", "&lt;"))
+    return _swap(out, ("#apos;", "'"), ("#quot;", '"'), ("&apos;", "'"), ("&quot;", '"'))
+
+
+def _breaks(c: Column) -> Column:
+    out = _swap(F.regexp_replace(c, "(\r\n){2,}", PARAGRAPH_TOKEN), ("\r\n", RETURN_TOKEN))
+    return _swap(F.regexp_replace(out, "\r{2,}", PARAGRAPH_TOKEN), ("\r", RETURN_TOKEN))
+
+
 def normalise_entities(c: Column | str) -> Column:
     """Keep ``&gt; &lt;``, decode ``&apos; &quot;``, escape any other ``&``.
 
@@ -56,26 +71,26 @@ def normalise_entities(c: Column | str) -> Column:
     ``#apos;`` or ``#quot;`` is changed as well.
     """
     c = _col(c)
-    out = F.regexp_replace(c, "&(?!(?:gt|lt|apos|quot);)", "&amp;")
-    marked = _swap(out, ("#gt;", "&gt;"), ("#lt;", "&lt;"), ("#apos;", "'"), ("#quot;", '"'))
-    out = _swap(F.when(c.contains("#"), marked).otherwise(out), ("&apos;", "'"), ("&quot;", '"'))
-    return F.when(c.contains("&") | c.contains("#"), out).otherwise(c)
+    return F.when(_has_entity(c), _entities(c)).otherwise(c)
 
 
 def tokenise_breaks(c: Column | str) -> Column:
     """Line breaks to tokens: a run of breaks opens a paragraph, a single one is
     a return. ``\\r\\n`` goes first, then bare ``\\r``; bare ``\\n`` stays."""
     c = _col(c)
-    out = F.regexp_replace(c, "(\r\n){2,}", PARAGRAPH_TOKEN)
-    out = _swap(out, ("\r\n", RETURN_TOKEN))
-    out = F.regexp_replace(out, "\r{2,}", PARAGRAPH_TOKEN)
-    out = _swap(out, ("\r", RETURN_TOKEN))
-    return F.when(c.contains("\r"), out).otherwise(c)
+    return F.when(c.contains("\r"), _breaks(c)).otherwise(c)
 
 
 def clean_cell(c: Column | str) -> Column:
-    """Trim, normalise entities, tokenise line breaks: the cleaning of a cell."""
-    return tokenise_breaks(normalise_entities(trim_ws(c)))
+    """Trim, normalise entities, tokenise line breaks: the cleaning of a cell.
+
+    Both conditions look at the untrimmed text, which decides the same. A
+    condition on the result of the step before would double that step's code.
+    """
+    c = _col(c)
+    out = trim_ws(c)
+    out = F.when(_has_entity(c), _entities(out)).otherwise(out)
+    return F.when(c.contains("\r"), _breaks(out)).otherwise(out)
 
 
 def strip_control(c: Column | str) -> Column:
@@ -121,18 +136,16 @@ def fit_fields(line: Column | str, n: int, sep: str = "\t") -> Column:
 def normalise_header(c: Column | str) -> Column:
     """Make a header cell usable as a name. The order of the steps matters: the
     semicolon goes before the entities are looked for."""
-    c = _col(c)
-    out = F.when(c.startswith("f"), F.regexp_replace(c, "\\Af([0-9]) ", "f0$1_")).otherwise(c)
+    out = F.regexp_replace(_col(c), "\\Af([0-9]) ", "f0$1_")
     out = F.regexp_replace(_swap(out, (" ", "_"), ("#", "_No_")), "['\";()/\\\\]", "")
-    plain = _swap(out, ("&apos;", ""), ("&apos", ""), ("&quot;", ""))
-    out = F.when(c.contains("&"), plain).otherwise(out)
-    return F.when(out.contains("__"), F.regexp_replace(out, "__+", "_")).otherwise(out)
+    out = _swap(out, ("&apos;", ""), ("&apos", ""), ("&quot;", ""))
+    return F.regexp_replace(out, "__+", "_")
 
 
 def element_name(header: Column | str, col_no: Column | str) -> Column:
     """A valid XML element name: the normalised header, with ``_c<i>`` for a
     blank one and ``_`` for characters a name may not hold."""
     name = F.regexp_replace(normalise_header(header), "[^\\p{L}\\p{N}_.-]", "_")
-    name = F.when(F.rlike(name, F.lit("\\A[\\p{L}_]")), name).otherwise(F.concat(F.lit("_"), name))
+    name = F.regexp_replace(name, "\\A(?![\\p{L}_])", "_")
     blank = F.coalesce(trim_ws(header), F.lit("")) == ""
     return F.when(blank, F.concat(F.lit("_c"), _col(col_no).cast("string"))).otherwise(name)

@@ -14,8 +14,8 @@ from quillgrid.sinks.order import in_document_order
 
 def clean_cells(cells: DataFrame) -> DataFrame:
     """Add ``cleaned``; the cells of the header row are made names first."""
-    value = F.col("value")
-    return cells.withColumn("cleaned", clean_cell(F.when(F.col("n") == 1, normalise_header(value)).otherwise(value)))
+    name = clean_cell(normalise_header("value"))
+    return cells.withColumn("cleaned", F.when(F.col("n") == 1, name).otherwise(clean_cell("value")))
 
 
 def tsv_lines(cells: DataFrame) -> DataFrame:
