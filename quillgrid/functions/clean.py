@@ -134,12 +134,15 @@ def fit_fields(line: Column | str, n: int, sep: str = "\t") -> Column:
 
 
 def normalise_header(c: Column | str) -> Column:
-    """Make a header cell usable as a name. The order of the steps matters: the
-    semicolon goes before the entities are looked for."""
-    out = F.regexp_replace(_col(c), "\\Af([0-9]) ", "f0$1_")
+    """Make a header cell usable as a name.
+
+    The semicolon goes before entities are looked for, so ``&apos`` is the only
+    one left to find; ``&quot;`` keeps its name without the semicolon.
+    """
+    c = _col(c)
+    out = F.when(c.startswith("f"), F.regexp_replace(c, "\\Af([0-9]) ", "f0$1_")).otherwise(c)
     out = F.regexp_replace(_swap(out, (" ", "_"), ("#", "_No_")), "['\";()/\\\\]", "")
-    out = _swap(out, ("&apos;", ""), ("&apos", ""), ("&quot;", ""))
-    return F.regexp_replace(out, "__+", "_")
+    return F.regexp_replace(_swap(out, ("&apos", "")), "__+", "_")
 
 
 def element_name(header: Column | str, col_no: Column | str) -> Column:

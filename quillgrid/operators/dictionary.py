@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgrid.functions.clean import _col
+from quillgrid.functions.clean import FALSY, _col
 from quillgrid.functions.provenance import column_letter
 from quillgrid.operators.joins import is_small, lookup
 
 # The types that share the metadata of another one.
 ALIASES = {"c31s": "crs", "c33s": "crs", "c37s": "crs", "c40s": "crs", "c41s": "crs"}
-# Fixed value: what stands before a documentation link.
+# The texts of the dictionary.
 DOCUMENTATION_PREFIX = "Transcription documentation: "
+FIELD_TEXT = 'In original source file type "{type}", column {ordinal} or {letter} is XML element "{column}".'
+GENERAL_TEXT = ' Generally for "{column}": {description}'
+SPECIFIC_TEXT = ' Specifically for "{type}.{column}": {description}'
+
+
+def _fill(template: str, **values: Column) -> Column:
+    """The template with Columns in place of ``{name}``."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*(values[p] if i % 2 else F.lit(p) for i, p in enumerate(parts)))
 
 
 def resolve_alias(c: Column | str, aliases: Mapping[str, str] = ALIASES) -> Column:
@@ -47,13 +57,12 @@ def extra_description(record_type: Column | str, column: Column | str, general:
     """The described parts; an absent description leaves its part out."""
     kind, name, general, specific = map(_col, (record_type, column, general, specific))
 
-    def part(word: str, key: Column, text: Column) -> Column:
-        said = F.concat(F.lit(f' {word} for "'), key, F.lit('": '), text)
+    def part(template: str, description: Column) -> Column:
+        said = _fill(template, type=kind, column=name, description=description)
         # Absent covers NULL, '' and '0'.
-        return F.when(~text.isin("", "0"), said).otherwise(F.lit(""))
+        return F.when(~description.isin(*FALSY), said).otherwise(F.lit(""))
 
-    own_key = F.concat(kind, F.lit("."), name)
-    return F.concat(part("Generally", name, general), part("Specifically", own_key, specific))
+    return F.concat(part(GENERAL_TEXT, general), part(SPECIFIC_TEXT, specific))
 
 
 def field_description(
@@ -62,11 +71,8 @@ def field_description(
 ) -> Column:
     """The full sentence about a column."""
     kind, name, i = map(_col, (record_type, column, ordinal))
-    return F.concat(
-        F.lit('In original source file type "'), kind, F.lit('", column '), i.cast("string"), F.lit(" or "),
-        column_letter(i), F.lit(' is XML element "'), name, F.lit('".'),
-        extra_description(kind, name, general, specific),
-    )
+    text = _fill(FIELD_TEXT, type=kind, ordinal=i.cast("string"), letter=column_letter(i), column=name)
+    return F.concat(text, extra_description(kind, name, general, specific))
 
 
 def with_type_meta(df: DataFrame, meta: DataFrame, documentation_url: str = "", archive_url: str = "") -> DataFrame:
@@ -79,11 +85,11 @@ def with_type_meta(df: DataFrame, meta: DataFrame, documentation_url: str = "",
         F.col("record_type").alias("_meta_type"), "num_recs", F.col("desc").alias("label"),
         F.col("source").alias("workflow"),
         F.when(
-            ~F.col("documentation").isin("", "0"),
+            ~F.col("documentation").isin(*FALSY),
             F.concat(F.lit(DOCUMENTATION_PREFIX + documentation_url), "documentation"),
         ).alias("documentation"),
         F.when(
-            ~F.col("archive_id").isin("", "0"), F.concat(F.lit(archive_url), "archive_id")
+            ~F.col("archive_id").isin(*FALSY), F.concat(F.lit(archive_url), "archive_id")
         ).alias("archive"),
     )
     keyed = df.withColumn("_meta_type", resolve_alias("record_type"))
