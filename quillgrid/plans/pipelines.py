@@ -18,7 +18,7 @@ from quillgrid.operators import reconcile as counts
 from quillgrid.operators import records
 from quillgrid.operators.joins import lookup
 from quillgrid.operators.reshape import drop_elements, promote_header
-from quillgrid.operators.schema import registry_names
+from quillgrid.operators.schema import registry_names, with_record_type
 from quillgrid.sinks.tabular import clean_cells
 from quillgrid.sources.files import few_splits, list_files
 from quillgrid.sources.lines import field_columns, read_delimited, read_fields
@@ -47,6 +47,7 @@ def convert_volumes(
 
     Returns the records, with the document key as ``lineNum`` and the parts of
     the key beside it, and the table ``(file, declared_n, actual_n, verdict)``.
+    A file whose name tells no volume stops the job.
     """
     names = registry_names(registry, row_tag)
     rows = read_records(spark, path, row_tag, names, split)
@@ -64,7 +65,9 @@ def convert_volumes(
             "record_type": F.coalesce("told.record_type", F.lit(row_tag)),
         }
     ).drop("told")
-    key = F.when(F.col("line").isNotNull(), document_key("volume", "line", "record_type")).otherwise(F.col("lineNum"))
+    unknown = F.raise_error(F.concat(F.lit("no volume in the name of "), "file"))
+    volume = F.when(F.col("volume").isNull(), unknown).otherwise(F.col("volume"))
+    key = F.when(F.col("line").isNotNull(), document_key(volume, "line", "record_type")).otherwise(F.col("lineNum"))
     marked = marked.withColumn("lineNum", key)
     keep = (*records.POSITION, "record_type", "volume", "line")
     out = records.drop_empty(marked, keep)
@@ -108,6 +111,14 @@ def convert_delimited(
     return records.drop_falsy_values(out, keep_zero=keep_zero) if keep_parts else out
 
 
+def check_delimited(df: DataFrame, record_type: str, declared_n: int | None = None, fatal: bool = False) -> DataFrame:
+    """The number of records of a delimited layout against the declared one."""
+    declared = counts.DELIMITED[record_type][2] if declared_n is None else declared_n
+    actual = counts.count_records(with_record_type(df, record_type), "record_type")
+    promised = df.sparkSession.createDataFrame([(record_type, declared)], "record_type string, declared_n bigint")
+    return counts.reconcile(actual, promised, "record_type", fatal)
+
+
 def convert_workbooks(
     spark: SparkSession, path: str | list[str], keep_zero: bool = False
 ) -> tuple[DataFrame, DataFrame]:

@@ -60,7 +60,7 @@ def clean_cell(spark, sf):
 def cell_audit(spark, sf):
     raw = F.replace(F.replace("html", F.lit("</p>"), F.lit("\r\n")), F.lit("</li>"), F.lit("\r"))
     rows = table(spark, sf, "pages").select("page_id", raw.alias("raw"))
-    return rows.select("page_id", F.length("raw").alias("raw_chars"), Q.clean_cell("raw").alias("cleaned"))
+    return rows.select("page_id", F.length("raw").cast("bigint").alias("raw_chars"), Q.clean_cell("raw").alias("cleaned"))
 
 
 @query(

@@ -65,14 +65,15 @@ def repair_bytes(raw: Column, charset: str, correct: bool = False) -> Column:
     one, which follows an ASCII byte, is touched.
     """
     latin = F.decode(raw, "ISO-8859-1")
-    if charset.upper() != UTF8:
-        return F.encode(repair_quote(latin, correct), "ISO-8859-1")
     stray = "(?<![\u0080-\u00ff])\u0092"
-    if correct:
+    if charset.upper() != UTF8:
+        fixed = repair_quote(latin, correct)
+    elif correct:
         fixed = F.regexp_replace(latin, stray, "'")
     else:
         fixed = F.regexp_replace(latin, f"(?s)\\A(.*?){stray}s", "$1'")
-    return F.when(latin.contains("\u0092"), F.encode(fixed, "ISO-8859-1")).otherwise(raw)
+    # Rows without the byte are not decoded at all.
+    return F.when(F.contains(raw, F.lit(bytearray([0x92]))), F.encode(fixed, "ISO-8859-1")).otherwise(raw)
 
 
 def read_fields(

@@ -92,17 +92,26 @@ def read_records(
     return number_rows(rows, "file", "pos", block="block").select("file", "block", "rn", *columns)
 
 
-def read_root_attributes(spark: SparkSession, path: str | list[str], root_tag: str = ROOT_TAG) -> DataFrame:
-    """``(file, source, declared_n)`` from the root element of each file."""
-    pin_splits(spark)
-    pieces = spark.read.option("lineSep", ">").option("recursiveFileLookup", "true").text(path)
-    value = F.make_valid_utf8("value")
+def read_root_attributes(
+    spark: SparkSession, path: str | list[str], row_tag: str | None = None, root_tag: str = ROOT_TAG
+) -> DataFrame:
+    """``(file, source, declared_n)`` from the root element of each file.
+
+    With ``row_tag`` the scan makes one piece per record, else one per tag.
+    """
+    separator = ">" if row_tag is None else f"<{row_tag}"
+    text = F.decode("raw", "ISO-8859-1")
+    opening = F.regexp_extract(text, f"<{root_tag}(\\s[^>]*|\\z|(?=>))", 0).alias("opening")
+    # The root opens in the first split of its file, in any charset with plain ASCII tags.
+    roots = scan_records(spark, path, separator).where(F.col("block") == 0).select("file", "raw", opening)
+    roots = roots.where(F.col("opening") != "").select(
+        "file", F.make_valid_utf8(F.encode("opening", "ISO-8859-1").cast("string")).alias("opening")
+    )
 
     def attribute(name: str):
-        return F.regexp_extract(value, f"\\s{name}=\"([^\"]*)\"", 1)
+        return F.regexp_extract("opening", f"\\s{name}=\"([^\"]*)\"", 1)
 
-    return pieces.where(F.rlike(value, F.lit(f"<{root_tag}(\\s|\\z)"))).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.nullif(attribute("source"), F.lit("")).alias("source"),
+    return roots.select(
+        "file", F.nullif(attribute("source"), F.lit("")).alias("source"),
         attribute("n").try_cast("bigint").alias("declared_n"),
     )

@@ -47,8 +47,9 @@ def test_registered(spark, tmp_path, registry, split):
     back = read_records(spark, target, "dcf", names)
     ordered = [(r.lineNum, r.ship, r.notes) for r in back.orderBy("file", "rn").collect()]
     assert ordered == [("1", None, "a & b"), ("2", "s", None), ("3", "0", " z "), ("1", None, "a & b")]
-    roots = read_root_attributes(spark, target).collect()
-    assert {(r.source, r.declared_n) for r in roots} == {("d%201.xml", 4)}
+    for tag in (None, "dcf"):
+        roots = read_root_attributes(spark, target, tag).collect()
+        assert {(r.source, r.declared_n) for r in roots} == {("d%201.xml", 4)}
 
 
 def test_documents_are_written_in_order_by_many_tasks(spark, tmp_path):
@@ -110,6 +111,14 @@ def test_volumes(spark, tmp_path, registry):
     assert {n: v[2] for n, v in named.items()} == {n: v for n, (_, _, _, v) in VOLUMES.items()}
 
 
+def test_volumes_need_a_volume(spark, tmp_path, registry):
+    (tmp_path / "other.xml").write_text(document("c31a", ["lineNum"], [("L",), ("1",)]))
+    out, verdicts = pipelines.convert_volumes(spark, str(tmp_path / "other.xml"), registry, "c31a")
+    with pytest.raises(Exception, match="no volume in the name of"):
+        out.collect()
+    assert verdicts.first().verdict == "BOO"
+
+
 def test_deaths(spark, tmp_path, registry):
     lines = ["n\td\tm\ty\tr\ta", "1\t3\t4\t1850\t Watchmaker\x92s child \t30", "2\t3\t4\t\tx<y\t0", "", "3\t\t\t1851\t0\t00"]
     (tmp_path / "deaths.dat").write_bytes("\r\n".join(lines).encode("latin-1"))
@@ -118,6 +127,8 @@ def test_deaths(spark, tmp_path, registry):
     assert [tuple(r)[2:] for r in out.orderBy("rn").collect()] == [
         (2, "1", "1850-04-03", "Watchmaker' child", "30"), (3, "2", None, "x<y", None), (4, None, None, None, None),
         (5, "3", "1851-00-00", None, "00")]
+    assert tuple(pipelines.check_delimited(out, "kgd").first()) == ("kgd", 92885, 4, "BOO")
+    assert pipelines.check_delimited(out, "kgd", 4, fatal=True).first().verdict == "GOOD"
     kept = pipelines.convert_delimited(
         spark, str(tmp_path / "deaths.dat"), registry, "kgd", keep_zero=True, keep_parts=True, correct=True)
     assert [tuple(r)[2:] for r in kept.orderBy("rn").collect()][:2] == [
