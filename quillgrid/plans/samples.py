@@ -12,8 +12,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillgrid.session import ship_with_tasks
 from quillgrid.sources.workbook import MAIN, RELATION_ID
 
+ship_with_tasks(__name__)
+
 
 def workbook_bytes(sheets: Sequence[tuple[str, Sequence[Sequence[object]]]]) -> bytes:
     """A workbook of ``(sheet name, rows)``. Text is stored as shared strings,

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
@@ -55,3 +57,9 @@ def pin_splits(spark: SparkSession) -> None:
     key = "spark.sql.files.minPartitionNum"
     if spark.conf.get(key, None) is None:
         spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+
+
+def ship_with_tasks(module_name: str) -> None:
+    """Send the functions of a module along with the tasks that call them, so
+    that executors need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

@@ -19,6 +19,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillgrid.session import ship_with_tasks
+
+ship_with_tasks(__name__)
+
 # Name spaces of the workbook format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"

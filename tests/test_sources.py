@@ -205,6 +205,26 @@ def test_hand_written_sheet(spark):
     assert rows[4, 2] == (3, "", "1.50") and rows[4, 3] == (3, "rich", "calc") and rows[4, 4] == (3, "", "1")
 
 
+def test_executors_need_no_copy_of_the_package(spark, tmp_path):
+    """Run in another folder, where workers cannot import the package."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    (tmp_path / "b.xlsx").write_bytes(workbook_bytes([("s", [["h"], ["v"]])]))
+    code = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "from quillgrid.session import session\nfrom quillgrid.sources.workbook import read_workbook_cells\n"
+        "spark = session(master='local[1]', **{'spark.ui.enabled': 'false'})\n"
+        f"print('cells', read_workbook_cells(spark, {str(tmp_path)!r}).count())"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True,
+                          timeout=300)
+    assert "cells 2" in done.stdout, done.stderr[-2000:]
+
+
 def test_unreadable_workbook(spark):
     books = spark.createDataFrame(
         [("bad", b"no zip"), ("good", workbook_bytes([("s", [["h"]])]))], "file string, content binary")
