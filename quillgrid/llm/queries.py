@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quillgrid.llm import bpe
 from quillgrid.llm.common import table
 from quillgrid.llm.exact_dedup import exact_groups
 
@@ -37,3 +39,27 @@ LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdef
 )
 def exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
+
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the installed package of public tokenizers keeps a file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op4_bpe")
+def bpe_round_trip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, tokenizer_path()).drop("text")
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    digests = encoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), "ids"
+    )
+    decoded = bpe.decode(digests, tokenizer_path())
+    return decoded.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
