@@ -19,18 +19,14 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from quillgrid.llm.common import once_per_worker, whole
+from quillgrid.llm.common import add_columns, once_per_worker
 
 # The pattern that splits text before the merges, a fixed value; \s is spelled
 # out as the Unicode property, which regular expression libraries agree on.
@@ -43,7 +39,7 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 # No word crosses from one of these chunks into the next, so text is cut into
 # chunks first, which takes a far simpler pattern, and words are sought in new chunks only.
 CHUNKS = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-KEPT = 600_000
+KEPT = 200_000
 """Entries of the worker's memories; full ones start anew."""
 PAIR_SLOTS = 1 << 21
 """Slots of the table of compatible pairs. Pairs that share a slot displace each
@@ -266,16 +262,6 @@ class Decoder:
         return self.blob[place].tobytes().decode("utf-8", errors="replace")
 
 
-SLICE = 2_000_000
-"""Letters or ids that a worker turns before it hands them on."""
-
-
-def _slices(batch: pd.DataFrame, weights: np.ndarray) -> Iterator[pd.DataFrame]:
-    part = np.cumsum(weights) // SLICE
-    for _, rows in batch.groupby(part, sort=False):
-        yield rows
-
-
 def _shared(docs: DataFrame, vocabulary: str) -> tuple[Broadcast, str]:
     """The text of a tokenizer file for the executors, and its digest."""
     with open(vocabulary, encoding="utf-8") as file:
@@ -291,18 +277,12 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     ``ids_col`` is replaced; an empty table gives an empty one.
     """
     said, key = _shared(docs, vocabulary)
-    others = [c for c in docs.columns if c != ids_col]
-    kept = docs.select(*[F.col(f"`{c}`") for c in others], whole(F.col(f"`{text_col}`")).alias("_bpe_text"))
-    schema = T.StructType([*(f for f in docs.schema.fields if f.name != ids_col), T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = once_per_worker(("bpe", key), lambda: Vocabulary(said.value))
-        for batch in batches:
-            for rows in _slices(batch, batch["_bpe_text"].str.len().to_numpy()):
-                ids = vocabulary.encode(rows["_bpe_text"].tolist())
-                yield rows.drop(columns="_bpe_text").assign(**{ids_col: pd.Series(ids, index=rows.index, dtype=object)})
+    def work(texts: list[str | None]) -> list[list]:
+        tables = once_per_worker(("bpe", key), lambda: Vocabulary(said.value))
+        return [tables.encode([t or "" for t in texts])]
 
-    return kept.mapInPandas(run, schema)
+    return add_columns(docs, f"`{ids_col}` array<int>", text_col, work)
 
 
 def decode(docs: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -312,13 +292,9 @@ def decode(docs: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str
     have stops the job.
     """
     said, key = _shared(docs, vocabulary)
-    schema = T.StructType([*(f for f in docs.schema.fields if f.name != text_col), T.StructField(text_col, T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(ids: list[list[int] | None]) -> list[list]:
         decoder = once_per_worker(("bpe decoder", key), lambda: Decoder(said.value))
-        for batch in batches:
-            for rows in _slices(batch, batch[ids_col].map(lambda x: 0 if x is None else len(x)).to_numpy()):
-                texts = ["" if x is None else decoder.decode(x) for x in rows[ids_col]]
-                yield rows.assign(**{text_col: pd.Series(texts, index=rows.index, dtype=object)})
+        return [["" if x is None else decoder.decode(x) for x in ids]]
 
-    return docs.drop(text_col).mapInPandas(run, schema)
+    return add_columns(docs, f"`{text_col}` string", ids_col, work)

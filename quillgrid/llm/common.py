@@ -5,11 +5,15 @@ from __future__ import annotations
 import sys
 import tempfile
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -59,3 +63,69 @@ def once_per_worker(key: object, build: Callable[[], Any]) -> Any:
     if key not in store:
         store[key] = build()
     return store[key]
+
+
+SLICE_BYTES = 2_000_000
+"""Bytes of the rows that a worker turns before it hands them on."""
+
+
+def values_of(array: pa.Array) -> list:
+    """The values of an Arrow column; lists of numbers stay numpy arrays."""
+    kind = array.type
+    if not pa.types.is_list(kind) or not pa.types.is_integer(kind.value_type):
+        return array.to_pylist()
+    flat, at, there = array.values.to_numpy(zero_copy_only=False), array.offsets.to_numpy(), array.is_valid().to_pylist()
+    return [flat[a:b] if v else None for a, b, v in zip(at, at[1:], there)]
+
+
+def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``SLICE_BYTES`` of a text or list column."""
+    text = pa.types.is_string(batch.schema.field(column).type)
+    size, each = (pc.binary_length, 1) if text else (pc.list_value_length, 8)
+    sizes = pc.fill_null(size(batch.column(column)), 0).cast(pa.int64()).to_pylist()
+    start = held = 0
+    for i, n in enumerate(sizes):
+        held += n * each + 64
+        if held >= SLICE_BYTES:
+            yield batch.slice(start, i + 1 - start)
+            start, held = i + 1, 0
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
+def add_columns(
+    df: DataFrame, added: str, column: str, work: Callable[[list], list[list]], keep: list[str] | None = None,
+    sized_by: str | None = None,
+) -> DataFrame:
+    """``df`` with the columns of the schema ``added``, worked out from the
+    values of ``column`` by Python in each task.
+
+    ``work`` gets the values of some rows and returns a list for each new
+    column. Other columns pass as Arrow, untouched; ``keep`` names those to
+    keep (all of them unless given). Columns of the new names are replaced.
+    ``sized_by`` names the text column that rows are counted out by, if it is
+    not ``column``.
+    """
+    new = T.StructType.fromDDL(added)
+    names = set(new.fieldNames())
+    kept = [f for f in df.schema.fields if f.name not in names and (keep is None or f.name in keep)]
+    types = list(to_arrow_schema(new).types)
+    schema = T.StructType([*kept, *new.fields])
+    kept_names, all_names = [f.name for f in kept], schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, sized_by or column):
+                made = work(values_of(rows.column(column)))
+                arrays = [rows.column(n) for n in kept_names]
+                arrays += [pa.array(values, t) for values, t in zip(made, types)]
+                yield pa.RecordBatch.from_arrays(arrays, all_names)
+
+    return df.mapInArrow(run, schema)
+
+
+def own_names(df: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """``df`` under names that clash with nothing: the frame, the new name of
+    each column, and the columns that give the old names back."""
+    new = {c: f"_own{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*new.values()), new, [F.col(n).alias(c) for c, n in new.items()]

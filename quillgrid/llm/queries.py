@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillgrid.llm import bpe
 from quillgrid.llm.common import table
+from quillgrid.llm.decontaminate import find_passages
 from quillgrid.llm.exact_dedup import exact_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +64,34 @@ def bpe_round_trip(spark, sf_dir):
     return decoded.select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )
+
+
+WORDS9_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+')"
+
+
+@query(
+    "op9_decontaminate",
+    f"""WITH d AS (SELECT doc_id, {WORDS9_SQL} AS w FROM documents),
+    b AS (SELECT item_id, {WORDS9_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+    win AS (SELECT DISTINCT item_id, least(13, len(w)) AS size, list_slice(w, i, i + least(13, len(w)) - 1) AS win
+        FROM b, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS u(i) WHERE len(w) > 0),
+    sizes AS (SELECT DISTINCT size FROM win),
+    places AS (SELECT doc_id, size, i, list_slice(w, i, i + size - 1) AS win
+        FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS u(i) WHERE len(w) >= size),
+    hit AS (SELECT doc_id, p.size, i, item_id FROM places p JOIN win USING (size, win)),
+    words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM hit, unnest(range(i, i + size)) AS u(k) GROUP BY doc_id),
+    items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+        string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+)
+def decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_passages(docs, table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(ids.cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
