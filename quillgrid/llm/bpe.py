@@ -16,9 +16,11 @@ size the tokenizer fixes.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -39,7 +41,7 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 # No word crosses from one of these chunks into the next, so text is cut into
 # chunks first, which takes a far simpler pattern, and words are sought in new chunks only.
 CHUNKS = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-KEPT = 200_000
+KEPT = 300_000
 """Entries of the worker's memories; full ones start anew."""
 PAIR_SLOTS = 1 << 21
 """Slots of the table of compatible pairs. Pairs that share a slot displace each
@@ -165,9 +167,32 @@ class Vocabulary:
         return tokens
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """The ids of many short words; all take their next step at once."""
+        """The ids of many short words.
+
+        Where the longest matches from left to right are compatible with each
+        other they are the answer; the other words go back and forth.
+        """
         # The letter between the words occurs in no token.
         text = "\u0100".join(w.decode("latin-1") for w in words)
+        matches = np.fromiter(chain.from_iterable(self.automaton.iter_long(text)), np.int64).reshape(-1, 2)
+        ends = np.cumsum(np.array([len(w) for w in words]) + 1)
+        word = np.searchsorted(ends, matches[:, 0], side="right")
+        ranks = matches[:, 1]
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        fits = self.compatible_pairs(ranks[inner], ranks[inner + 1])
+        wrong = np.zeros(len(words), bool)
+        wrong[word[inner[~fits]]] = True
+        ids, stop = self.ids[ranks].tobytes(), 4 * np.cumsum(np.bincount(word, minlength=len(words)))
+        found = [ids[a:b] for a, b in zip([0, *stop[:-1]], stop)]
+        again = np.flatnonzero(wrong).tolist()
+        if again:
+            for i, mended in zip(again, self.backtrack([words[i] for i in again])):
+                found[i] = mended
+        return found
+
+    def backtrack(self, words: list[bytes]) -> list[bytes]:
+        """The ids of many short words; all take their next step at once."""
+        text = "\u0100".join(w.decode("latin-1") for w in words)
         longest = np.array(self.longest_matches(text), np.int32)
         sizes = np.array([len(w) for w in words])
         first = np.cumsum(sizes + 1) - sizes - 1
@@ -212,7 +237,7 @@ class Vocabulary:
         if len(self.kept_words) > KEPT:
             self.kept_words.clear()
         cut = {c: self.words.findall(c) for c in chunks if c not in self.kept}
-        new = list({w for words in cut.values() for w in words if w not in self.kept_words})
+        new = list(set().union(*cut.values()).difference(self.kept_words))
         raw = {w: w.encode() for w in new}
         short = [w for w in new if len(raw[w]) <= SHORT]
         if short:
@@ -220,8 +245,8 @@ class Vocabulary:
         for w in new:
             if len(raw[w]) > SHORT:
                 self.kept_words[w] = self.ids[self.encode_word(raw[w])].tobytes()
-        for c, words in cut.items():
-            self.kept[c] = b"".join([self.kept_words[w] for w in words])
+        ids = self.kept_words.__getitem__
+        self.kept.update(zip(cut, [b"".join(map(ids, words)) for words in cut.values()]))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of some texts."""
@@ -230,12 +255,9 @@ class Vocabulary:
             pieces = self.cut.split(text) if self.cut and any(c in text for c in self.added) else [text]
             cut.append([x for p in pieces for x in ([p] if p in self.added else self.chunks.findall(p))])
         self.learn(set().union(*cut).difference(self.added))
-        known = self.kept | self.added if any(a in self.kept for a in self.added) else self.kept
-        out = []
-        for chunks in cut:
-            ids = b"".join([known[c] if c in known else self.added[c] for c in chunks])
-            out.append(np.frombuffer(ids, np.int32))
-        return out
+        self.kept.update(self.added)
+        ids = self.kept.__getitem__
+        return [np.frombuffer(b"".join(map(ids, chunks)), np.int32) for chunks in cut]
 
 
 class Decoder:
@@ -279,6 +301,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     said, key = _shared(docs, vocabulary)
 
     def work(texts: list[str | None]) -> list[list]:
+        gc.disable()  # millions of strings and no cycles
         tables = once_per_worker(("bpe", key), lambda: Vocabulary(said.value))
         return [tables.encode([t or "" for t in texts])]
 
