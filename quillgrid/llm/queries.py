@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.llm import bpe
+from quillgrid.llm import bpe, language
 from quillgrid.llm.common import table
 from quillgrid.llm.decontaminate import find_passages
 from quillgrid.llm.exact_dedup import exact_groups
@@ -95,3 +95,15 @@ def decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(ids.cast("binary"), 256).alias("items_sha256"), "contaminated",
     )
+
+
+def learns_language() -> Column:
+    """Rows that language labels may be learned from."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1
+
+
+@query("op6_language")
+def language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.predict(docs, language.learn(docs, learns_language()))
+    return found.select("doc_id", (~learns_language()).alias("held_out"), "lang_pred", "score", "margin")
