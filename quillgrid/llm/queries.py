@@ -11,6 +11,7 @@ from quillgrid.llm import bpe, language
 from quillgrid.llm.common import table
 from quillgrid.llm.decontaminate import find_passages
 from quillgrid.llm.exact_dedup import exact_groups
+from quillgrid.llm.jaccard import near_classes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,3 +108,8 @@ def language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.predict(docs, language.learn(docs, learns_language()))
     return found.select("doc_id", (~learns_language()).alias("held_out"), "lang_pred", "score", "margin")
+
+
+@query("op7_jaccard_join")
+def jaccard_join(spark, sf_dir):
+    return near_classes(table(spark, sf_dir, "documents"), percent=90, width=3)
