@@ -12,6 +12,7 @@ from quillgrid.llm.common import table
 from quillgrid.llm.decontaminate import find_passages
 from quillgrid.llm.exact_dedup import exact_groups
 from quillgrid.llm.jaccard import near_classes
+from quillgrid.llm.sharding import shard
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,3 +114,15 @@ def language_id(spark, sf_dir):
 @query("op7_jaccard_join")
 def jaccard_join(spark, sf_dir):
     return near_classes(table(spark, sf_dir, "documents"), percent=90, width=3)
+
+
+SHARDS = 24
+
+
+@query("op1_sharding")
+def sharding_by_vectors(spark, sf_dir):
+    placed = shard(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
