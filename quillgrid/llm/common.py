@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import tempfile
 import types
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -53,6 +54,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the folder that all executors share; only a local session
+    without ``spark.checkpoint.dir`` gets a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{root or tempfile.mkdtemp(prefix='shared-')}/{label}-{uuid.uuid4().hex}"
+
+
 def once_per_worker(key: object, build: Callable[[], Any]) -> Any:
     """``build()``, made once in each Python worker and kept for its later tasks.
 

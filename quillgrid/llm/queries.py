@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.llm import bpe, language
-from quillgrid.llm.common import table
+from quillgrid.llm import bpe, language, warc
+from quillgrid.llm.common import shared_path, table
 from quillgrid.llm.decontaminate import find_passages
 from quillgrid.llm.exact_dedup import exact_groups
 from quillgrid.llm.jaccard import near_classes
@@ -126,3 +126,18 @@ def sharding_by_vectors(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op5_warc")
+def warc_round_trip(spark, sf_dir):
+    archives = warc.pack_arc(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    # The page of a record stands in its HTTP head, as text that reads back as the id.
+    page = F.regexp_extract("http", r"\r\nX-Record: (-?\d*)\r\n", 1).try_cast("bigint").alias("page_id")
+    records = warc.convert_arc(archives).where("record_type <> 'warcinfo'").select("*", page)
+    path = shared_path(spark, "warc")
+    warc.write_warc(warc.revisits(records, "page_id"), path)
+    back = warc.read_warc(spark, path).select(
+        page, "payload_bytes", "payload_digest", "record_type", "record_id", F.col("refers_to").alias("original"),
+    )
+    responses = back.where("record_type = 'response'").select(F.col("record_id").alias("original"), F.col("page_id").alias("refers_to"))
+    return back.drop("record_id").join(responses, "original", "left").drop("original")
