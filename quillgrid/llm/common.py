@@ -90,7 +90,8 @@ def values_of(array: pa.Array) -> list:
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of about ``SLICE_BYTES`` of a text or list column."""
-    text = pa.types.is_string(batch.schema.field(column).type)
+    kind = batch.schema.field(column).type
+    text = pa.types.is_string(kind) or pa.types.is_binary(kind)
     size, each = (pc.binary_length, 1) if text else (pc.list_value_length, 8)
     sizes = pc.fill_null(size(batch.column(column)), 0).cast(pa.int64()).to_pylist()
     start = held = 0

@@ -13,6 +13,7 @@ from quillgrid.llm.decontaminate import find_passages
 from quillgrid.llm.exact_dedup import exact_groups
 from quillgrid.llm.jaccard import near_classes
 from quillgrid.llm.sharding import shard
+from quillgrid.llm.suffix_dedup import repeated_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,3 +142,13 @@ def warc_round_trip(spark, sf_dir):
     )
     responses = back.where("record_type = 'response'").select(F.col("record_id").alias("original"), F.col("page_id").alias("refers_to"))
     return back.drop("record_id").join(responses, "original", "left").drop("original")
+
+
+@query("op3_suffix_array")
+def suffix_dedup(spark, sf_dir):
+    found = repeated_spans(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
