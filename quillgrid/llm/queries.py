@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.llm import bpe, language, warc
+from quillgrid.llm import bpe, language, toxicity, warc
 from quillgrid.llm.common import shared_path, table
 from quillgrid.llm.decontaminate import find_passages
 from quillgrid.llm.exact_dedup import exact_groups
@@ -152,3 +152,15 @@ def suffix_dedup(spark, sf_dir):
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def learns_toxicity() -> Column:
+    """Rows whose toxicity labels may be learned from."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0
+
+
+@query("op2_toxicity")
+def toxicity_scores(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), learns_toxicity())
+    return toxicity.score(docs, model).select("doc_id", (~learns_toxicity()).alias("held_out"), "score", "predicted")
