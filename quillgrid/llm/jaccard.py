@@ -13,9 +13,10 @@ and a list holds the sets that have one block, whole, in common. A passage that
 a third of all documents share then fills no list.
 
 Classes need a link between any two of their parts, not all pairs. Each list is
-joined to two of its members first; what these links leave apart is compared
-pair by pair across the parts, so that no link between different texts is lost.
-Equal sets are one set from the start.
+joined to two of its members first. The sets that these links leave apart are
+put on a second kind of inverted lists, those of their rarest shingles, which are
+scanned across the parts pair by pair, so that no link between different texts is
+lost. Equal sets are one set from the start.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgrid.llm.common import add_columns, checkpointed, own_names
@@ -253,20 +254,36 @@ def _heavy_links(rows: DataFrame, on_lists: DataFrame, light: DataFrame, limits:
     first = checkpointed(_verified(pairs, shingles, limits))
     linked = first.where("linked").select("a", "b")
 
-    # What these and the light links leave apart, across the parts of each list.
+    # What these and the light links leave apart on some list.
     parts = components(linked.union(light))
     apart = on_lists.join(parts, on_lists["node"] == parts["id"], "left")
     apart = apart.select("key", "node", "n", F.coalesce("component", "node").alias("part"))
     mixed = apart.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
-    apart = checkpointed(apart.join(mixed, "key"))
-    x, y = apart.alias("x"), apart.alias("y")
+    loose = checkpointed(apart.join(mixed, "key").select("node", "n", "part").distinct())
+
+    lists = checkpointed(_rare_lists(shingles, loose, limits))
+    x, y = lists.alias("x"), lists.alias("y")
     near = (100 * F.col("x.n") >= limits.percent * F.col("y.n")) & (100 * F.col("y.n") >= limits.percent * F.col("x.n"))
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near)
+    across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near)
     across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     second = _verified(across, shingles, limits).where("linked").select("a", "b")
     return checkpointed(linked.union(second))
 
 
+def _rare_lists(shingles: DataFrame, loose: DataFrame, limits: Threshold) -> DataFrame:
+    """``(shingle, node, n, part)``: inverted lists of the rarest shingles of
+    each set, so many that two linked sets have one of them in common. Only
+    lists that hold different parts are left."""
+    held = shingles.join(loose, "node").select("node", "n", "part", F.explode("shingles").alias("shingle"))
+    counts = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("sets", "shingle"))  # a set is one document's
+    rarest = held.join(counts, "shingle").withColumn("place", place)
+    needed = F.col("n") - F.ceil(F.lit(limits.percent) * F.col("n") / 100) + 1
+    rarest = rarest.where((F.col("place") <= needed) & (F.col("sets") > 1)).select("shingle", "node", "n", "part")
+    several = rarest.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("shingle")
+    return rarest.join(several, "shingle")
+
+
 def _verified(pairs: DataFrame, shingles: DataFrame, limits: Threshold) -> DataFrame:
     """The pairs ``(a, b)`` with their exact verdict ``linked``."""
     a = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
