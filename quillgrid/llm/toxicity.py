@@ -152,38 +152,41 @@ def _bits(votes: list[int]) -> np.ndarray:
 
 # ---- the classifier --------------------------------------------------------
 
-def fit_linear(texts: list[tuple[set[str], float]], rounds: int = 120, decay: float = 1e-3) -> tuple[dict[str, float], float]:
+def fit_linear(texts: list[tuple[set[str], float]], rounds: int = 150, decay: float = 0.02) -> tuple[dict[str, float], float]:
     """Logistic regression on the words of each text and their beginnings, for
-    soft labels; gradient steps scaled by their history."""
-    counts: Counter = Counter()
-    features = []
-    for words, _ in texts:
-        own = Counter(words)
-        for w in words:
-            own.update(beginnings(w))
+    soft labels. Each term is scaled by its log ratio between the classes, so
+    that the many terms common to both, and long texts with them, say little."""
+    positive, negative, features = Counter(), Counter(), []
+    for words, label in texts:
+        own = words.union(*map(beginnings, words))
         features.append(own)
-        counts.update(own.keys())
-    number = {t: i for i, t in enumerate(sorted(t for t, n in counts.items() if n >= 3))}
-    row, col, value = [], [], []
-    for i, own in enumerate(features):
-        for term, n in own.items():
-            if term in number:
-                row.append(i)
-                col.append(number[term])
-                value.append(n)
-    row, col, value = np.array(row, np.int64), np.array(col, np.int64), np.array(value, float)
+        (positive if label >= 0.5 else negative).update(own)
+    # Shares of all terms, not of texts: longer texts in one class must not tilt common terms.
+    mass = [max(1, sum(c.values())) / 100 for c in (positive, negative)]
+    ratio = {}
+    for term in positive.keys() | negative.keys():
+        if positive[term] + negative[term] >= 3:
+            r = math.log((positive[term] + 2) / mass[0]) - math.log((negative[term] + 2) / mass[1])
+            # Beyond three standard errors: long texts have very many terms that say nothing.
+            if abs(r) >= 3 * math.sqrt(1 / (positive[term] + 1) + 1 / (negative[term] + 1)):
+                ratio[term] = r
+    number = {t: i for i, t in enumerate(sorted(ratio))}
+    scale = np.array([ratio[t] for t in sorted(ratio)])
+    places = [[number[t] for t in own if t in number] for own in features]
+    row = np.repeat(np.arange(len(texts)), [len(p) for p in places])
+    col = np.array([i for p in places for i in p], np.int64)
     target = np.array([y for _, y in texts])
-    # Texts are long: each counts by the square root of its terms, so that long ones do not rule.
-    weight, bias, history, bias_history = np.zeros(len(number)), 0.0, np.full(len(number), 1e-6), 1e-6
+    weight, bias = np.zeros(len(number)), 0.0
+    history, bias_history = np.full(len(number), 1e-8), 1e-8
     for _ in range(rounds):
-        odds = np.bincount(row, weight[col] * value, len(target)) + bias
+        odds = np.bincount(row, (weight * scale)[col], len(target)) + bias
         error = (1 / (1 + np.exp(-np.clip(odds, -40, 40))) - target) / len(target)
-        slope = np.bincount(col, error[row] * value, len(number)) + decay * weight / len(target)
+        slope = np.bincount(col, error[row], len(number)) * scale + decay * weight / len(target)
         history += slope**2
-        weight -= 0.3 * slope / np.sqrt(history)
+        weight -= 0.05 * slope / np.sqrt(history)
         bias_history += error.sum() ** 2
-        bias -= 0.3 * error.sum() / math.sqrt(bias_history)
-    return {t: float(weight[i]) for t, i in number.items() if abs(weight[i]) > 1e-3}, bias
+        bias -= 0.05 * error.sum() / math.sqrt(bias_history)
+    return {t: float(weight[i] * scale[i]) for t, i in number.items() if abs(weight[i] * scale[i]) > 1e-3}, bias
 
 
 class Scorer:
@@ -194,14 +197,19 @@ class Scorer:
 
     def score(self, text: str) -> float:
         odds = self.bias
+        begun: dict[str, float] = {}  # a beginning counts once, however many words have it
         for word in words_of(text):
-            add = self.known.get(word)
-            if add is None:
+            known = self.known.get(word)
+            if known is None:
                 if len(self.known) > 300_000:
                     self.known.clear()
                 get = self.weights.get
-                add = self.known[word] = get(word, 0.0) + sum(get(b, 0.0) for b in beginnings(word))
-            odds += add
+                begins = {b: get(b) for b in beginnings(word) if b in self.weights}
+                known = self.known[word] = (get(word, 0.0), begins)
+            odds += known[0]
+            if known[1]:
+                begun |= known[1]
+        odds += sum(begun.values())
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, odds))))
 
 
