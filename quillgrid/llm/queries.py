@@ -14,6 +14,7 @@ from quillgrid.llm.exact_dedup import exact_groups
 from quillgrid.llm.jaccard import near_classes
 from quillgrid.llm.sharding import shard
 from quillgrid.llm.suffix_dedup import repeated_spans
+from quillgrid.llm.wrapper import extract
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,3 +165,9 @@ def toxicity_scores(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), learns_toxicity())
     return toxicity.score(docs, model).select("doc_id", (~learns_toxicity()).alias("held_out"), "score", "predicted")
+
+
+@query("op10_html_extraction")
+def html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract(pages).withColumn("n_chars", F.length("text").cast("bigint"))
