@@ -7,8 +7,9 @@ with one row per block, which is small. A group that holds a third of all rows
 is then many blocks spread over the cluster.
 
 Frames read by ``quillgrid.sources`` bring their own ``block`` column (the
-start of the file split). Other frames are cut by the value of their integer
-order column.
+start of the file split). Other frames are cut into equal stretches of their
+integer order column, as many as there are rows for, however far apart the orders
+lie.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1_000_000
-"""Width of a block in order values, hence its largest number of rows."""
+"""Rows of a block, where the orders of a group are spread evenly."""
 
-SMALL_LIMIT = 100
-"""Limits up to this use Spark's own early per-task cut of a ranked window."""
+LIMIT_PARTS = 32
+"""Parts of a group that are cut to the limit before they meet."""
 
 _BLOCK, _SEEN = "_block", "_seen"
 
@@ -31,10 +32,22 @@ def _names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _with_block(df: DataFrame, order: list[str], block: str | None, width: int) -> DataFrame:
+def _with_block(df: DataFrame, order: list[str], block: str | None, rows: int) -> DataFrame:
+    """Add the block. Without a ready one, the orders of the whole table, from
+    the first to the last, are cut into ``count / rows`` stretches, so that no
+    group has more blocks than that, however far apart its orders lie. The three
+    numbers come from a scalar subquery."""
     if block is not None:
         return df.withColumn(_BLOCK, F.col(block))
-    return df.withColumn(_BLOCK, F.col(order[0]) - F.pmod(F.col(order[0]), F.lit(width)))
+    at = F.col(order[0])
+    told = F.struct(
+        F.min(at).alias("low"), F.max(at).alias("high"), F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias("cuts")
+    )
+    spread = df.agg(told.alias("spread")).scalar()
+    # Doubles keep the stretches apart without overflow; they rise with the order.
+    reach = spread["high"].cast("double") - spread["low"] + 1
+    cut = F.floor((at.cast("double") - spread["low"]) * spread["cuts"] / reach)
+    return df.withColumn(_BLOCK, cut)
 
 
 def _join_blocks(df: DataFrame, blocks: DataFrame, group: list[str], few: bool = False) -> DataFrame:
@@ -59,7 +72,7 @@ def number_rows(
     group: str | Sequence[str],
     order: str | Sequence[str],
     block: str | None = None,
-    width: int = BLOCK_ROWS,
+    rows: int = BLOCK_ROWS,
     name: str = "rn",
 ) -> DataFrame:
     """Number the rows of each group from 1.
@@ -68,7 +81,7 @@ def number_rows(
     unless ``block`` names a ready block column that rises with the order.
     """
     group, order = _names(group), _names(order)
-    cut = _with_block(df, order, block, width)
+    cut = _with_block(df, order, block, rows)
     counts = cut.groupBy(*group, _BLOCK).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(*group, _BLOCK, F.coalesce(F.sum("_n").over(_before(group)), F.lit(0)).alias("_offset"))
     within = F.row_number().over(Window.partitionBy(*group, _BLOCK).orderBy(*order))
@@ -111,10 +124,14 @@ def drop_first(df: DataFrame, group: str | Sequence[str], order: str) -> DataFra
     """All rows but the first of each group.
 
     The first keys come from a partial aggregate and are removed on the full
-    ``(group, order)`` key, which is as evenly spread as the rows are.
+    ``(group, order)`` key, which is as evenly spread as the rows are. A NULL
+    group is a group like any other.
     """
     group = _names(group)
-    return df.join(first_rows(df, group, order), [*group, order], "left_anti")
+    keys = [*group, order]
+    firsts = first_rows(df, group, order).toDF(*(f"_first_{i}" for i in range(len(keys))))
+    same = [F.col(k).eqNullSafe(F.col(f"_first_{i}")) for i, k in enumerate(keys)]
+    return df.join(firsts, same, "left_anti")
 
 
 def started(
@@ -123,13 +140,13 @@ def started(
     group: str | Sequence[str],
     order: str,
     block: str | None = None,
-    width: int = BLOCK_ROWS,
+    rows: int = BLOCK_ROWS,
     name: str = "started",
     few_blocks: bool = False,
 ) -> DataFrame:
     """Add a flag that is false until ``predicate`` first holds in the group."""
     group = _names(group)
-    cut = _with_block(df, [order], block, width)
+    cut = _with_block(df, [order], block, rows)
     hits = cut.groupBy(*group, _BLOCK).agg(F.min(F.when(predicate, F.col(order))).alias("_hit"))
     starts = hits.select(*group, _BLOCK, F.min("_hit").over(Window.partitionBy(*group)).alias("_start"))
     flag = _checked(F.coalesce(F.col(order) >= F.col("_start"), F.lit(False)))
@@ -142,14 +159,14 @@ def keep_from_first(
     group: str | Sequence[str],
     order: str,
     block: str | None = None,
-    width: int = BLOCK_ROWS,
+    rows: int = BLOCK_ROWS,
     few_blocks: bool = False,
 ) -> DataFrame:
     """Drop the rows of a group before the first one that fulfils ``predicate``.
 
     Later rows stay whether they fulfil it or not.
     """
-    flagged = started(df, predicate, group, order, block, width, "_started", few_blocks)
+    flagged = started(df, predicate, group, order, block, rows, "_started", few_blocks)
     return flagged.where("_started").drop("_started")
 
 
@@ -160,11 +177,11 @@ def previous_value(
     order: str,
     name: str,
     block: str | None = None,
-    width: int = BLOCK_ROWS,
+    rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add the value ``column`` has in the row before, NULL in a group's first."""
     group = _names(group)
-    cut = _with_block(df, [order], block, width)
+    cut = _with_block(df, [order], block, rows)
     # Wrapped in a struct, so that a NULL value is not mistaken for no row.
     tails = cut.groupBy(*group, _BLOCK).agg(F.max_by(F.struct(F.col(column).alias("v")), order).alias("_tail"))
     by_block = Window.partitionBy(*group).orderBy(_BLOCK)
@@ -177,24 +194,20 @@ def previous_value(
 
 
 def first_n(
-    df: DataFrame,
-    n: int,
-    group: str | Sequence[str],
-    order: str,
-    block: str | None = None,
-    width: int = BLOCK_ROWS,
+    df: DataFrame, n: int, group: str | Sequence[str], order: str, parts: int = LIMIT_PARTS
 ) -> DataFrame:
-    """The first ``n`` rows of each group.
+    """The first ``n`` rows of each group, by any column that can be sorted. A
+    NULL group is a group like any other.
 
-    A small ``n`` is ranked in a window, which Spark cuts to ``n`` rows per group
-    and task before the shuffle. A larger one counts by blocks.
+    Each group is first cut to ``n`` rows in each of ``parts`` parts, so that no
+    task ranks more than ``parts * n`` rows of a hot group.
     """
     names = _names(group)
-    if n <= SMALL_LIMIT:
-        rank = F.row_number().over(Window.partitionBy(*names).orderBy(order))
-        return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
-    numbered = number_rows(df, names, order, block, width, "_rank")
-    return numbered.where(F.col("_rank") <= n).drop("_rank")
+    part = F.pmod(F.xxhash64(order), F.lit(parts))
+    inside = F.row_number().over(Window.partitionBy(*names, "_part").orderBy(order))
+    rank = F.row_number().over(Window.partitionBy(*names).orderBy(order))
+    few = df.withColumn("_part", part).withColumn("_rank", inside).where(F.col("_rank") <= n)
+    return few.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_part", "_rank")
 
 
 def first_value(
@@ -204,12 +217,12 @@ def first_value(
     order: str,
     name: str,
     block: str | None = None,
-    width: int = BLOCK_ROWS,
+    rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add the value ``column`` has in the first row of the group, and
     ``_is_first`` for that row itself."""
     group = _names(group)
-    cut = _with_block(df, [order], block, width)
+    cut = _with_block(df, [order], block, rows)
     first = F.struct(F.col(order).alias("at"), F.col(column).alias("v"))
     heads = cut.groupBy(*group, _BLOCK).agg(F.min_by(first, order).alias("_head"))
     whole = Window.partitionBy(*group).orderBy(_BLOCK)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgrid.functions.clean import drop_falsy, element_name
+from quillgrid.functions.clean import drop_falsy, element_name, trim_ws
 from quillgrid.operators import ordering
 from quillgrid.operators.records import POSITION
 
@@ -51,12 +51,12 @@ def promote_header(cells: DataFrame) -> DataFrame:
 
 def promote_first_row(
     df: DataFrame, value: str, group: str | Sequence[str], order: str, name: str = "element",
-    block: str | None = None, width: int = ordering.BLOCK_ROWS,
+    block: str | None = None, rows: int = ordering.BLOCK_ROWS,
 ) -> DataFrame:
     """For rows without a header beside them: the ``value`` of the first row of
     the group becomes the name of the later rows."""
     group = [group] if isinstance(group, str) else list(group)
-    named = ordering.first_value(df, value, group, order, name, block, width)
+    named = ordering.first_value(df, value, group, order, name, block, rows)
     return named.where(~F.col("_is_first")).drop("_is_first")
 
 
@@ -83,7 +83,8 @@ def union_sheets(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def _has_value(c: str) -> Column:
-    return F.coalesce(drop_falsy(F.col(c).cast("string")).isNotNull(), F.lit(False))
+    # Blanks alone are no value: the guards look at what cleaning would leave.
+    return F.coalesce(drop_falsy(trim_ws(F.col(c).cast("string"))).isNotNull(), F.lit(False))
 
 
 def dropped_values(df: DataFrame, names: Sequence[str], group: Sequence[str] = ()) -> DataFrame:

@@ -1,9 +1,5 @@
-"""The four conversions, composed of operators. Each is one lazy plan.
-
-Their records lie as they were scanned while the table of splits can be
-broadcast; ``write_records(..., order=())`` then writes them in document order
-without a sort.
-"""
+"""The conversions, composed of operators. Each is one lazy plan; the sinks put
+their records in document order."""
 
 from __future__ import annotations
 
@@ -17,7 +13,7 @@ from quillgrid.operators import dictionary as words
 from quillgrid.operators import reconcile as counts
 from quillgrid.operators import records
 from quillgrid.operators.joins import lookup
-from quillgrid.operators.reshape import drop_elements, promote_header
+from quillgrid.operators.reshape import cells_to_records, drop_elements, promote_header
 from quillgrid.operators.schema import registry_names, with_record_type
 from quillgrid.sinks.tabular import clean_cells
 from quillgrid.sources.files import few_splits, list_files
@@ -40,6 +36,25 @@ def convert_registered(
     return records.drop_empty(body)
 
 
+def convert_registered_cells(
+    cells: DataFrame, registry: DataFrame, record_type: str, n_records: int | None = None
+) -> DataFrame:
+    """The same from the cells of workbooks that do not name their columns: the
+    i-th column of a sheet has the i-th name of the type. Columns beyond the
+    names are left out. ``block`` is the number of the sheet."""
+    names = registry_names(registry, record_type)
+    wanted = (F.col("n") > 1) & (F.col("col") < len(names))
+    if n_records is not None:
+        wanted &= F.col("n") <= n_records + 1
+    named = clean_cells(cells.where(wanted)).select(
+        "file", "sheet_no", "n", "col", F.get(F.array(*map(F.lit, names)), F.col("col")).alias("element"),
+        unescape_xml("cleaned").alias("value"),
+    )
+    rows = cells_to_records(named, names)
+    position = (F.col("file"), F.col("sheet_no").cast("bigint").alias("block"), F.col("n").cast("bigint").alias("rn"))
+    return records.drop_empty(rows.select(*position, *(F.col(f"`{c}`") for c in names)))
+
+
 def convert_volumes(
     spark: SparkSession, path: str | list[str], registry: DataFrame, row_tag: str, split: bool = True,
 ) -> tuple[DataFrame, DataFrame]:

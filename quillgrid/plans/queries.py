@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quillgrid import functions as Q
 from quillgrid.operators import dictionary, ordering, reconcile, records, reshape, schema
 from quillgrid.operators.joins import lookup
+from quillgrid.plans.pipelines import convert_registered_cells
 from quillgrid.plans.samples import pack_workbooks
 from quillgrid.session import scratch_path
 from quillgrid.sinks import tabular, xml
@@ -656,6 +657,20 @@ def workbook_cells(spark, sf):
     return _customer_cells(spark, sf).select("file", "n", "col", "header", "value")
 
 
+@query(
+    "registered_workbook",
+    f"""SELECT {_BOOK_SQL} AS file, CAST(c_custkey % 500 + 2 AS BIGINT) AS rn, CAST(c_custkey AS VARCHAR) AS "lineNum",
+    c_name AS holder, CAST(c_nationkey AS VARCHAR) AS nation FROM customer WHERE c_custkey % 500 < 120""",
+)
+def registered_workbook(spark, sf):
+    names = enumerate(["lineNum", "holder", "nation"], 1)
+    registry = spark.createDataFrame(
+        [(1, "held", i, c) for i, c in names], "entry_no bigint, record_type string, ordinal int, column string"
+    )
+    found = convert_registered_cells(_customer_cells(spark, sf), registry, "held", 120)
+    return found.drop("block")
+
+
 @query(
     "workbook_elements",
     f"""WITH c AS (SELECT *, {_BOOK_SQL} AS file, CAST(c_custkey % 500 + 2 AS INT) AS n FROM customer)

@@ -15,10 +15,14 @@ def in_document_order(df: DataFrame, order: Sequence[str], partition_by: Sequenc
     A partitioned write sorts by its partition columns once more, and so loses
     the order of the rows, unless the rows are already sorted by these columns
     and the columns cannot be NULL.
+
+    Whether rows still lie as they were scanned depends on how large the look-ups
+    before were, so the order is never taken for granted.
     """
-    keys = [*partition_by, *(c for c in order if c in df.columns)]
-    if not keys:
-        return df
+    ordered = [c for c in order if c in df.columns]
+    if not ordered:
+        raise ValueError(f"rows need one of the columns {list(order)} for their order")
+    keys = [*partition_by, *ordered]
     for c in partition_by:
         df = df.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit("")))
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)

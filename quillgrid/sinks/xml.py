@@ -17,7 +17,6 @@ from quillgrid.sinks.tabular import clean_cells
 from quillgrid.sources.record_xml import ROOT_TAG
 from quillgrid.sources import registry as registry_format
 
-ROWS_PER_PART = 1_000_000
 DECLARATION = 'version="1.0" encoding="UTF-8"'
 
 
@@ -66,13 +65,13 @@ def write_stubs(stubs: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def row_documents(cells: DataFrame, root: Mapping[str, object] | None = None, keep_zero: bool = False) -> DataFrame:
-    """``(folder, output, part, n, value)``: the text of one document per sheet,
-    a ``<row n="k">`` for each row below the header.
+    """``(folder, output, n, value)``: the text of one document per sheet, a
+    ``<row n="k">`` for each row below the header.
 
     The names differ from sheet to sheet, which the XML sink could not express
     in one job; a row or a sheet without values keeps its empty element. The
-    first and the last row of a document bring its root along. A document holds
-    up to ``ROWS_PER_PART`` rows, so nearly always the whole sheet.
+    first and the last row of a document bring its root along. The format bounds
+    a sheet, and so a document, to about a million rows.
     """
     below = F.col("n") > 1
     named = clean_cells(cells).withColumn("element", element_name("header", F.col("col") + 1))
@@ -81,11 +80,10 @@ def row_documents(cells: DataFrame, root: Mapping[str, object] | None = None, ke
     text = F.concat(F.lit("<"), "element", F.lit(">"), value, F.lit("</"), F.col("element"), F.lit(">"))
     present = below & drop_falsy("cleaned", keep_zero).isNotNull()
     shown = F.when(present, F.struct("col", text.alias("text")))
-    where = ["folder", "output", "part"]
+    where = ["folder", "output"]
     rows = named.groupBy("file", "sheet_no", "n").agg(F.sort_array(F.collect_list(shown)).alias("e")).select(
         F.coalesce(folder("file"), F.lit("")).alias("folder"),
         F.coalesce(output_name(file_name("file"), F.col("sheet_no")), F.lit("")).alias("output"),
-        F.floor(F.col("n") / ROWS_PER_PART).cast("int").alias("part"),
         "n", "e",
     )
     document = Window.partitionBy(*where).orderBy("n")
@@ -112,7 +110,7 @@ def write_rows(
     write needs.
     """
     lines = row_documents(cells, root, keep_zero).drop("n")
-    lines.write.mode(mode).partitionBy("folder", "output", "part").text(path)
+    lines.write.mode(mode).partitionBy("folder", "output").text(path)
 
 
 def write_registry(registry: DataFrame, path: str, mode: str = "error") -> DataFrame:

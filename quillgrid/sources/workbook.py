@@ -26,6 +26,8 @@ ship_with_tasks(__name__)
 # Name spaces of the workbook format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+ANY = "{*}"
+"""The strict form of the format has other name spaces, so elements are told by their local names."""
 
 CELL_SCHEMA = (
     "file string, sheet_no int, sheet_name string, row int, col int, n int, header string, value string, error string"
@@ -37,12 +39,16 @@ _FIELDS = [f.split()[0] for f in CELL_SCHEMA.split(", ")]
 BATCH_CELLS = 50_000
 
 
+def _local(element) -> str:
+    return element.tag.rpartition("}")[2]
+
+
 def _text(element) -> str:
     """All text of a string item; phonetic hints are not part of it."""
     if element is None:
         return ""
-    runs = [element] if element.find(MAIN + "t") is not None else element.findall(MAIN + "r")
-    text = "".join(t.text or "" for run in runs for t in run.findall(MAIN + "t"))
+    runs = [element] if element.find(ANY + "t") is not None else element.findall(ANY + "r")
+    text = "".join(t.text or "" for run in runs for t in run.findall(ANY + "t"))
     return ESCAPED.sub(lambda found: chr(int(found[1], 16)), text) if "_x" in text else text
 
 
@@ -52,7 +58,7 @@ def _shared_strings(book: zipfile.ZipFile) -> list[str]:
     strings = []
     with book.open("xl/sharedStrings.xml") as part:
         for _, element in ElementTree.iterparse(part):
-            if element.tag == MAIN + "si":
+            if _local(element) == "si":
                 strings.append(_text(element))
                 element.clear()
     return strings
@@ -61,8 +67,11 @@ def _shared_strings(book: zipfile.ZipFile) -> list[str]:
 def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
     target = {link.get("Id"): link.get("Target") for link in links}
-    sheets = ElementTree.fromstring(book.read("xl/workbook.xml")).iter(MAIN + "sheet")
-    return [(s.get("name"), posixpath.join("/xl", target[s.get(RELATION_ID)]).lstrip("/")) for s in sheets]
+    sheets = [s for s in ElementTree.fromstring(book.read("xl/workbook.xml")).iter() if _local(s) == "sheet"]
+    if not sheets:
+        raise ValueError("the workbook lists no sheet")
+    relation = [next(v for k, v in s.items() if k.startswith("{") and k.endswith("}id")) for s in sheets]
+    return [(s.get("name"), posixpath.join("/xl", target[r]).lstrip("/")) for s, r in zip(sheets, relation)]
 
 
 def _position(reference: str) -> tuple[int, int]:
@@ -77,8 +86,8 @@ def _position(reference: str) -> tuple[int, int]:
 def _value(cell, strings: list[str]) -> str:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
-        return _text(cell.find(MAIN + "is"))
-    stored = cell.findtext(MAIN + "v") or ""
+        return _text(cell.find(ANY + "is"))
+    stored = cell.findtext(ANY + "v") or ""
     return strings[int(stored)] if kind == "s" and stored else stored
 
 
@@ -88,17 +97,17 @@ def _rows(book: zipfile.ZipFile, part_name: str, strings: list[str]) -> Iterator
     parent, cells = None, {}
     with book.open(part_name) as part:
         for event, element in ElementTree.iterparse(part, events=("start", "end")):
-            if event == "start" and element.tag == MAIN + "sheetData":
+            if event == "start" and _local(element) == "sheetData":
                 parent = element
-            elif event == "start" and element.tag == MAIN + "row":
+            elif event == "start" and _local(element) == "row":
                 row = int(element.get("r", row + 2)) - 1
                 col, cells = -1, {}
-            elif event == "end" and element.tag == MAIN + "c":
+            elif event == "end" and _local(element) == "c":
                 at = element.get("r")
                 col = _position(at)[1] if at else col + 1
                 cells[col] = _value(element, strings)
                 element.clear()
-            elif event == "end" and element.tag == MAIN + "row":
+            elif event == "end" and _local(element) == "row":
                 if cells:
                     yield row, cells
                 parent.remove(element)
@@ -142,7 +151,7 @@ def _parse(dense: bool, keep_bad: bool):
                         if len(held) >= BATCH_CELLS:
                             yield pd.DataFrame(held, columns=_FIELDS)
                             held = []
-                except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError, IndexError) as error:
+                except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError, IndexError, StopIteration) as error:
                     if not keep_bad:
                         raise ValueError(f"cannot read workbook {file}: {error}") from error
                     held.append((file, None, None, None, None, None, None, None, str(error)))

@@ -27,7 +27,7 @@ def grouped(rows):
 
 
 def test_numbers_across_blocks(df, rows):
-    got = {(r.g, r.o): r.rn for r in ordering.number_rows(df, "g", "o", width=WIDTH).collect()}
+    got = {(r.g, r.o): r.rn for r in ordering.number_rows(df, "g", "o", rows=WIDTH).collect()}
     assert got == {(g, o): i for g, vs in grouped(rows).items() for i, (o, _) in enumerate(vs, 1)}
 
 
@@ -43,15 +43,14 @@ def test_drop_first(df, rows):
 
 
 @pytest.mark.parametrize("n", [1, 3, 50, 250])
-def test_first_n(df, rows, n, monkeypatch):
-    monkeypatch.setattr(ordering, "SMALL_LIMIT", 10)
-    got = {(r.g, r.o) for r in ordering.first_n(df, n, "g", "o", width=WIDTH).collect()}
+def test_first_n(df, rows, n):
+    got = {(r.g, r.o) for r in ordering.first_n(df, n, "g", "o").collect()}
     assert got == {(g, o) for g, vs in grouped(rows).items() for o, _ in vs[:n]}
 
 
 def test_keep_from_first(df, rows):
     hit = F.col("v").isin("v33", "v40", "c20", "c29")
-    got = {(r.g, r.o) for r in ordering.keep_from_first(df, hit, "g", "o", width=WIDTH).collect()}
+    got = {(r.g, r.o) for r in ordering.keep_from_first(df, hit, "g", "o", rows=WIDTH).collect()}
     expected = set()
     for g, vs in grouped(rows).items():
         started = False
@@ -63,7 +62,7 @@ def test_keep_from_first(df, rows):
 
 
 def test_previous_value_keeps_nulls(df, rows):
-    got = {(r.g, r.o): r.p for r in ordering.previous_value(df, "v", "g", "o", "p", width=WIDTH).collect()}
+    got = {(r.g, r.o): r.p for r in ordering.previous_value(df, "v", "g", "o", "p", rows=WIDTH).collect()}
     expected = {}
     for g, vs in grouped(rows).items():
         before = None
@@ -74,7 +73,29 @@ def test_previous_value_keeps_nulls(df, rows):
 
 
 def test_first_value(df, rows):
-    out = ordering.first_value(df, "v", "g", "o", "head", width=WIDTH).collect()
+    out = ordering.first_value(df, "v", "g", "o", "head", rows=WIDTH).collect()
     heads = {g: vs[0] for g, vs in grouped(rows).items()}
     assert all(r["head"] == heads[r.g][1] and r["_is_first"] == (r.o == heads[r.g][0]) for r in out)
     assert len(out) == len(rows)
+
+
+@pytest.mark.parametrize("n", [2, 100, 101])
+def test_one_contract_of_first_n_at_any_limit(spark, n):
+    df = spark.createDataFrame([(None if i % 3 else "g", f"{i:05d}") for i in range(900)], "g string, o string")
+    got = [(r.g, r.o) for r in ordering.first_n(df, n, "g", "o").orderBy("g", "o").collect()]
+    expected = [(None, f"{i:05d}") for i in range(900) if i % 3][:n] + [("g", f"{i:05d}") for i in range(0, 900, 3)][:n]
+    assert got == expected
+
+
+def test_drop_first_of_a_null_group(spark):
+    df = spark.createDataFrame([(None, 3), (None, 4), ("a", 1), ("a", 2)], "g string, o bigint")
+    assert sorted((r.g or "", r.o) for r in ordering.drop_first(df, "g", "o").collect()) == [("", 4), ("a", 2)]
+
+
+def test_sparse_orders_make_few_blocks(spark):
+    df = spark.range(2000).select(F.lit("g").alias("g"), (F.col("id") * 1_000_003 - 5).alias("o"))
+    cut = ordering._with_block(df, ["o"], None, 100)
+    sizes = [r["count"] for r in cut.groupBy("_block").count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 101
+    got = [r.rn for r in ordering.number_rows(df, "g", "o", rows=100).orderBy("o").collect()]
+    assert got == list(range(1, 2001))

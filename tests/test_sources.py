@@ -239,3 +239,30 @@ def test_listing(spark, tmp_path):
     (tmp_path / "sub" / "x y.xls").write_text("abc")
     rows = list_files(spark, str(tmp_path)).collect()
     assert [(r["file_name"], r["length"]) for r in rows] == [("x y.xls", 3)]
+
+
+def test_strict_workbooks_and_workbooks_without_sheets(spark):
+    import io
+    import zipfile
+
+    from quillgrid.plans.samples import workbook_bytes
+    from quillgrid.sources.workbook import MAIN, RELATION_ID, cells_from_content
+
+    def rewritten(change):
+        out = io.BytesIO()
+        with zipfile.ZipFile(io.BytesIO(workbook_bytes([("s", [["h"], ["v"]])]))) as old, zipfile.ZipFile(out, "w") as new:
+            for name in old.namelist():
+                new.writestr(name, change(old.read(name).decode()))
+        return out.getvalue()
+
+    def strict(text):
+        text = text.replace(MAIN.strip("{}"), "http://purl.oclc.org/ooxml/spreadsheetml/main")
+        return text.replace(RELATION_ID[1:].split("}")[0], "http://purl.oclc.org/ooxml/officeDocument/relationships")
+
+    def bare(text):
+        return text.replace('<sheet name="s" sheetId="1" r:id="rId1"/>', "")
+
+    books = [("strict", rewritten(strict)), ("bare", rewritten(bare))]
+    cells = cells_from_content(spark.createDataFrame(books, "file string, content binary"), keep_bad=True)
+    found = sorted((r.file, r.value or "", r.error or "") for r in cells.collect())
+    assert found == [("bare", "", "the workbook lists no sheet"), ("strict", "h", ""), ("strict", "v", "")]
