@@ -27,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgrid.llm.common import add_columns, checkpointed, own_names
@@ -261,15 +261,40 @@ def _heavy_links(rows: DataFrame, on_lists: DataFrame, light: DataFrame, limits:
     mixed = apart.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
     loose = checkpointed(apart.join(mixed, "key").select("node", "n", "part").distinct())
 
-    lists = checkpointed(_rare_lists(shingles, loose, limits))
+    lists = _rare_lists(shingles, loose, limits).join(_met(first, hubs), "node", "left")
+    lists = checkpointed(lists)
     x, y = lists.alias("x"), lists.alias("y")
     near = (100 * F.col("x.n") >= limits.percent * F.col("y.n")) & (100 * F.col("y.n") >= limits.percent * F.col("x.n"))
-    across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near)
+    across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near & ~_too_far(limits))
     across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     second = _verified(across, shingles, limits).where("linked").select("a", "b")
     return checkpointed(linked.union(second))
 
 
+MET = 8
+"""Hubs remembered of each set. More of them would spare more comparisons; the links are the same."""
+
+
+def _met(first: DataFrame, hubs: DataFrame) -> DataFrame:
+    """``(node, met)``: the hubs that each set was compared with and how many
+    shingles it shares with them, the closest ones."""
+    hub = hubs.select(F.explode(F.array("one", "two")).alias("hub")).distinct()
+    both = first.select(F.col("a").alias("node"), F.col("b").alias("hub"), "shared").union(first.select("b", "a", "shared"))
+    known = both.join(hub, "hub").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("shared", "hub")), False).alias("met"))
+    return known.select("node", F.slice("met", 1, MET).alias("met"))
+
+
+def _too_far(limits: Threshold) -> Column:
+    """Whether a hub that both sets ``x`` and ``y`` have met shows that they
+    cannot link: what they share lies inside or outside of the hub, and is no
+    more than the smaller part of either there."""
+    def shows(h: Column, g: Column) -> Column:
+        most = F.least(h["shared"], g["shared"]) + F.least(F.col("x.n") - h["shared"], F.col("y.n") - g["shared"])
+        return (h["hub"] == g["hub"]) & (100 * most < limits.percent * (F.col("x.n") + F.col("y.n") - most))
+
+    return F.coalesce(F.exists("x.met", lambda h: F.exists("y.met", lambda g: shows(h, g))), F.lit(False))
+
+
 def _rare_lists(shingles: DataFrame, loose: DataFrame, limits: Threshold) -> DataFrame:
     """``(shingle, node, n, part)``: inverted lists of the rarest shingles of
     each set, so many that two linked sets have one of them in common. Only
@@ -291,7 +316,7 @@ def _verified(pairs: DataFrame, shingles: DataFrame, limits: Threshold) -> DataF
     both = pairs.join(b, "b").join(a, "a")
     shared = F.size(F.array_intersect("s", "t"))
     union = F.size("s") + F.size("t") - shared
-    return both.select("a", "b", (100 * shared >= limits.percent * union).alias("linked"))
+    return both.select("a", "b", shared.alias("shared"), (100 * shared >= limits.percent * union).alias("linked"))
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
