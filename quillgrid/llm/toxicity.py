@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from quillgrid.llm.common import add_columns, checkpointed, once_per_worker, whole
 
-SAMPLE = 3000
+SAMPLE = 2000
 LEXICONS, STEMS = 6, 6
 SHAPES = ("shouting", "exclaiming", "repeating")
 VOTERS = LEXICONS + STEMS + len(SHAPES)
@@ -48,22 +48,33 @@ def beginnings(word: str) -> list[str]:
 
 # ---- voters ----------------------------------------------------------------
 
-def find_terms(texts: list[tuple[set[str], int]]) -> tuple[dict[str, int], dict[str, int]]:
+class Terms:
+    """The words of some texts and their beginnings, as numbers."""
+
+    def __init__(self, texts: list[str]) -> None:
+        self.number: dict[str, int] = {}
+        number, self.rows = self.number, []
+        for text in texts:
+            words = words_of(text)
+            own = words.union(*map(beginnings, words))
+            self.rows.append(np.array([number.setdefault(t, len(number)) for t in sorted(own)], np.int32))
+
+    def counts(self, chosen: np.ndarray) -> np.ndarray:
+        """In how many of the chosen texts each term occurs."""
+        rows = [r for r, c in zip(self.rows, chosen) if c]
+        return np.bincount(np.concatenate(rows) if rows else np.empty(0, np.int32), minlength=len(self.number))
+
+
+def find_terms(texts: list[tuple[str, int]]) -> tuple[dict[str, int], dict[str, int]]:
     """Words, and beginnings of words, that mark the toxic texts, each with the
     voter that has it."""
-    size = Counter(label for _, label in texts)
-    seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for words, label in texts:
-        seen[label].update(words)
-        seen[label].update({b for w in words for b in beginnings(w)})
-    chosen = []
-    for term, n in seen[1].items():
-        rate, other = n / size[1], (seen[0][term] + 1) / size[0]
-        if n >= 5 and rate >= 8 * other:
-            chosen.append((-n * math.log(rate / other), term))
-    terms = [term for _, term in sorted(chosen)[:MOST_TERMS]]
-    lexicon = {t: zlib.crc32(t.encode()) % LEXICONS for t in terms if not t.endswith("…")}
-    stems = {t: LEXICONS + zlib.crc32(t.encode()) % STEMS for t in terms if t.endswith("…")}
+    terms, label = Terms([t for t, _ in texts]), np.array([y for _, y in texts])
+    seen, other = terms.counts(label == 1), terms.counts(label == 0)
+    ratio = (seen / (label == 1).sum()) / ((other + 1) / (label == 0).sum())
+    marked = {t: i for t, i in terms.number.items() if seen[i] >= 5 and ratio[i] >= 8}
+    best = sorted(marked, key=lambda t: (-seen[marked[t]] * math.log(ratio[marked[t]]), t))[:MOST_TERMS]
+    lexicon = {t: zlib.crc32(t.encode()) % LEXICONS for t in best if not t.endswith("…")}
+    stems = {t: LEXICONS + zlib.crc32(t.encode()) % STEMS for t in best if t.endswith("…")}
     return lexicon, stems
 
 
@@ -152,30 +163,21 @@ def _bits(votes: list[int]) -> np.ndarray:
 
 # ---- the classifier --------------------------------------------------------
 
-def fit_linear(texts: list[tuple[set[str], float]], rounds: int = 150, decay: float = 0.02) -> tuple[dict[str, float], float]:
+def fit_linear(texts: list[tuple[str, float]], rounds: int = 150, decay: float = 0.02) -> tuple[dict[str, float], float]:
     """Logistic regression on the words of each text and their beginnings, for
     soft labels. Each term is scaled by its log ratio between the classes, so
     that the many terms common to both, and long texts with them, say little."""
-    positive, negative, features = Counter(), Counter(), []
-    for words, label in texts:
-        own = words.union(*map(beginnings, words))
-        features.append(own)
-        (positive if label >= 0.5 else negative).update(own)
+    terms, target = Terms([t for t, _ in texts]), np.array([y for _, y in texts])
+    positive, negative = terms.counts(target >= 0.5), terms.counts(target < 0.5)
     # Shares of all terms, not of texts: longer texts in one class must not tilt common terms.
-    mass = [max(1, sum(c.values())) / 100 for c in (positive, negative)]
-    ratio = {}
-    for term in positive.keys() | negative.keys():
-        if positive[term] + negative[term] >= 3:
-            r = math.log((positive[term] + 2) / mass[0]) - math.log((negative[term] + 2) / mass[1])
-            # Beyond three standard errors: long texts have very many terms that say nothing.
-            if abs(r) >= 3 * math.sqrt(1 / (positive[term] + 1) + 1 / (negative[term] + 1)):
-                ratio[term] = r
-    number = {t: i for i, t in enumerate(sorted(ratio))}
-    scale = np.array([ratio[t] for t in sorted(ratio)])
-    places = [[number[t] for t in own if t in number] for own in features]
-    row = np.repeat(np.arange(len(texts)), [len(p) for p in places])
-    col = np.array([i for p in places for i in p], np.int64)
-    target = np.array([y for _, y in texts])
+    ratio = np.log((positive + 2) / max(1, positive.sum())) - np.log((negative + 2) / max(1, negative.sum()))
+    # Beyond three standard errors: long texts have very many terms that say nothing.
+    told = (positive + negative >= 3) & (np.abs(ratio) >= 3 * np.sqrt(1 / (positive + 1) + 1 / (negative + 1)))
+    names = [t for t, i in terms.number.items() if told[i]]
+    scale, place = ratio[told], np.cumsum(told) - 1
+    kept = [place[r[told[r]]] for r in terms.rows]
+    row, col = np.repeat(np.arange(len(texts)), [k.size for k in kept]), np.concatenate(kept)
+    number = dict(zip(names, range(len(names))))
     weight, bias = np.zeros(len(number)), 0.0
     history, bias_history = np.full(len(number), 1e-8), 1e-8
     for _ in range(rounds):
@@ -215,11 +217,14 @@ class Scorer:
 
 # ---- the operator ----------------------------------------------------------
 
-def _sampled(rows: DataFrame, group: str) -> list[tuple[str, object]]:
-    """``SAMPLE`` texts of each group, by hash. Tasks cut their share before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64("text"), "text"))
-    chosen = rows.select("text", group).distinct().withColumn("rank", rank).where(F.col("rank") <= SAMPLE)
-    return [(r["text"], r[group]) for r in chosen.select("text", group).collect()]
+def _sampled(rows: DataFrame, group: str, texts: DataFrame) -> list[tuple[str, int]]:
+    """``SAMPLE`` texts of each group, by hash. Only ids are ranked, and each task
+    cuts its share before the shuffle; what is chosen is at most two samples of
+    ids, which are sent to where the texts lie."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("order", "id"))
+    chosen = rows.select("id", "order", group).withColumn("rank", rank).where(F.col("rank") <= SAMPLE)
+    found = texts.join(F.broadcast(chosen.select("id", group)), "id").select("text", group)
+    return sorted({(r["text"], r[group]) for r in found.collect()})
 
 
 def learn(docs: DataFrame, labels: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[dict[str, float], float]:
@@ -227,31 +232,30 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, id_col: str = "
     and their labels. Labels other than 0 and 1 count as none; without labels of
     both kinds every text scores alike, below one half."""
     usable = docs.where(learnable).select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
+    hashed = usable.withColumn("order", F.xxhash64("text"))
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label IN (0, 1)")
-    sample = _sampled(usable.join(known, "id"), "label")
-    sample = sorted((t, y) for t, y in sample)
+    labelled = hashed.select("id", "order").join(known, "id")
+    sample = _sampled(labelled, "label", usable)
+    share = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if len({y for _, y in sample}) < 2:
         return {}, -1.0
-    counted = known.join(usable.select("id"), "id").groupBy("label").count().collect()
-    share = {r["label"]: r["count"] for r in counted}
-    lexicon, stems = find_terms([(words_of(t), y) for t, y in sample])
+    lexicon, stems = find_terms(sample)
 
     def vote(texts: list[str]) -> list[list]:
         return [[votes_of(t, lexicon, stems) for t in texts]]
 
-    voted = checkpointed(add_columns(usable, "votes long", "text", vote, ["id"]))
-    labelled = voted.join(known, "id", "left")
+    voted = checkpointed(add_columns(hashed, "votes long", "text", vote, ["id", "order"]))
     # At most three rows for each pattern of votes.
-    patterns = sorted((r["votes"], r["count"], -1 if r["label"] is None else r["label"]) for r in labelled.groupBy("votes", "label").count().collect())
+    counted = voted.join(known, "id", "left").groupBy("votes", "label").count().collect()
+    patterns = sorted((r["votes"], r["count"], -1 if r["label"] is None else r["label"]) for r in counted)
     votes, counts = _bits([v for v, *_ in patterns]), np.array([n for _, n, _ in patterns], float)
     tied = np.array([np.nan if y < 0 else y for *_, y in patterns])
     model = LabelModel(votes, counts, (share[1] + 1) / (share[0] + share[1] + 2), tied)
     posterior = {v: float(p) for (v, *_), p in zip(patterns, model.posterior(votes))}
 
     likely = F.udf(lambda v: int(posterior.get(v, 0.0) >= 0.5), "int")
-    chosen = _sampled(usable.join(voted.select("id", likely("votes").alias("likely")), "id"), "likely")
-    texts = [(words_of(t), posterior.get(votes_of(t, lexicon, stems), 0.0)) for t, _ in sorted(chosen)]
-    return fit_linear(texts)
+    chosen = _sampled(voted.select("id", "order", likely("votes").alias("likely")), "likely", usable)
+    return fit_linear([(t, posterior.get(votes_of(t, lexicon, stems), 0.0)) for t, _ in chosen])
 
 
 def score(docs: DataFrame, model: tuple[dict[str, float], float], text_col: str = "text") -> DataFrame:
