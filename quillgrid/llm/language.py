@@ -95,15 +95,17 @@ def learn(docs: DataFrame, learnable: Column, text_col: str = "text", lang_col:
     rows = docs.where(learnable & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), whole(text_col).alias("text"), F.xxhash64(text_col).alias("order")
     )
-    # Ranks above the limit are cut in each task, before the rows are shuffled.
+    # Hashes alone are ranked, and cut in each task before they are shuffled; what
+    # is chosen is a bounded number of hashes, sent to where the texts lie.
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    chosen = rows.withColumn("rank", rank).where(F.col("rank") <= PIECES)
+    chosen = rows.select("lang", "order").distinct().withColumn("rank", rank).where(F.col("rank") <= PIECES).drop("rank")
     names = [r[0] for r in rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     cut = F.udf(piece_of, "binary")
     halves: tuple[dict[str, set[bytes]], ...] = ({}, {})
-    for row in chosen.select("lang", cut("text").alias("piece")).collect():
+    texts = rows.join(F.broadcast(chosen), ["lang", "order"]).groupBy("lang", "order").agg(F.first("text").alias("text"))
+    for row in texts.select("lang", cut("text").alias("piece")).collect():
         piece = bytes(row["piece"])
         if piece:
             halves[zlib.crc32(piece) % 2].setdefault(row["lang"], set()).add(piece)
