@@ -17,12 +17,14 @@ def in_document_order(df: DataFrame, order: Sequence[str], partition_by: Sequenc
     and the columns cannot be NULL.
 
     Whether rows still lie as they were scanned depends on how large the look-ups
-    before were, so the order is never taken for granted.
+    before were, so the order is never taken for granted: frames that carry it are
+    sorted. Those with none of the columns have no order to keep.
     """
-    ordered = [c for c in order if c in df.columns]
-    if not ordered:
-        raise ValueError(f"rows need one of the columns {list(order)} for their order")
-    keys = [*partition_by, *ordered]
+    if not order:
+        raise ValueError("name the columns of the document order")
+    keys = [*partition_by, *(c for c in order if c in df.columns)]
+    if not keys:
+        return df
     for c in partition_by:
         df = df.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit("")))
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
