@@ -265,12 +265,16 @@ def _heavy_links(rows: DataFrame, on_lists: DataFrame, light: DataFrame, limits:
     lists = checkpointed(lists)
     x, y = lists.alias("x"), lists.alias("y")
     near = (100 * F.col("x.n") >= limits.percent * F.col("y.n")) & (100 * F.col("y.n") >= limits.percent * F.col("x.n"))
-    across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near & ~_too_far(limits))
+    across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near & ~_too_far(limits) & ~F.arrays_overlap("x.before", "y.before"))
     across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     second = _verified(across, shingles, limits).where("linked").select("a", "b")
     return checkpointed(linked.union(second))
 
 
+BEFORE = 64
+"""Earlier lists remembered with each entry. Pairs that first meet later than that
+are made more than once and told apart afterwards."""
+
 MET = 8
 """Hubs remembered of each set. More of them would spare more comparisons; the links are the same."""
 
@@ -296,7 +300,7 @@ def _too_far(limits: Threshold) -> Column:
 
 
 def _rare_lists(shingles: DataFrame, loose: DataFrame, limits: Threshold) -> DataFrame:
-    """``(shingle, node, n, part)``: inverted lists of the rarest shingles of
+    """``(shingle, node, n, part, before)``: inverted lists of the rarest shingles of
     each set, so many that two linked sets have one of them in common. Only
     lists that hold different parts are left."""
     held = shingles.join(loose, "node").select("node", "n", "part", F.explode("shingles").alias("shingle"))
@@ -304,9 +308,15 @@ def _rare_lists(shingles: DataFrame, loose: DataFrame, limits: Threshold) -> Dat
     place = F.row_number().over(Window.partitionBy("node").orderBy("sets", "shingle"))  # a set is one document's
     rarest = held.join(counts, "shingle").withColumn("place", place)
     needed = F.col("n") - F.ceil(F.lit(limits.percent) * F.col("n") / 100) + 1
-    rarest = rarest.where((F.col("place") <= needed) & (F.col("sets") > 1)).select("shingle", "node", "n", "part")
+    rarest = rarest.where((F.col("place") <= needed) & (F.col("sets") > 1)).select("shingle", "node", "n", "part", "sets")
     several = rarest.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("shingle")
-    return rarest.join(several, "shingle")
+    listed = rarest.join(several, "shingle")
+    # The lists a set is on before this one: two sets are paired on the first that both are on.
+    order = Window.partitionBy("node").orderBy("sets", "shingle")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    listed = listed.withColumn("number", F.row_number().over(order))
+    before = F.collect_list(F.when(F.col("number") <= BEFORE, F.col("shingle"))).over(earlier)
+    return listed.withColumn("before", before).drop("sets", "number")
 
 
 def _verified(pairs: DataFrame, shingles: DataFrame, limits: Threshold) -> DataFrame:
