@@ -118,7 +118,7 @@ def test_file_names(spark):
         "CON18_07_n4.xml": ("18", "07", "1807", 4, "c18a"),
         "CON33_123.xml": ("33", "123", "33123", None, "c33a"),
         "CON33_123_n9.xls": ("33", "123", "33123", None, "c33a"),
-        "htg_absc_1818to1824_n28.xls": ("hga", "1818to1824", "1818", 28, "hga"),
+        "htg_absc_1840to1849_n28.xls": ("hga", "1840to1849", "1840", 28, "hga"),
         "htg_freedoms_1829_n2.xml": ("hgf", "1829", "1829", 2, "hgf"),
         "other.xls": None,
     }

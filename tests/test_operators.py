@@ -23,12 +23,12 @@ def test_empty_values(tall):
 
 def test_schema_is_bound_by_position(tall, registry):
     named = schema.apply_schema(tall, registry, "dcf", keep=records.POSITION)
-    assert named.columns == ["file", "block", "rn", "lineNum", "ship", "notes"]
+    assert named.columns == ["file", "block", "rn", "lineNum", "craft", "notes"]
     with pytest.raises(ValueError):
-        schema.apply_schema(tall, registry, "todo")
+        schema.apply_schema(tall, registry, "draft")
     values = reshape.to_elements(tall).withColumn("record_type", F.lit("dcf"))
     bound = {(r.rn, r.column): r.value for r in schema.bind_registry(values, registry).collect()}
-    assert bound == {(1, "lineNum"): "a", (2, "ship"): "b", (2, "notes"): "00"}
+    assert bound == {(1, "lineNum"): "a", (2, "craft"): "b", (2, "notes"): "00"}
 
 
 def test_dates_are_folded(spark):
@@ -113,12 +113,12 @@ def test_size_check(spark):
 
 def test_dictionary(spark, registry):
     words = spark.createDataFrame(
-        [("ship", "a vessel"), ("dcf.ship", "as written"), ("kgd.rank", "own"), ("notes", "")], "key string, description string")
+        [("craft", "a vessel"), ("dcf.craft", "as written"), ("kgd.rank", "own"), ("notes", "")], "key string, description string")
     rows = {(r.record_type, r.column): r.description for r in dictionary.build_dictionary(registry, words).collect()}
     start = 'In original source file type "'
-    assert rows["dcf", "ship"] == (
-        start + 'dcf", column 2 or B is XML element "ship". Generally for "ship": a vessel'
-        ' Specifically for "dcf.ship": as written')
+    assert rows["dcf", "craft"] == (
+        start + 'dcf", column 2 or B is XML element "craft". Generally for "craft": a vessel'
+        ' Specifically for "dcf.craft": as written')
     assert rows["kgd", "rank"] == start + 'kgd", column 5 or E is XML element "rank". Specifically for "kgd.rank": own'
     assert rows["dcf", "notes"] == start + 'dcf", column 3 or C is XML element "notes".'
 

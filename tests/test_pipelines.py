@@ -29,7 +29,7 @@ def texts(path, pattern="*"):
 
 @pytest.mark.parametrize("split", [True, False])
 def test_registered(spark, tmp_path, registry, split):
-    names = ["lineNum", "ship", "notes"]
+    names = ["lineNum", "craft", "notes"]
     (tmp_path / "in").mkdir()
     rows = [("LINE", "SHIP", "NOTES"), ("1", "", "a &amp; b"), ("2", "s", ""), ("3", "0", " z ")]
     (tmp_path / "in" / "d1.xml").write_text(document("dcf", names, rows))
@@ -43,10 +43,10 @@ def test_registered(spark, tmp_path, registry, split):
     target = str(tmp_path / "out")
     xml.write_records(everything, target, "dcf", {"source": "d 1.xml", "n": 4})
     written = "".join(texts(target, "*.xml"))
-    assert "<ship>" in written and written.count("<dcf>") == 4 and "a &amp; b" in written
+    assert "<craft>" in written and written.count("<dcf>") == 4 and "a &amp; b" in written
     assert written.count("<notes>") == 3
     back = read_records(spark, target, "dcf", names)
-    ordered = [(r.lineNum, r.ship, r.notes) for r in back.orderBy("file", "rn").collect()]
+    ordered = [(r.lineNum, r.craft, r.notes) for r in back.orderBy("file", "rn").collect()]
     assert ordered == [("1", None, "a & b"), ("2", "s", None), ("3", "0", " z "), ("1", None, "a & b")]
     for tag in (None, "dcf"):
         roots = read_root_attributes(spark, target, tag).collect()
@@ -90,7 +90,7 @@ VOLUMES = {
     "CON33_12_n9.xml": ("c33a", ["1", "2"], ["33120001", "33120002"], "BOO"),
     "CON18_01_2_n2.xml": ("dlm", ["1", "22"], ["18012001", "18012022"], "GOOD"),
     "CON19_03_1_n2.xml": ("dlf", ["1", "22"], ["190310001", "190310022"], "GOOD"),
-    "htg_absc_1818to1824_n2.xml": ("hga", ["1", "22"], ["18180001", "18180022"], "GOOD"),
+    "htg_absc_1840to1849_n2.xml": ("hga", ["1", "22"], ["18400001", "18400022"], "GOOD"),
     "htg_freedoms_1829_n2.xml": ("hgf", ["1", "22"], ["182900001", "182900022"], "GOOD"),
     "CON23_01_n1.xml": ("c23a", [], [], "BOO"),
 }
@@ -99,12 +99,12 @@ VOLUMES = {
 def test_volumes(spark, tmp_path, registry):
     (tmp_path / "v").mkdir()
     for name, (_, lines, _, _) in VOLUMES.items():
-        rows = [("LINE N0.", "POLICE", "SURNAME"), ("", "x", ""), *((n, "", "s") for n in lines)]
-        (tmp_path / "v" / name).write_text(document("c31a", ["lineNum", "policeNum", "surname"], rows))
+        rows = [("row no", "badge", "family"), ("", "x", ""), *((n, "", "s") for n in lines)]
+        (tmp_path / "v" / name).write_text(document("c31a", ["lineNum", "badgeNum", "family"], rows))
     out, verdicts = pipelines.convert_volumes(spark, str(tmp_path / "v"), registry, "c31a")
     got = {}
     for r in out.withColumn("name", file_name("file")).orderBy("file", "rn").collect():
-        assert r.policeNum is None and r.surname == "s"
+        assert r.badgeNum is None and r.family == "s"
         got.setdefault(r.name, []).append((r.record_type, r.lineNum))
     assert got == {n: [(t, k) for k in keys] for n, (t, _, keys, _) in VOLUMES.items() if keys}
     named = {r.name: (r.declared_n, r.actual_n, r.verdict) for r in verdicts.withColumn("name", file_name("file")).collect()}
@@ -121,19 +121,19 @@ def test_volumes_need_a_volume(spark, tmp_path, registry):
 
 
 def test_deaths(spark, tmp_path, registry):
-    lines = ["n\td\tm\ty\tr\ta", "1\t3\t4\t1850\t Watchmaker\x92s child \t30", "2\t3\t4\t\tx<y\t0", "", "3\t\t\t1851\t0\t00"]
+    lines = ["n\td\tm\ty\tr\ta", "1\t3\t4\t1850\t Cooper\x92s child \t30", "2\t3\t4\t\tx<y\t0", "", "3\t\t\t1851\t0\t00"]
     (tmp_path / "deaths.dat").write_bytes("\r\n".join(lines).encode("latin-1"))
     out = pipelines.convert_delimited(spark, str(tmp_path / "deaths.dat"), registry, "kgd")
     assert out.columns == ["file", "block", "rn", "lineNum", "deathDate", "rank", "age"]
     assert [tuple(r)[2:] for r in out.orderBy("rn").collect()] == [
-        (2, "1", "1850-04-03", "Watchmaker' child", "30"), (3, "2", None, "x<y", None), (4, None, None, None, None),
+        (2, "1", "1850-04-03", "Cooper' child", "30"), (3, "2", None, "x<y", None), (4, None, None, None, None),
         (5, "3", "1851-00-00", None, "00")]
     assert tuple(pipelines.check_delimited(out, "kgd").first()) == ("kgd", 92885, 4, "BOO")
     assert pipelines.check_delimited(out, "kgd", 4, fatal=True).first().verdict == "GOOD"
     kept = pipelines.convert_delimited(
         spark, str(tmp_path / "deaths.dat"), registry, "kgd", keep_zero=True, keep_parts=True, correct=True)
     assert [tuple(r)[2:] for r in kept.orderBy("rn").collect()][:2] == [
-        (2, "1", None, None, "1850-04-03", "Watchmaker's child", "30"), (3, "2", "3", "4", None, "x<y", "0")]
+        (2, "1", None, None, "1850-04-03", "Cooper's child", "30"), (3, "2", "3", "4", None, "x<y", "0")]
     xml.write_records(out, str(tmp_path / "o"), "kgd", {"source": "deaths.dat", "n": 4})
     written = "".join(texts(str(tmp_path / "o")))
     assert "<kgd/>" in written and "x&lt;y" in written and "<age>0</age>" not in written
@@ -145,22 +145,22 @@ def test_marriages(spark, tmp_path, registry, tiny_splits, monkeypatch):
     (tmp_path / "m.dat").write_bytes(text.encode("latin-1"))
     path = str(tmp_path / "m.dat")
     out = pipelines.convert_delimited(spark, path, registry, "kgm").orderBy("rn").collect()
-    assert [(r.rec_no, r.marriageDate, r.forename, r.last) for r in out] == [
+    assert [(r.entryNo, r.marriageDate, r.given, r.last) for r in out] == [
         (str(i), f"{y}-{m:02d}-{d:02d}", f, "l\tm") for i, y, f, d, m, _ in rows]
     carried = pipelines.convert_delimited(spark, path, registry, "kgm", carry=True).orderBy("rn").collect()
     before = [(0, 0), *((d, m) for _, _, _, d, m, _ in rows)]
     assert [r.marriageDate for r in carried] == [f"{r[1]}-{m:02d}-{d:02d}" for r, (d, m) in zip(rows, before)]
     as_scanned = pipelines.convert_delimited(spark, path, registry, "kgm")
     xml.write_records(as_scanned, str(tmp_path / "o"), "kgm")
-    back = read_records(spark, str(tmp_path / "o"), "kgm", ["rec_no"]).orderBy("file", "rn").collect()
-    assert [int(r.rec_no) for r in back] == list(range(1, 1200))
+    back = read_records(spark, str(tmp_path / "o"), "kgm", ["entryNo"]).orderBy("file", "rn").collect()
+    assert [int(r.entryNo) for r in back] == list(range(1, 1200))
     # Too many splits for a broadcast: rows move, their order on disk does not change.
     monkeypatch.setattr(files, "MAX_BROADCAST_SPLITS", 0)
     xml.write_records(pipelines.convert_delimited(spark, path, registry, "kgm"), str(tmp_path / "moved"), "kgm")
-    back = read_records(spark, str(tmp_path / "moved"), "kgm", ["rec_no"]).orderBy("file", "rn").collect()
-    assert [int(r.rec_no) for r in back] == list(range(1, 1200))
+    back = read_records(spark, str(tmp_path / "moved"), "kgm", ["entryNo"]).orderBy("file", "rn").collect()
+    assert [int(r.entryNo) for r in back] == list(range(1, 1200))
     short = pipelines.convert_delimited(spark, path, registry, "kgm", n_fields=5)
-    assert short.columns[-1] == "forename" and short.count() == len(rows)
+    assert short.columns[-1] == "given" and short.count() == len(rows)
 
 
 BOOK = [
@@ -243,11 +243,11 @@ def test_registry_round_trip(spark, tmp_path, registry):
     columns = ["record_type", "ordinal", "column"]
     assert sorted(map(str, back.select(columns).collect())) == sorted(map(str, named.select(columns).collect()))
     types = back.select("entry_no", "record_type").distinct().orderBy("entry_no").collect()
-    assert [r.record_type for r in types] == ["NEW", "todo", "dcf", "c31a", "kgd", "kgm", "empty"]
+    assert [r.record_type for r in types] == ["NEW", "draft", "dcf", "c31a", "kgd", "kgm", "empty"]
 
 
 def test_dictionary_document(spark, tmp_path, registry):
-    words = spark.createDataFrame([("ship", "a vessel")], "key string, description string")
+    words = spark.createDataFrame([("craft", "a vessel")], "key string, description string")
     meta = spark.createDataFrame([("dcf", 7, "Deaths", "typed", "d.txt", "9")], "record_type string, num_recs int,"
                                  "desc string, source string, documentation string, archive_id string")
     entries = pipelines.build_dictionary(registry.where("record_type is not null"), words, meta, "u/", "a/")
@@ -257,8 +257,8 @@ def test_dictionary_document(spark, tmp_path, registry):
     dcf = written[written.index('<record key="dcf"'):]
     dcf = dcf[: dcf.index("</record>")]
     assert 'n="7"' in dcf and "<label>Deaths</label>" in dcf and "<archive>a/9</archive>" in dcf
-    assert dcf.index('key="lineNum"') < dcf.index('key="ship"') < dcf.index('key="notes"')
-    assert '<elementName column="2">ship</elementName>' in dcf and "a vessel" in dcf
+    assert dcf.index('key="lineNum"') < dcf.index('key="craft"') < dcf.index('key="notes"')
+    assert '<elementName column="2">craft</elementName>' in dcf and "a vessel" in dcf
 
 
 def test_provenance(spark):
@@ -273,7 +273,7 @@ def test_registered_type_from_workbooks(spark, tmp_path, registry):
     (tmp_path / "a.xlsx").write_bytes(workbook_bytes([("one", rows), ("two", rows[:3])]))
     cells = pipelines.read_workbook_cells(spark, str(tmp_path / "a.xlsx"))
     found = pipelines.convert_registered_cells(cells, registry, "dcf", 99).orderBy("block", "rn").collect()
-    assert [(r.block, r.rn, r.lineNum, r.ship, r.notes) for r in found] == [
+    assert [(r.block, r.rn, r.lineNum, r.craft, r.notes) for r in found] == [
         (k, i + 1, str(i), f"s{i}" if i % 3 else None, "0") for k, n in ((1, 99), (2, 2)) for i in range(1, n + 1)]
 
 

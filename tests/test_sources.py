@@ -21,7 +21,7 @@ def test_registry(registry):
     for r in registry.orderBy("entry_no", "ordinal").collect():
         rows.setdefault(r["record_type"], []).append((r["ordinal"], r["column"]))
     assert rows["NEW"] == [(None, None)]
-    assert rows["dcf"] == [(1, "lineNum"), (2, "ship"), (3, "notes")]
+    assert rows["dcf"] == [(1, "lineNum"), (2, "craft"), (3, "notes")]
     assert rows[None] == [(1, "orphan")]
     assert schema.registry_names(registry, "kgd")[3] == "deathYr"
     assert schema.registry_names(registry, "NEW") == []
@@ -37,13 +37,13 @@ def test_registry_checks(spark, registry):
     types = registry.select("record_type").distinct().where("record_type is not null")
     assert [r[0] for r in schema.types_without_columns(types, registry).select("record_type").collect()] == ["empty"]
     named = registry.where("record_type is not null")
-    assert schema.type_list(named).first()[0] == "NEW,todo,dcf,c31a,kgd,kgm,empty"
+    assert schema.type_list(named).first()[0] == "NEW,draft,dcf,c31a,kgd,kgm,empty"
     lists = {r["record_type"]: r["names"] for r in schema.qname_list(registry).collect()}
-    assert lists["c31a"] == "lineNum,policeNum,surname"
+    assert lists["c31a"] == "lineNum,badgeNum,family"
     asked = spark.createDataFrame([("dcf",), ("dc",), ("NEW",)], "record_type string")
     assert {r[0] for r in schema.known_types(asked, registry).collect()} == {"dcf", "NEW"}
     described = schema.describe_types(registry).where("record_type = 'dcf'").orderBy("ordinal").collect()
-    assert [(r["letter"], r["column"]) for r in described] == [("A", "lineNum"), ("B", "ship"), ("C", "notes")]
+    assert [(r["letter"], r["column"]) for r in described] == [("A", "lineNum"), ("B", "craft"), ("C", "notes")]
 
 
 @pytest.mark.parametrize("text", ["<CONFIG><RECORD_TYPE ID='a'><C>x</RECORD_TYPE></CONFIG>",
@@ -100,11 +100,11 @@ def test_splits_are_pinned_and_checked(spark, tmp_path):
 
 RECORDS = """<?xml version="1.0" encoding="UTF-8"?>
 <dataroot source="a&amp;b" n="3">
-  <dcf><lineNum>LINE</lineNum><ship>SHIP</ship></dcf>
-  <dcf n="1"><lineNum> 1 &amp; </lineNum><ship/><dcfNote>x</dcfNote></dcf>
+  <dcf><lineNum>LINE</lineNum><craft>SHIP</craft></dcf>
+  <dcf n="1"><lineNum> 1 &amp; </lineNum><craft/><dcfNote>x</dcfNote></dcf>
   <dcf/>
   <dcf
-   n="3"><lineNum>3</lineNum><ship></ship></dcf>
+   n="3"><lineNum>3</lineNum><craft></craft></dcf>
 </dataroot>
 """
 
@@ -112,13 +112,13 @@ RECORDS = """<?xml version="1.0" encoding="UTF-8"?>
 @pytest.mark.parametrize("split", [True, False])
 def test_record_xml(spark, tmp_path, split):
     (tmp_path / "r.xml").write_text(RECORDS)
-    df = read_records(spark, str(tmp_path), "dcf", ["_n", "lineNum", "ship", "dcfNote"], split)
-    assert values(df, "rn", "_n", "lineNum", "ship", "dcfNote") == [
+    df = read_records(spark, str(tmp_path), "dcf", ["_n", "lineNum", "craft", "dcfNote"], split)
+    assert values(df, "rn", "_n", "lineNum", "craft", "dcfNote") == [
         (1, None, "LINE", "SHIP", None), (2, "1", " 1 & ", None, "x"), (3, None, None, None, None),
         (4, "3", "3", None, None)]
     (tmp_path / "r.xml").write_text(RECORDS.replace("dcfNote", "note"))
-    df = read_records(spark, str(tmp_path), "dcf", ["_n", "lineNum", "ship", "note"], split)
-    assert values(df, "rn", "_n", "lineNum", "ship", "note") == [
+    df = read_records(spark, str(tmp_path), "dcf", ["_n", "lineNum", "craft", "note"], split)
+    assert values(df, "rn", "_n", "lineNum", "craft", "note") == [
         (1, None, "LINE", "SHIP", None), (2, "1", " 1 & ", None, "x"), (3, None, None, None, None),
         (4, "3", "3", None, None)]
     roots = read_root_attributes(spark, str(tmp_path)).collect()
@@ -153,9 +153,9 @@ def test_split_bounds(spark, tmp_path, tiny_splits):
 
 
 def test_dictionary(spark, tmp_path):
-    (tmp_path / "d.txt").write_text("# note\nship\tfirst\nage\tin\tyears\nship\tlast\r\nbare\n")
+    (tmp_path / "d.txt").write_text("# note\ncraft\tfirst\nage\tin\tyears\ncraft\tlast\r\nbare\n")
     rows = {r["key"]: r["description"] for r in read_dictionary(spark, str(tmp_path)).collect()}
-    assert rows == {"ship": "last", "age": "in\tyears", "bare": None}
+    assert rows == {"craft": "last", "age": "in\tyears", "bare": None}
 
 
 SHEETS = [
