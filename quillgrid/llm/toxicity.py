@@ -10,9 +10,9 @@
 3. A linear classifier on words and word beginnings is trained on the model's
    posterior labels, and scores every text, whether a voter knows it or not.
 
-The samples are bounded: ``SAMPLE`` labelled texts of each class for the terms,
-and ``SAMPLE`` texts of each posterior class for the classifier, both chosen by
-a hash over all rows that may be learned from. Vote counts cover all of these.
+The samples are bounded: ``SAMPLE`` different labelled texts of each class for the
+terms, and ``SAMPLE`` different texts of each posterior class for the classifier, both
+chosen by a hash over all rows that may be learned from. Vote counts cover all of these.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from quillgrid.llm.common import add_columns, checkpointed, once_per_worker, whole
 
-SAMPLE = 2000
+SAMPLE = 3000
 LEXICONS, STEMS = 6, 6
 SHAPES = ("shouting", "exclaiming", "repeating")
 VOTERS = LEXICONS + STEMS + len(SHAPES)
@@ -218,12 +218,14 @@ class Scorer:
 # ---- the operator ----------------------------------------------------------
 
 def _sampled(rows: DataFrame, group: str, texts: DataFrame) -> list[tuple[str, int]]:
-    """``SAMPLE`` texts of each group, by hash. Only ids are ranked, and each task
+    """``SAMPLE`` different texts of each group, by hash: copies of a text, empty ones
+    among them, take one place. Only hashes are ranked, each with one id, and each task
     cuts its share before the shuffle; what is chosen is at most two samples of
     ids, which are sent to where the texts lie."""
-    rank = F.row_number().over(Window.partitionBy(group).orderBy("order", "id"))
-    chosen = rows.select("id", "order", group).withColumn("rank", rank).where(F.col("rank") <= SAMPLE)
-    found = texts.join(F.broadcast(chosen.select("id", group)), "id").select("text", group)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("order"))
+    different = rows.groupBy(group, "order").agg(F.min("id").alias("id"))
+    chosen = different.withColumn("rank", rank).where(F.col("rank") <= SAMPLE)
+    found = texts.join(F.broadcast(chosen.select("id", "order", group)), ["id", "order"]).select("text", group)
     return sorted({(r["text"], r[group]) for r in found.collect()})
 
 
@@ -235,7 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, id_col: str = "
     hashed = usable.withColumn("order", F.xxhash64("text"))
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label IN (0, 1)")
     labelled = hashed.select("id", "order").join(known, "id")
-    sample = _sampled(labelled, "label", usable)
+    sample = _sampled(labelled, "label", hashed)
     share = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if len({y for _, y in sample}) < 2:
         return {}, -1.0
@@ -254,7 +256,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, id_col: str = "
     posterior = {v: float(p) for (v, *_), p in zip(patterns, model.posterior(votes))}
 
     likely = F.udf(lambda v: int(posterior.get(v, 0.0) >= 0.5), "int")
-    chosen = _sampled(voted.select("id", "order", likely("votes").alias("likely")), "likely", usable)
+    chosen = _sampled(voted.select("id", "order", likely("votes").alias("likely")), "likely", hashed)
     return fit_linear([(t, posterior.get(votes_of(t, lexicon, stems), 0.0)) for t, _ in chosen])
 
 

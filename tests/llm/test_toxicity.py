@@ -3,6 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from quillgrid.llm import toxicity
 from quillgrid.llm.toxicity import LabelModel, learn, score
 
 BAD = ["vilk", "gromp", "zatch", "plunt", "skorr"]
@@ -59,3 +60,17 @@ def test_label_model_tells_accuracies_and_dependence():
     assert {model.parents[4], model.parents[2]} & {2, 4}
     told = model.posterior(votes) >= 0.5
     assert (told == y).mean() > 0.93
+
+
+def test_copies_take_one_place_of_the_sample(spark, docs, prose, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 100)
+    rows = corpus(prose)
+    df, labels = frames(spark, docs, rows)
+    model = learn(df, labels, F.lit(True))
+    first = {r.label: r.doc_id for r in df.join(labels, "doc_id").groupBy(F.col("toxic").alias("label")).agg(F.min_by("doc_id", F.xxhash64("text")).alias("doc_id")).collect()}
+    copies = [(1000 + 200 * label + i, rows[at][1], label) for label, at in first.items() for i in range(200)]
+    more, told = frames(spark, docs, [*rows, *copies])
+    copied = learn(more, told, F.lit(True))
+    assert set(copied[0]) == set(model[0]) and model[0]
+    found = score(df, copied).collect()
+    assert sum(r.predicted == rows[r.doc_id][2] for r in found) >= 0.95 * len(found)
