@@ -1,15 +1,16 @@
 """Main text of web pages by wrapper induction.
 
-Pages of a host come from the same templates. They are read in *chunks* of at
-most ``CHUNK`` pages of one host; in each, every page's tree of block elements is
+Pages of a host come from the same templates. Its different pages are read in
+*chunks* of near-equal size, at most ``CHUNK``; in each, every page's tree of block elements is
 aligned with that of a reference page by simple tree matching. Text that stands
 at the same node in most of the pages is template; slots whose text varies are
 content. What elements and their names declare to be menus, adverts, comments
 and the like is no content either, and where a page marks its article, content
 is sought there alone.
 
-The pages move once, by host. A host is one task's work unless it holds more
-than ``1 / HOT`` of all pages; such hosts, at most ``HOT`` of them, are salted.
+The pages move once, by host. A host is one task's work unless its different pages
+are more than ``1 / HOT`` of all; such hosts, at most ``HOT`` of them, are salted.
+Of a page with many copies one is read, and the copies get its text by a join.
 Tasks read their pages as a stream and hold one chunk.
 """
 
@@ -26,9 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quillgrid.llm.common import own_names
+from quillgrid.llm.common import checkpointed, own_names
 
 CHUNK, HOT = 200, 2000
+COPIES, MANY = 10, 20_000
+"""Copies of a page that may move with it: up to COPIES, or a MANYth of all pages."""
 CONSTANT, LEAST_PAGES = 0.8, 4
 """Share of aligned pages, and their number, from which a text at a node is template."""
 CELLS = 40_000
@@ -287,41 +290,87 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", text
     renamed = pages.select(
         *[F.col(f"`{c}`").alias(new[c]) for c in kept], F.coalesce(F.col(html_col), F.lit("")).alias("_html"), host.alias("_host")
     )
-    hosts = renamed.groupBy("_host").agg(F.count(F.lit(1)).alias("_n"))
-    total = hosts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    share = max(CHUNK, total // HOT)
-    hot = hosts.where(F.col("_n") > share)  # fewer than HOT rows
-    order = F.xxhash64("_html")
-    salted = renamed.join(F.broadcast(hot), "_host", "left").withColumn("_order", order)
-    salted = salted.withColumn("_salt", F.pmod("_order", F.coalesce(F.ceil(F.col("_n") / share), F.lit(1)))).drop("_n")
-    dealt = salted.repartition("_host", "_salt").sortWithinPartitions("_host", "_salt", "_order")
-    schema = T.StructType([*own.schema.fields, T.StructField("_text", T.StringType())])
-    names, arrow = list(new.values()), to_arrow_schema(schema)
+    keys = ["_host", "_order", "_twin"]
+    renamed = renamed.withColumn("_order", F.xxhash64("_html")).withColumn("_twin", F.xxhash64(F.lit(1), "_html"))
+    seen = checkpointed(renamed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    total = seen.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    share, most = max(CHUNK, total // HOT), max(COPIES, total // MANY)
+    hot = seen.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages")).where(F.col("_pages") > share)  # fewer than HOT rows
+    many = seen.where(F.col("_n") > most)  # fewer than MANY rows
+    any_many = bool(many.take(1))
+
+    def salted(rows: DataFrame) -> DataFrame:
+        salt = F.pmod("_order", F.coalesce(F.ceil(F.col("_pages") / share), F.lit(1)))
+        return rows.join(F.broadcast(hot), "_host", "left").withColumn("_salt", salt).drop("_pages")
+
+    names = list(new.values())
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in own.schema.fields]
+    # Before the pages of each host and salt comes a row with the number of different ones.
+    place = ["_host", "_salt"]
+    heads = salted(seen).groupBy(*place).agg(F.count(F.lit(1)).alias("_size"))
+    nil = F.lit(None).cast("long")
+    heads = heads.select(*none, *place, nil.alias("_order"), nil.alias("_twin"), "_size", F.lit(None).cast("string").alias("_html"), F.lit(False).alias("_shown"))
+    marked = renamed.join(F.broadcast(many), keys, "left") if any_many else renamed.withColumn("_n", nil)
+    columns = [*place, "_order", "_twin", nil.alias("_size"), "_html"]
+    stream = heads.unionByName(salted(marked.where("_n IS NULL")).select(*names, *columns, F.lit(True).alias("_shown")))
+    if any_many:
+        one = salted(marked.where("_n IS NOT NULL").groupBy(*keys).agg(F.first("_html").alias("_html")))
+        stream = stream.unionByName(one.select(*none, *columns, F.lit(False).alias("_shown")))
+    added = [T.StructField(c, t) for c, t in zip([*keys, "_shown", "_text"], [T.StringType(), T.LongType(), T.LongType(), T.BooleanType(), T.StringType()])]
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in own.schema.fields], *added])
+    arrow, passed = to_arrow_schema(schema), [*names, *keys, "_shown"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        at: tuple | None = None
+        htmls: list[list[str]] = []
+        last = None
+        size = rank = chunk = 0
 
         def done() -> Iterator[pa.RecordBatch]:
             if held:
                 rows = pa.Table.from_batches(held).combine_chunks()
-                texts = extract_chunk(rows.column("_html").to_pylist())
-                made = [*(rows.column(n) for n in names), pa.chunked_array([pa.array(texts, pa.string())])]
-                yield from pa.Table.from_arrays(made, schema=arrow).to_batches()
+                texts = extract_chunk([html for part in htmls for html in part])
+                made = [*(rows.column(n) for n in passed), pa.chunked_array([pa.array(texts, pa.string())])]
+                yield from pa.Table.from_arrays([a.cast(t) for a, t in zip(made, arrow.types)], schema=arrow).to_batches()
 
         for batch in batches:
-            keys = list(zip(batch.column("_host").to_pylist(), batch.column("_salt").to_pylist()))
+            hosts, salts, orders, twins, sizes, pages = (batch.column(c).to_pylist() for c in [*place, "_order", "_twin", "_size", "_html"])
+            kept = batch.select(passed)
             start = 0
-            for i, key in enumerate(keys):
-                size = sum(b.num_rows for b in held) + i - start
-                if key != at or size >= CHUNK:
-                    if i > start:
-                        held.append(batch.slice(start, i - start))
+
+            def hold(end: int) -> None:
+                if end > start:
+                    held.append(kept.slice(start, end - start))
+                    htmls.append(pages[start:end])
+
+            for i in range(len(hosts)):
+                if sizes[i] is not None:
+                    hold(i)
                     yield from done()
-                    held, at, start = [], key, i
-            if len(keys) > start:
-                held.append(batch.slice(start))
+                    held, htmls, start, size, rank, chunk, last = [], [], i + 1, sizes[i], -1, 0, None
+                    continue
+                if (orders[i], twins[i]) != last:
+                    last, rank = (orders[i], twins[i]), rank + 1
+                    own_chunk = rank * -(-size // CHUNK) // size
+                    if own_chunk != chunk:
+                        hold(i)
+                        yield from done()
+                        held, htmls, start, chunk = [], [], i, own_chunk
+            hold(len(hosts))
         yield from done()
 
-    out = dealt.mapInArrow(run, schema)
+    def made(rows: DataFrame) -> DataFrame:
+        dealt = rows.repartition(*place).sortWithinPartitions(*place, F.col("_size").desc_nulls_last(), "_order", "_twin")
+        return dealt.mapInArrow(run, schema)
+
+    out = made(stream).where("_shown").select(*names, "_text")
+    if any_many:
+        # Pages with many copies are read once beside the others of their host, and their
+        # texts brought back to the copies, in pieces so that no page makes a task hot.
+        there = salted(many).select(*place).distinct()
+        texts = made(stream.join(F.broadcast(there), place, "left_semi")).where(~F.col("_shown")).select(*keys, "_text")
+        pieces = F.ceil(F.col("_n") / share)
+        texts = texts.join(F.broadcast(many), keys).withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))).drop("_n")
+        copies = marked.where("_n IS NOT NULL").drop("_html").withColumn("_piece", F.pmod(F.monotonically_increasing_id(), pieces))
+        out = out.unionByName(copies.join(texts, [*keys, "_piece"]).select(*names, "_text"))
     return out.select(*old, F.col("_text").alias(text_col))

@@ -64,3 +64,20 @@ def test_very_long_and_broken_pages():
 def test_simple_tree_matching(a, b, size):
     assert match(Page(a).root, Page(b).root)[0] == size
     assert len(match(Page(a).root, Page(b).root)[1]) == size
+
+
+def test_many_copies_of_a_page_are_stripped_alike(spark, monkeypatch):
+    monkeypatch.setattr(wrapper, "CHUNK", 20)
+    body = "<div><p>Welcome to our site</p><div><h1>Title {0}</h1><p>Text {0} of some length, again and again.</p></div><p>Share this!</p></div>"
+    want = "Title {0}\nText {0} of some length, again and again."
+    numbers = [*range(9), *[3] * 70, *[5] * 8]
+    found = texts(spark, [page(body.format(i)) for i in numbers])
+    assert found == {k: want.format(i) for k, i in enumerate(numbers)}
+
+
+def test_the_last_pages_of_a_host_have_a_wrapper(spark, monkeypatch):
+    monkeypatch.setattr(wrapper, "CHUNK", 20)
+    body = "<div><p>Welcome to our site</p><div><h1>Title {0}</h1><p>Text {0} of some length, again and again.</p></div><p>Share this!</p></div>"
+    for n in (21, 22, 43):
+        found = texts(spark, [page(body.format(i)) for i in range(n)])
+        assert found == {i: f"Title {i}\nText {i} of some length, again and again." for i in range(n)}
