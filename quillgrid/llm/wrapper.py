@@ -56,6 +56,7 @@ NO_CONTENT = set(
 )
 PARTS = re.compile(r"[a-z]+")
 ARTICLE = {"article", "main"}
+PROSE = set("p blockquote pre h1 h2 h3 h4 h5 h6".split())
 
 
 class Node:
@@ -211,22 +212,39 @@ def _match_ends(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
 # ---- wrappers --------------------------------------------------------------
 
 def count_nodes(node: Node) -> int:
-    return 1 + sum(map(count_nodes, node.kids))
+    n, stack = 0, [node]
+    while stack:
+        n += 1
+        stack += stack.pop().kids
+    return n
+
+
+def texts_of(node: Node) -> tuple[str, ...]:
+    """The texts of a page that are not declared to be no content, in order."""
+    return tuple(text for text, *_ in _blocks(node))
 
 
 def template_slots(trees: list[Node]) -> list[set[tuple[int, int]]]:
     """For each of some pages of a host, its slots ``(id of the node, number of
-    the text)`` that are template: the same text at the same node of most pages."""
-    ordered = sorted(range(len(trees)), key=lambda i: count_nodes(trees[i]))
+    the text)`` that are template: the same text at the same node of most pages.
+    Pages whose texts are all the same count once."""
+    first: dict[tuple[str, ...], int] = {}
+    for i, tree in enumerate(trees):
+        first.setdefault(texts_of(tree), i)
+    if len(first) < LEAST_PAGES:
+        return [set() for _ in trees]
+    counted = set(first.values())
+    ordered = sorted(counted, key=lambda i: count_nodes(trees[i]))
     reference = trees[ordered[len(ordered) // 2]]
     texts: dict[tuple[int, int], Counter] = {}
     slots: list[list[tuple[tuple[int, int], tuple[int, int], str]]] = []
-    for tree in trees:
+    for i, tree in enumerate(trees):
         own = []
         for r, node in match(reference, tree)[1]:
             for k, (text, _) in enumerate(node.blocks()):
                 own.append(((id(r), k), (id(node), k), text))
-                texts.setdefault((id(r), k), Counter())[text] += 1
+                if i in counted:
+                    texts.setdefault((id(r), k), Counter())[text] += 1
         slots.append(own)
     fixed = {}
     for slot, seen in texts.items():
@@ -236,35 +254,51 @@ def template_slots(trees: list[Node]) -> list[set[tuple[int, int]]]:
     return [{node for slot, node, text in own if fixed.get(slot) == text} for own in slots]
 
 
-def main_text(tree: Node, template: set[tuple[int, int]]) -> str:
-    """The text blocks of a page that are content, one per line."""
-    marked = _has_article(tree)
-    found: list[tuple[str, bool]] = []
-
-    def walk(node: Node, inside: bool) -> None:
-        inside = inside or node.tag in ARTICLE
-        number = 0
-        for item in node.items:
+def _blocks(tree: Node) -> list[tuple[str, float, Node, int, bool]]:
+    """Texts of a tree in order, each with the share of it in links, its node, its
+    number there, and whether it lies in an article. What is skipped is left out."""
+    found = []
+    stack = [(tree, iter(tree.items), tree.tag in ARTICLE, [0])]
+    while stack:
+        node, items, inside, number = stack[-1]
+        for item in items:
             if isinstance(item, Node):
                 if not item.skip:
-                    walk(item, inside)
-                continue
-            text, linked = item
-            constant = (id(node), number) in template
-            number += 1
-            if inside if marked else linked <= 0.5:
-                found.append((text, constant))
-
-    walk(tree, False)
-    fixed = sum(len(t) for t, constant in found if constant)
-    # Pages that are copies of each other have nothing that varies: then all of it is content.
-    if 2 * fixed > sum(len(t) for t, _ in found):
+                    stack.append((item, iter(item.items), inside or item.tag in ARTICLE, [0]))
+                    break
+            else:
+                found.append((*item, node, number[0], inside))
+                number[0] += 1
+        else:
+            stack.pop()
+    return found
+
+
+def main_text(tree: Node, template: set[tuple[int, int]]) -> str:
+    """The text blocks of a page that are content, one per line. Where no article is
+    marked, text that is mostly links is content in paragraphs and headings only."""
+    blocks = _blocks(tree)
+    marked = _has_article(tree)
+    found = [
+        (text, (id(node), number) in template)
+        for text, linked, node, number, inside in blocks
+        if (inside if marked else linked <= 0.5 or node.tag in PROSE)
+    ]
+    # A page on which nothing varies has no slot to tell content by: then all of it is content.
+    if all(constant for _, constant in found):
         return "\n".join(t for t, _ in found)
     return "\n".join(t for t, constant in found if not constant)
 
 
-def _has_article(node: Node) -> bool:
-    return any(not k.skip and (k.tag in ARTICLE or _has_article(k)) for k in node.kids)
+def _has_article(tree: Node) -> bool:
+    stack = [tree]
+    while stack:
+        for kid in stack.pop().kids:
+            if not kid.skip:
+                if kid.tag in ARTICLE:
+                    return True
+                stack.append(kid)
+    return False
 
 
 def extract_chunk(pages: list[str]) -> list[str]:

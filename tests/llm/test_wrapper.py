@@ -81,3 +81,11 @@ def test_the_last_pages_of_a_host_have_a_wrapper(spark, monkeypatch):
     for n in (21, 22, 43):
         found = texts(spark, [page(body.format(i)) for i in range(n)])
         assert found == {i: f"Title {i}\nText {i} of some length, again and again." for i in range(n)}
+
+
+def test_template_longer_than_the_article_goes():
+    body = "<div><p>" + "Welcome to our site. " * 20 + "</p><div><p>Short text {0}.</p><p><a href=/>A linked paragraph {0}</a></p></div><p>Share this!</p></div>"
+    found = extract_chunk([page(body.format(i)) for i in range(9)])
+    assert found == [f"Short text {i}.\nA linked paragraph {i}" for i in range(9)]
+    near = [page(body.format(1), title=str(i)) for i in range(50)]
+    assert extract_chunk([*near, *(page(body.format(i)) for i in range(2, 9))])[49] == "Short text 1.\nA linked paragraph 1"
