@@ -21,6 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,9 @@ COPIES, MANY = 10, 20_000
 CONSTANT, LEAST_PAGES = 0.8, 4
 """Share of aligned pages, and their number, from which a text at a node is template."""
 CELLS = 40_000
-"""Pairs of children up to which two lists are aligned in full; longer ones from both ends."""
+"""Pairs of children up to which two lists are aligned in one table; longer ones are halved first."""
+KNOWN = 1_000_000
+"""Pairs of forms that are remembered from page to page."""
 
 # Elements of HTML, fixed values.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -166,47 +169,158 @@ class Page(HTMLParser):
 
 # ---- simple tree matching --------------------------------------------------
 
-def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
+class Matcher:
+    """Aligns trees. Nodes of the same form, in elements alone, have one number, and
+    what two forms have in common is told once."""
+
+    def __init__(self) -> None:
+        self.forms: dict[tuple, int] = {}
+        self.kids: list[tuple[int, ...]] = []
+        self.roots: list[tuple[str, bool]] = []
+        self.nodes: list[int] = []
+        self.known: dict[tuple[int, int], int] = {}
+
+    def form(self, tree: Node) -> dict[int, int]:
+        """The form of each node of a tree, by its id; leaves first."""
+        order, stack = [], [tree]
+        while stack:
+            node = stack.pop()
+            order.append(node)
+            stack += node.kids
+        found: dict[int, int] = {}
+        for node in reversed(order):
+            key = (node.tag, node.skip, tuple(found[id(k)] for k in node.kids))
+            number = self.forms.get(key)
+            if number is None:
+                number = self.forms[key] = len(self.kids)
+                self.kids.append(key[2])
+                self.roots.append(key[:2])
+                self.nodes.append(1 + sum(self.nodes[k] for k in key[2]))
+            found[id(node)] = number
+        return found
+
+    def weight(self, a: int, b: int) -> int | None:
+        """The size of the alignment of two forms, None if it has to be found first."""
+        if a == b:
+            return self.nodes[a]
+        if self.roots[a] != self.roots[b]:
+            return 0
+        if not self.kids[a] or not self.kids[b]:
+            return 1
+        return self.known.get((a, b))
+
+    def learn(self, a: int, b: int) -> int:
+        """``weight``, found from the leaves."""
+        stack = [(a, b)]
+        while stack:
+            x, y = stack[-1]
+            if self.weight(x, y) is None:
+                front, left, right = self._middle(x, y)
+                open_ = [(u, v) for u in set(left) for v in set(right) if self.weight(u, v) is None]
+                if open_:
+                    stack += open_
+                    continue
+                back = self.kids[x][front + len(left) :]
+                ends = sum(self.nodes[k] for k in (*self.kids[x][:front], *back))
+                self.known[x, y] = 1 + ends + (int(self._scores(left, right)[-1]) if left and right else 0)
+            stack.pop()
+        return self.weight(a, b)
+
+    def _middle(self, a: int, b: int) -> tuple[int, tuple[int, ...], tuple[int, ...]]:
+        """How many children of the same form two nodes begin with, and what is left
+        when those they end with are taken off, too. Some largest alignment has both."""
+        x, y = self.kids[a], self.kids[b]
+        n = min(len(x), len(y))
+        front = back = 0
+        while front < n and x[front] == y[front]:
+            front += 1
+        while back < n - front and x[-1 - back] == y[-1 - back]:
+            back += 1
+        return front, x[front : len(x) - back], y[front : len(y) - back]
+
+    def _rows(self, left: tuple[int, ...], right: tuple[int, ...]) -> Iterator[np.ndarray]:
+        """Weights of each of the left forms with all right ones."""
+        different, place = np.unique(np.array(right), return_inverse=True)
+        kept: dict[int, np.ndarray] = {}
+        for a in left:
+            row = kept.get(a)
+            if row is None:
+                row = np.array([self.weight(a, int(b)) for b in different])[place]
+                if len(kept) * len(right) < CELLS:
+                    kept[a] = row
+            yield row
+
+    def _scores(self, left: tuple[int, ...], right: tuple[int, ...]) -> np.ndarray:
+        """Sizes of the alignments of the left forms with the first 0, 1, ... right ones."""
+        best = np.zeros(len(right) + 1, np.int64)
+        for row in self._rows(left, right):
+            best[1:] = np.maximum(best[1:], best[:-1] + row)
+            np.maximum.accumulate(best, out=best)
+        return best
+
+    def align(self, a: int, b: int) -> list[tuple[int, int]]:
+        """Places of the children of two forms that are aligned. Long lists are halved
+        where the sizes of both halves are largest together, so that memory is linear."""
+        front, left, right = self._middle(a, b)
+        back = len(self.kids[a]) - front - len(left)
+        pairs = [(i, i) for i in range(front)]
+        stack = [(0, len(left), 0, len(right))]
+        while stack:
+            i0, i1, j0, j1 = stack.pop()
+            if i0 == i1 or j0 == j1:
+                continue
+            xs, ys = left[i0:i1], right[j0:j1]
+            if len(xs) > 1 and len(xs) * len(ys) > CELLS:
+                half = len(xs) // 2
+                both = self._scores(xs[:half], ys) + self._scores(xs[half:][::-1], ys[::-1])[::-1]
+                cut = int(both.argmax())
+                stack += [(i0 + half, i1, j0 + cut, j1), (i0, i0 + half, j0, j0 + cut)]
+                continue
+            table = [np.zeros(len(ys) + 1, np.int64)]
+            for row in self._rows(xs, ys):
+                here = table[-1].copy()
+                here[1:] = np.maximum(here[1:], table[-1][:-1] + row)
+                table.append(np.maximum.accumulate(here))
+            best, i, j = [row.tolist() for row in table], len(xs), len(ys)
+            while i and j:
+                if best[i][j] == best[i - 1][j]:
+                    i -= 1
+                elif best[i][j] == best[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    pairs.append((front + i0 + i, front + j0 + j))
+        return pairs + [(-k, -k) for k in range(back, 0, -1)]
+
+    def match(self, a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        here, there = self.form(a), self.form(b)
+        size = self.learn(here[id(a)], there[id(b)])
+        pairs, stack = [], [(a, b)] if size else []
+        while stack:
+            x, y = stack.pop()
+            pairs.append((x, y))
+            u, v = here[id(x)], there[id(y)]
+            if u == v:
+                stack += zip(x.kids, y.kids)
+            elif x.kids and y.kids:
+                self.learn_kids(u, v)
+                stack += [(x.kids[i], y.kids[j]) for i, j in self.align(u, v)]
+        return size, pairs
+
+    def learn_kids(self, a: int, b: int) -> None:
+        """Weights that ``align`` asks for."""
+        _, left, right = self._middle(a, b)
+        for x in set(left):
+            for y in set(right):
+                self.learn(x, y)
+
+
+def match(a: Node, b: Node, matcher: Matcher | None = None) -> tuple[int, list[tuple[Node, Node]]]:
     """The size of the largest alignment of two trees that keeps order and
     ancestors, and its pairs of nodes; trees whose roots differ have none."""
-    if a.tag != b.tag or a.skip != b.skip:
-        return 0, []
-    if not a.kids or not b.kids:
-        return 1, [(a, b)]
-    if len(a.kids) * len(b.kids) > CELLS:
-        return _match_ends(a, b)
-    found = [[match(x, y) for y in b.kids] for x in a.kids]
-    best = [[0] * (len(b.kids) + 1) for _ in range(len(a.kids) + 1)]
-    for i, row in enumerate(found):
-        above, here = best[i], best[i + 1]
-        for j, (weight, _) in enumerate(row):
-            here[j + 1] = max(above[j] + weight, here[j], above[j + 1])
-    pairs, i, j = [(a, b)], len(a.kids), len(b.kids)
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            pairs += found[i][j][1]
-    return best[-1][-1] + 1, pairs
-
-
-def _match_ends(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """Very long lists of children: aligned one by one from the front while the
-    elements agree, then from the back."""
-    pairs, size, front, n = [(a, b)], 1, 0, min(len(a.kids), len(b.kids))
-    while front < n and a.kids[front].tag == b.kids[front].tag:
-        front += 1
-    back = 0
-    while back < n - front and a.kids[-1 - back].tag == b.kids[-1 - back].tag:
-        back += 1
-    for i in [*range(front), *range(-back, 0)]:
-        weight, inner = match(a.kids[i], b.kids[i])
-        size += weight
-        pairs += inner
-    return size, pairs
+    return (matcher or Matcher()).match(a, b)
 
 
 # ---- wrappers --------------------------------------------------------------
@@ -238,9 +352,10 @@ def template_slots(trees: list[Node]) -> list[set[tuple[int, int]]]:
     reference = trees[ordered[len(ordered) // 2]]
     texts: dict[tuple[int, int], Counter] = {}
     slots: list[list[tuple[tuple[int, int], tuple[int, int], str]]] = []
+    matcher = Matcher()
     for i, tree in enumerate(trees):
         own = []
-        for r, node in match(reference, tree)[1]:
+        for r, node in match(reference, tree, matcher)[1]:
             for k, (text, _) in enumerate(node.blocks()):
                 own.append(((id(r), k), (id(node), k), text))
                 if i in counted:

@@ -89,3 +89,16 @@ def test_template_longer_than_the_article_goes():
     assert found == [f"Short text {i}.\nA linked paragraph {i}" for i in range(9)]
     near = [page(body.format(1), title=str(i)) for i in range(50)]
     assert extract_chunk([*near, *(page(body.format(i)) for i in range(2, 9))])[49] == "Short text 1.\nA linked paragraph 1"
+
+
+def test_long_lists_of_children_are_aligned_exactly(monkeypatch):
+    one = "<ul>" + "<li>" * 3 + "<p>" * 150 + "<li><p>" + "<h2>" * 120 + "<li>" * 9
+    two = "<ul>" + "<h2>" + "<li>" * 5 + "<p>" * 170 + "<h3><li><p>" + "<h2>" * 100 + "<p>" * 7
+    trees = Page(one.replace("<", "x<")).root, Page(two.replace("<", "x<")).root
+    whole = match(*trees)
+    monkeypatch.setattr(wrapper, "CELLS", 50)
+    halved = match(*trees)
+    assert halved[0] == whole[0] == len(halved[1]) == len(whole[1])
+    body = "<div>{0}" + "<p>Same text</p>" * 40 + "{1}" + "<h2>Other text</h2>" * 40 + "<p>News {2}</p></div>"
+    pages = [body.format("<h3>a</h3>" * (i % 2), "<h3>b</h3>" * (i % 3), i) for i in range(9)]
+    assert not any("Same text" in t or "Other text" in t for t in extract_chunk(pages))
