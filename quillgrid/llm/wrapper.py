@@ -47,6 +47,7 @@ BLOCK = set(
     " h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 CLOSES_P = BLOCK - set("body html caption tbody td tfoot th thead tr legend".split())
+NOT_P = BLOCK - {"p"}
 SIBLINGS = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "td": "tr table", "th": "tr table", "tr": "table", "option": "select"}
 NO_TEXT = set(
     "head script style noscript template iframe object svg math canvas audio video select option button textarea input nav aside footer form menu search dialog".split()
@@ -105,6 +106,7 @@ class Page(HTMLParser):
         self.root = Node("html", False)
         self.open: list[tuple[str, Node]] = [("html", self.root)]  # inline elements share their block's node
         self.links = 0
+        self.count: Counter = Counter()  # open elements by name: deep pages are not searched for what is not open
         self.feed(html)
         self.close()
         for _, node in self.open:
@@ -112,7 +114,7 @@ class Page(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag in CLOSES_P:
-            self._close("p", stop=BLOCK - {"p"})
+            self._close("p", stop=NOT_P)
         if tag in SIBLINGS:
             same = {"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th") else {tag}
             for other in same:
@@ -126,7 +128,7 @@ class Page(HTMLParser):
             return
         if tag == "html":
             return
-        in_article = any(t in ARTICLE for t, _ in self.open)
+        in_article = any(self.count[t] for t in ARTICLE)
         skip = top.skip or is_skipped(tag, attrs, in_article)
         if tag in BLOCK or skip != top.skip:
             if tag in BLOCK:
@@ -137,6 +139,7 @@ class Page(HTMLParser):
             self.open.append((tag, node))
         else:
             self.open.append((tag, top))
+        self.count[tag] += 1
         self.links += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs) -> None:
@@ -149,11 +152,14 @@ class Page(HTMLParser):
             self._close(tag, stop=set())
 
     def _close(self, tag: str, stop: set[str]) -> None:
+        if not self.count[tag]:
+            return
         for i in range(len(self.open) - 1, 0, -1):
             name = self.open[i][0]
             if name == tag:
                 for closed, node in self.open[i:]:
                     self.links -= closed == "a"
+                    self.count[closed] -= 1
                     node.flush()
                 del self.open[i:]
                 return

@@ -102,3 +102,8 @@ def test_long_lists_of_children_are_aligned_exactly(monkeypatch):
     body = "<div>{0}" + "<p>Same text</p>" * 40 + "{1}" + "<h2>Other text</h2>" * 40 + "<p>News {2}</p></div>"
     pages = [body.format("<h3>a</h3>" * (i % 2), "<h3>b</h3>" * (i % 3), i) for i in range(9)]
     assert not any("Same text" in t or "Other text" in t for t in extract_chunk(pages))
+
+
+def test_pages_nested_very_deep():
+    deep = "<div><p>Welcome to our site</p>" + "<div>" * 5000 + "<p>deep {0}" + "<blockquote>" * 5000 + "end {0}"
+    assert extract_chunk([page(deep.format(i)) for i in range(5)])[3].split("\n")[:2] == ["deep 3", "end 3"]
