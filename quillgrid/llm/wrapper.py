@@ -396,7 +396,7 @@ def _blocks(tree: Node) -> list[tuple[str, float, Node, int, bool]]:
 
 
 def main_text(tree: Node, template: set[tuple[int, int]]) -> str:
-    """The text blocks of a page that are content, one per line. Where no article is
+    """The text blocks of a page that are content, with an empty line between them. Where no article is
     marked, text that is mostly links is content in paragraphs and headings only."""
     blocks = _blocks(tree)
     marked = _has_article(tree)
@@ -407,8 +407,8 @@ def main_text(tree: Node, template: set[tuple[int, int]]) -> str:
     ]
     # A page on which nothing varies has no slot to tell content by: then all of it is content.
     if all(constant for _, constant in found):
-        return "\n".join(t for t, _ in found)
-    return "\n".join(t for t, constant in found if not constant)
+        return BETWEEN.join(t for t, _ in found)
+    return BETWEEN.join(t for t, constant in found if not constant)
 
 
 def _has_article(tree: Node) -> bool:
@@ -435,7 +435,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", text
     (``html_col`` goes, a column of the new name is replaced).
 
     Character references are decoded, white space in a block is one space, blocks
-    are joined by a line end. NULL and empty pages have an empty text. Pages
+    are joined by two line ends. NULL and empty pages have an empty text. Pages
     without an address count as one host. Rows that repeat are read alike. An
     empty table gives an empty one.
     """

@@ -20,14 +20,14 @@ def texts(spark, htmls, url="https://Host.example/{}"):
 def test_article_blocks_references_and_white_space(spark):
     html = page("<article><h1>A &amp; B</h1><p><b>one\n two<br>three<p>x&nbsp;&lt;y&gt;<ul><li>l1<li>l2</ul><form>f</form>"
                 "<div id='comments'><p>c</p></div></article><aside>s</aside>")
-    assert texts(spark, [html, None, ""]) == {0: "A & B\none two three\nx <y>\nl1\nl2", 1: "", 2: ""}
+    assert texts(spark, [html, None, ""]) == {0: "A & B\n\none two three\n\nx <y>\n\nl1\n\nl2", 1: "", 2: ""}
 
 
 def test_constant_slots_go_and_varying_slots_stay(spark):
     body = "<div><p>Welcome to our site</p><div><h1>Title {0}</h1><p>Text {0} of some length, again and again.</p></div><p>Share this!</p></div>"
     htmls = [page(body.format(i)) for i in range(9)]
     found = texts(spark, htmls)
-    assert found == {i: f"Title {i}\nText {i} of some length, again and again." for i in range(9)}
+    assert found == {i: f"Title {i}\n\nText {i} of some length, again and again." for i in range(9)}
 
 
 def test_copies_of_one_page_keep_their_text(spark):
@@ -54,8 +54,8 @@ def test_very_long_and_broken_pages():
     deep = "<div>" * 300 + "deep" + "</div>" * 300
     broken = "<article><p>a<b>b</p>c<table><tr><td>d<td>e<!-- x --></table> <![CDATA[ <p"
     found = extract_chunk([page(f"<article>{many}</article>"), page(deep), broken, "plain &amp; simple"])
-    assert found[0].split("\n") == [f"p{i}" for i in range(3000)] and found[1] == "deep"
-    assert found[2].split("\n")[:2] == ["ab", "c"] and found[3] == "plain & simple"
+    assert found[0].split("\n\n") == [f"p{i}" for i in range(3000)] and found[1] == "deep"
+    assert found[2].split("\n\n")[:2] == ["ab", "c"] and found[3] == "plain & simple"
 
 
 @pytest.mark.parametrize("a, b, size", [
@@ -69,7 +69,7 @@ def test_simple_tree_matching(a, b, size):
 def test_many_copies_of_a_page_are_stripped_alike(spark, monkeypatch):
     monkeypatch.setattr(wrapper, "CHUNK", 20)
     body = "<div><p>Welcome to our site</p><div><h1>Title {0}</h1><p>Text {0} of some length, again and again.</p></div><p>Share this!</p></div>"
-    want = "Title {0}\nText {0} of some length, again and again."
+    want = "Title {0}\n\nText {0} of some length, again and again."
     numbers = [*range(9), *[3] * 70, *[5] * 8]
     found = texts(spark, [page(body.format(i)) for i in numbers])
     assert found == {k: want.format(i) for k, i in enumerate(numbers)}
@@ -80,15 +80,15 @@ def test_the_last_pages_of_a_host_have_a_wrapper(spark, monkeypatch):
     body = "<div><p>Welcome to our site</p><div><h1>Title {0}</h1><p>Text {0} of some length, again and again.</p></div><p>Share this!</p></div>"
     for n in (21, 22, 43):
         found = texts(spark, [page(body.format(i)) for i in range(n)])
-        assert found == {i: f"Title {i}\nText {i} of some length, again and again." for i in range(n)}
+        assert found == {i: f"Title {i}\n\nText {i} of some length, again and again." for i in range(n)}
 
 
 def test_template_longer_than_the_article_goes():
     body = "<div><p>" + "Welcome to our site. " * 20 + "</p><div><p>Short text {0}.</p><p><a href=/>A linked paragraph {0}</a></p></div><p>Share this!</p></div>"
     found = extract_chunk([page(body.format(i)) for i in range(9)])
-    assert found == [f"Short text {i}.\nA linked paragraph {i}" for i in range(9)]
+    assert found == [f"Short text {i}.\n\nA linked paragraph {i}" for i in range(9)]
     near = [page(body.format(1), title=str(i)) for i in range(50)]
-    assert extract_chunk([*near, *(page(body.format(i)) for i in range(2, 9))])[49] == "Short text 1.\nA linked paragraph 1"
+    assert extract_chunk([*near, *(page(body.format(i)) for i in range(2, 9))])[49] == "Short text 1.\n\nA linked paragraph 1"
 
 
 def test_long_lists_of_children_are_aligned_exactly(monkeypatch):
@@ -106,4 +106,4 @@ def test_long_lists_of_children_are_aligned_exactly(monkeypatch):
 
 def test_pages_nested_very_deep():
     deep = "<div><p>Welcome to our site</p>" + "<div>" * 5000 + "<p>deep {0}" + "<blockquote>" * 5000 + "end {0}"
-    assert extract_chunk([page(deep.format(i)) for i in range(5)])[3].split("\n")[:2] == ["deep 3", "end 3"]
+    assert extract_chunk([page(deep.format(i)) for i in range(5)])[3].split("\n\n")[:2] == ["deep 3", "end 3"]
