@@ -37,6 +37,8 @@ CONSTANT, LEAST_PAGES = 0.8, 4
 """Share of aligned pages, and their number, from which a text at a node is template."""
 CELLS = 40_000
 """Pairs of children up to which two lists are aligned in one table; longer ones are halved first."""
+BETWEEN = "\n\n"
+"""What stands between two blocks of text."""
 KNOWN = 1_000_000
 """Pairs of forms that are remembered from page to page."""
 
@@ -58,6 +60,11 @@ NO_CONTENT = set(
     " navigation menu breadcrumb breadcrumbs sidebar aside widget footer masthead header comment comments disqus reply replies share sharing"
     " social related recommended newsletter subscribe signup login search pagination pager toolbar complementary contentinfo".split()
 )
+# Words that such a name may hold beside them and still mark the same, fixed words.
+STRUCTURE = set(
+    "area articles bar bars block box button buttons container form group icons inner item items label left link links list outer panel posts"
+    " right section slot stories text title top bottom unit wrap wrapper".split()
+)
 PARTS = re.compile(r"[a-z]+")
 ARTICLE = {"article", "main"}
 PROSE = set("p blockquote pre h1 h2 h3 h4 h5 h6".split())
@@ -92,10 +99,11 @@ def is_skipped(tag: str, attrs: list[tuple[str, str | None]], in_article: bool)
         return True
     if tag in ("html", "body") or tag in ARTICLE and not in_article:
         return any(k == "hidden" for k, _ in attrs)
-    names = {w for k, v in attrs if k in ("class", "id", "role") and v for w in PARTS.findall(v.lower())}
+    told = [PARTS.findall(w) for k, v in attrs if k in ("class", "id", "role") and v for w in v.lower().split()]
     if in_article:
-        names -= {"header"}
-    return bool(names & NO_CONTENT) or any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
+        # A name counts as a whole here: social-history and related-work may well be prose.
+        told = [parts for parts in told if parts != ["header"] and all(w in NO_CONTENT or w in STRUCTURE for w in parts)]
+    return any(w in NO_CONTENT for parts in told for w in parts) or any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
 
 
 class Page(HTMLParser):

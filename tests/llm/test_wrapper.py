@@ -107,3 +107,10 @@ def test_long_lists_of_children_are_aligned_exactly(monkeypatch):
 def test_pages_nested_very_deep():
     deep = "<div><p>Welcome to our site</p>" + "<div>" * 5000 + "<p>deep {0}" + "<blockquote>" * 5000 + "end {0}"
     assert extract_chunk([page(deep.format(i)) for i in range(5)])[3].split("\n\n")[:2] == ["deep 3", "end 3"]
+
+
+def test_names_count_as_a_whole_inside_an_article(spark):
+    prose = "".join(f'<p class="{c}">about {c}</p>' for c in ("social-history", "related-work", "alert-note"))
+    gone = "".join(f'<div class="{c}">no {c}</div>' for c in ("ad", "share-buttons", "comment-list", "related posts", "Cookie-Notice"))
+    found = texts(spark, [page(f"<article><p>first</p>{prose}{gone}</article><div class=related-links>x</div>")])
+    assert found == {0: "first\n\nabout social-history\n\nabout related-work\n\nabout alert-note"}
