@@ -14,6 +14,7 @@ from quillgrid.llm.exact_dedup import exact_groups
 from quillgrid.llm.jaccard import near_classes
 from quillgrid.llm.sharding import shard
 from quillgrid.llm.suffix_dedup import repeated_spans
+from quillgrid.llm.whitening import fit, whiten
 from quillgrid.llm.wrapper import extract
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,3 +172,9 @@ def toxicity_scores(spark, sf_dir):
 def html_extraction(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract(pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query("op11_whitening")
+def embedding_whitening(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whiten(vectors, fit(vectors))
