@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.llm import bpe, language, toxicity, warc
+from quillgrid.llm import bpe, conversations, language, toxicity, warc
 from quillgrid.llm.common import shared_path, table
 from quillgrid.llm.decontaminate import find_passages
 from quillgrid.llm.exact_dedup import exact_groups
@@ -178,3 +178,23 @@ def html_extraction(spark, sf_dir):
 def embedding_whitening(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return whiten(vectors, fit(vectors))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Turns of ``conversations`` with the faults that the check of their repair wants;
+    NULL is one blank."""
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    place = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    case = F.pmod(F.crc32(place.cast("binary")), F.lit(20))
+    copies = F.when(case == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.where(case != 0).select(
+        "conv_id", "turn", F.when(case == 4, "user").otherwise(role).alias("role"),
+        F.when(case == 1, "").when(case == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+@query("op12_conversation_repair")
+def conversation_repair(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.report(damaged(given), given)
