@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.llm import bpe, conversations, language, toxicity, warc
-from quillgrid.llm.common import shared_path, table
+from quillgrid.llm import bpe, conversations, language, quality, toxicity, warc
+from quillgrid.llm.common import checkpointed, shared_path, table
 from quillgrid.llm.decontaminate import find_passages
 from quillgrid.llm.exact_dedup import exact_groups
 from quillgrid.llm.jaccard import near_classes
@@ -198,3 +198,14 @@ def damaged(rows: DataFrame) -> DataFrame:
 def conversation_repair(spark, sf_dir):
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return conversations.report(damaged(given), given)
+
+
+@query("op13_quality_rules")
+def quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    measured = checkpointed(quality.measure(docs))
+    judged = quality.judge(measured, quality.calibrate(measured, table(spark, sf_dir, "labels")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.array_join("rejected_by", ",").alias("rejected_by"),
+    )
