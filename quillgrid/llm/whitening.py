@@ -220,7 +220,7 @@ def largest_roots(poly: list[int], wanted: int) -> list[tuple[int, int, int]]:
     often each is repeated, until ``wanted`` are told. All roots are real and none negative."""
     while not poly[0]:
         poly = poly[1:]
-    top = max(abs(a) for a in poly).bit_length() + 1  # no root is beyond the sum of all coefficients
+    top = (-poly[-2]).bit_length()  # no root is beyond the sum of all roots
     open_, found = [(0, 1, -top, len(poly) - 1, 0)], []  # roots in (low, low + 1] / 2**k, counts above both ends
     while open_ and sum(times for *_, times in found) < wanted:
         low, high, k, above_low, above_high = open_.pop()
