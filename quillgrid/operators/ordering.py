@@ -3,13 +3,13 @@
 Rows of a group (a file, a conversation) are cut into *blocks*: stretches of
 the order column that hold a bounded number of rows. Work inside a block is
 done per ``(group, block)``; what crosses block borders is carried by a table
-with one row per block, which is small. A group that holds a third of all rows
-is then many blocks spread over the cluster.
+with one row for each block that does not begin its group, which is small, and
+empty where all groups are.
 
 Frames read by ``quillgrid.sources`` bring their own ``block`` column (the
-start of the file split). Other frames are cut into equal stretches of their
-integer order column, as many as there are rows for, however far apart the orders
-lie.
+start of the file split). Other frames are cut at quantiles of their integer
+order column, which Spark's sketch finds, so that blocks are bounded by rows
+however the orders lie.
 """
 
 from __future__ import annotations
@@ -20,53 +20,80 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1_000_000
-"""Rows of a block, where the orders of a group are spread evenly."""
+"""Rows of a block, as far as ``QUANTILES`` can tell them apart."""
+
+QUANTILES, ACCURACY = 2048, 20_000
+"""A block is never cut finer than a ``QUANTILES``th of the table; ranks are off by an ``ACCURACY``th of it at most."""
 
 LIMIT_PARTS = 32
 """Parts of a group that are cut to the limit before they meet."""
 
-_BLOCK, _SEEN = "_block", "_seen"
+LIMIT_AT_ONCE = 1_000
+"""Limits up to which Spark's own group limit cuts each task before the shuffle."""
+
+_BLOCK, _BOUNDS, _SEEN = "_block", "_bounds", "_seen"
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _below(bounds: Column, value: Column) -> Column:
+    """How many of the rising ``bounds`` are below ``value``, by halving."""
+    halvings = F.sequence(F.lit(1), F.ceil(F.log2(F.size(bounds) + F.lit(1))).cast("int"))
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        right = F.get(bounds, middle) < value
+        return F.when(span["low"] >= span["high"], span).otherwise(
+            F.struct(F.when(right, middle + 1).otherwise(span["low"]).alias("low"),
+                     F.when(right, span["high"]).otherwise(middle).alias("high"))
+        )
+
+    span = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+    return F.when(F.size(bounds) == 0, 0).otherwise(F.aggregate(halvings, span, halve)["low"])
+
+
 def _with_block(df: DataFrame, order: list[str], block: str | None, rows: int) -> DataFrame:
-    """Add the block. Without a ready one, the orders of the whole table, from
-    the first to the last, are cut into ``count / rows`` stretches, so that no
-    group has more blocks than that, however far apart its orders lie. The three
-    numbers come from a scalar subquery."""
+    """Add the block. Without a ready one, the orders of the whole table are cut at
+    quantiles, ``rows`` rows apart. These come from a scalar subquery."""
     if block is not None:
         return df.withColumn(_BLOCK, F.col(block))
-    at = F.col(order[0])
-    told = F.struct(
-        F.min(at).alias("low"), F.max(at).alias("high"), F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias("cuts")
-    )
-    spread = df.agg(told.alias("spread")).scalar()
-    # Doubles keep the stretches apart without overflow; they rise with the order.
-    reach = spread["high"].cast("double") - spread["low"] + 1
-    cut = F.floor((at.cast("double") - spread["low"]) * spread["cuts"] / reach)
-    return df.withColumn(_BLOCK, cut)
-
-
-def _join_blocks(df: DataFrame, blocks: DataFrame, group: list[str], few: bool = False) -> DataFrame:
-    """Bring the values of the block table back to the rows, on a key that no
-    single group can make hot. ``few`` says that the caller has bounded the
-    number of blocks, so that the rows need not move."""
-    blocks = F.broadcast(blocks) if few else blocks
-    return df.join(blocks.withColumn(_SEEN, F.lit(True)), [*group, _BLOCK], "left")
+    at = F.col(order[0]).cast("bigint")
+    # One text, since a plan with thousands of numbers is slow to analyse.
+    ranks = F.split(F.lit(" ".join(str(i / QUANTILES) for i in range(1, QUANTILES))), " ").cast("array<double>")
+    told = df.agg(F.percentile_approx(at, ranks, ACCURACY).alias("quantiles"), F.count(at).alias("n"))
+    stride = F.greatest(F.lit(1), F.floor(F.lit(rows) * QUANTILES / F.col("n")))
+    taken = F.array_distinct(F.filter("quantiles", lambda q, i: (i + 1) % stride == 0))
+    none = F.array().cast("array<bigint>")
+    bounds = told.select(F.when(F.col("n") > rows, taken).otherwise(none).alias("bounds")).scalar()
+    # A column first, since higher-order functions take no subquery.
+    return df.withColumn(_BOUNDS, bounds).withColumn(_BLOCK, _below(F.col(_BOUNDS), at).cast("bigint")).drop(_BOUNDS)
 
 
-def _checked(value: Column) -> Column:
-    """A row that found no block has a NULL group or order. It must not vanish."""
-    return F.when(F.col(_SEEN).isNull(), F.raise_error(F.lit("NULL in a group or order column"))).otherwise(value)
+def _inside(group: list[str], *order: str) -> Window:
+    window = Window.partitionBy(*group, _BLOCK)
+    return window.orderBy(*order) if order else window
 
 
 def _before(group: list[str]) -> Window:
     return Window.partitionBy(*group).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _carry(rows: DataFrame, carried: DataFrame, group: list[str]) -> DataFrame:
+    """Bring what blocks carry over to their rows, on a key that no single group can
+    make hot. Blocks that carry nothing are not in ``carried``."""
+    return rows.join(carried, [*group, _BLOCK], "left")
+
+
+def _present(value: Column, keys: Sequence[str]) -> Column:
+    """A row with a NULL group or order has no place. It must not vanish."""
+    missing = F.lit(False)
+    for key in keys:
+        missing |= F.col(key).isNull()
+    return F.when(missing, F.raise_error(F.lit("NULL in a group or order column"))).otherwise(value)
+
+
 def number_rows(
     df: DataFrame,
     group: str | Sequence[str],
@@ -83,35 +110,61 @@ def number_rows(
     group, order = _names(group), _names(order)
     cut = _with_block(df, order, block, rows)
     counts = cut.groupBy(*group, _BLOCK).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(*group, _BLOCK, F.coalesce(F.sum("_n").over(_before(group)), F.lit(0)).alias("_offset"))
-    within = F.row_number().over(Window.partitionBy(*group, _BLOCK).orderBy(*order))
-    numbered = _join_blocks(cut.withColumn("_within", within), offsets, group)
-    rn = _checked(F.col("_offset") + F.col("_within")).cast("bigint")
+    offsets = counts.select(*group, _BLOCK, F.sum("_n").over(_before(group)).alias("_offset")).where("_offset > 0")
+    within = F.row_number().over(_inside(group, *order))
+    numbered = _carry(cut.withColumn("_within", within), offsets, group)
+    rn = _present(F.coalesce("_offset", F.lit(0)) + F.col("_within"), [*group, order[0]]).cast("bigint")
     return numbered.select(*df.columns, rn.alias(name))
 
 
-def number_splits(scan: DataFrame, file: str, block: str, pos: str, few_blocks: bool, name: str = "rn") -> DataFrame:
-    """Number the rows of a file scan from 1 per file, without moving a row.
+def split_summary(scan: DataFrame, file: str, block: str, pos: str, marked: Column | None = None) -> DataFrame:
+    """One row per split of a file scan: how many rows come before it in its file.
 
-    ``pos`` rises by one from row to row inside a split. The first pass counts
-    the rows of each split and the second adds the offset, so the text itself is
-    never shuffled or sorted. ``few_blocks`` says the caller has bounded the
-    number of splits, so that the offsets may be broadcast; otherwise they are
-    joined by a shuffle on ``(file, split)``.
+    Returns ``(file, _block, _n, _first, _offset, total, marked, start)``: rows of the
+    split and the position of its first one, rows of the splits before, and of the
+    whole file its rows, those that are ``marked``, and the number of the first of
+    these. One pass over the scan serves numbering, starts and verdicts; the summary
+    of a split is the same wherever it is made, and splits are put together by sums.
     """
+    mark = F.lit(False) if marked is None else F.coalesce(marked, F.lit(False))
     counts = scan.groupBy(file, F.col(block).alias(_BLOCK)).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_first")
+        F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_first"), F.count_if(mark).alias("_marked"),
+        F.min(F.when(mark, F.col(pos))).alias("_hit"),
     )
-    offsets = counts.select(
-        file, _BLOCK, "_n", "_first", F.coalesce(F.sum("_n").over(_before([file])), F.lit(0)).alias("_offset")
+    offset = F.coalesce(F.sum("_n").over(_before([file])), F.lit(0))
+    whole = Window.partitionBy(file)
+    placed = counts.withColumn("_offset", offset)
+    return placed.select(
+        file, _BLOCK, "_n", "_first", "_offset", F.sum("_n").over(whole).alias("total"), F.sum("_marked").over(whole).alias("marked"),
+        F.min(F.col("_offset") + F.col("_hit") - F.col("_first") + 1).over(whole).alias("start"),
     )
-    joined = _join_blocks(scan.withColumn(_BLOCK, F.col(block)), offsets, [file], few_blocks)
+
+
+def place_rows(
+    scan: DataFrame, summary: DataFrame, file: str, block: str, pos: str, few_blocks: bool, name: str = "rn"
+) -> DataFrame:
+    """Number the rows of a file scan from 1 per file by its ``split_summary``, without
+    moving a row, and add ``start``. ``few_blocks`` says the caller has bounded the
+    number of splits, so that the summary may be broadcast; otherwise it is joined by
+    a shuffle on ``(file, split)``."""
+    told = summary.select(file, _BLOCK, "_n", "_first", "_offset", "start", F.lit(True).alias(_SEEN))
+    joined = scan.withColumn(_BLOCK, F.col(block)).join(F.broadcast(told) if few_blocks else told, [file, _BLOCK], "left")
     within = F.col(pos) - F.col("_first")
     same_splits = F.col(_SEEN).isNotNull() & within.between(F.lit(0), F.col("_n") - 1)
     rn = F.when(same_splits, F.col("_offset") + within + 1).otherwise(
         F.raise_error(F.lit("the source was split differently between two passes"))
     )
-    return joined.select(*scan.columns, rn.cast("bigint").alias(name))
+    return joined.select(*scan.columns, rn.cast("bigint").alias(name), "start")
+
+
+def number_splits(scan: DataFrame, file: str, block: str, pos: str, few_blocks: bool, name: str = "rn") -> DataFrame:
+    """Number the rows of a file scan from 1 per file, without moving a row.
+
+    ``pos`` rises by one from row to row inside a split. The first pass counts
+    the rows of each split and the second adds the offset, so the text itself is
+    never shuffled or sorted.
+    """
+    return place_rows(scan, split_summary(scan, file, block, pos), file, block, pos, few_blocks, name).drop("start")
 
 
 def first_rows(df: DataFrame, group: str | Sequence[str], order: str) -> DataFrame:
@@ -144,13 +197,39 @@ def started(
     name: str = "started",
     few_blocks: bool = False,
 ) -> DataFrame:
-    """Add a flag that is false until ``predicate`` first holds in the group."""
+    """Add a flag that is false until ``predicate`` first holds in the group.
+
+    ``few_blocks`` says that the caller has bounded the number of blocks, so that a
+    table of them may be broadcast and the rows need not move."""
     group = _names(group)
     cut = _with_block(df, [order], block, rows)
-    hits = cut.groupBy(*group, _BLOCK).agg(F.min(F.when(predicate, F.col(order))).alias("_hit"))
-    starts = hits.select(*group, _BLOCK, F.min("_hit").over(Window.partitionBy(*group)).alias("_start"))
-    flag = _checked(F.coalesce(F.col(order) >= F.col("_start"), F.lit(False)))
-    return _join_blocks(cut, starts, group, few_blocks).select(*df.columns, flag.alias(name))
+    hit = F.min(F.when(predicate, F.col(order)))
+    hits = cut.groupBy(*group, _BLOCK).agg(hit.alias("_hit"))
+    if few_blocks:
+        starts = hits.select(*group, _BLOCK, F.min("_hit").over(Window.partitionBy(*group)).alias("_start"))
+        placed, begun = cut.join(F.broadcast(starts), [*group, _BLOCK], "left"), F.col(order) >= F.col("_start")
+    else:
+        earlier = hits.select(*group, _BLOCK, F.min("_hit").over(_before(group)).alias("_start")).where("_start IS NOT NULL")
+        placed = _carry(cut.withColumn("_hit", hit.over(_inside(group))), earlier, group)
+        begun = F.col("_start").isNotNull() | (F.col(order) >= F.col("_hit"))
+    flag = _present(F.coalesce(begun, F.lit(False)), [*group, order])
+    return placed.select(*df.columns, flag.alias(name))
+
+
+def group_summary(
+    df: DataFrame, predicate: Column, group: str | Sequence[str], order: str, block: str | None = None, rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``(group, total, marked, start)``: rows of each group, those that fulfil
+    ``predicate``, and the order of the first of these. It is put together from
+    summaries of blocks, as ``split_summary`` is."""
+    group = _names(group)
+    mark = F.coalesce(predicate, F.lit(False))
+    blocks = _with_block(df, [order], block, rows).groupBy(*group, _BLOCK).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(mark).alias("_marked"), F.min(F.when(mark, F.col(order))).alias("_hit")
+    )
+    return blocks.groupBy(*group).agg(
+        F.sum("_n").alias("total"), F.sum("_marked").alias("marked"), F.min("_hit").alias("start")
+    )
 
 
 def keep_from_first(
@@ -183,13 +262,13 @@ def previous_value(
     group = _names(group)
     cut = _with_block(df, [order], block, rows)
     # Wrapped in a struct, so that a NULL value is not mistaken for no row.
-    tails = cut.groupBy(*group, _BLOCK).agg(F.max_by(F.struct(F.col(column).alias("v")), order).alias("_tail"))
+    held = F.struct(F.col(column).alias("v"))
+    tails = cut.groupBy(*group, _BLOCK).agg(F.max_by(held, order).alias("_tail"))
     by_block = Window.partitionBy(*group).orderBy(_BLOCK)
-    tails = tails.select(*group, _BLOCK, F.lag("_tail").over(by_block).alias("_tail"))
-    inside = Window.partitionBy(*group, _BLOCK).orderBy(order)
-    local = F.lag(F.struct(F.col(column).alias("v"))).over(inside)
-    joined = _join_blocks(cut.withColumn("_local", local), tails, group)
-    value = _checked(F.coalesce(F.col("_local"), F.col("_tail"))["v"])
+    tails = tails.select(*group, _BLOCK, F.lag("_tail").over(by_block).alias("_tail")).where("_tail IS NOT NULL")
+    local = F.lag(held).over(_inside(group, order))
+    joined = _carry(cut.withColumn("_local", local), tails, group)
+    value = _present(F.coalesce(F.col("_local"), F.col("_tail"))["v"], [*group, order])
     return joined.select(*df.columns, value.alias(name))
 
 
@@ -199,15 +278,17 @@ def first_n(
     """The first ``n`` rows of each group, by any column that can be sorted. A
     NULL group is a group like any other.
 
-    Each group is first cut to ``n`` rows in each of ``parts`` parts, so that no
-    task ranks more than ``parts * n`` rows of a hot group.
+    Up to ``LIMIT_AT_ONCE`` each task cuts its rows of a group to ``n`` before they are
+    shuffled. Beyond, each group is first cut to ``n`` rows in each of ``parts`` parts,
+    so that no task ranks more than ``parts * n`` rows of a hot group.
     """
     names = _names(group)
-    part = F.pmod(F.xxhash64(order), F.lit(parts))
-    inside = F.row_number().over(Window.partitionBy(*names, "_part").orderBy(order))
     rank = F.row_number().over(Window.partitionBy(*names).orderBy(order))
-    few = df.withColumn("_part", part).withColumn("_rank", inside).where(F.col("_rank") <= n)
-    return few.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_part", "_rank")
+    if n > LIMIT_AT_ONCE:
+        part = F.pmod(F.xxhash64(order), F.lit(parts))
+        inside = F.row_number().over(Window.partitionBy(*names, "_part").orderBy(order))
+        df = df.withColumn("_part", part).withColumn("_rank", inside).where(F.col("_rank") <= n).drop("_part")
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
 def first_value(
@@ -223,10 +304,13 @@ def first_value(
     ``_is_first`` for that row itself."""
     group = _names(group)
     cut = _with_block(df, [order], block, rows)
-    first = F.struct(F.col(order).alias("at"), F.col(column).alias("v"))
+    first = F.struct(F.col(column).alias("v"))
     heads = cut.groupBy(*group, _BLOCK).agg(F.min_by(first, order).alias("_head"))
-    whole = Window.partitionBy(*group).orderBy(_BLOCK)
-    heads = heads.select(*group, _BLOCK, F.first("_head").over(whole).alias("_head"))
-    joined = _join_blocks(cut, heads, group)
-    is_first = _checked(F.col(order) == F.col("_head")["at"])
-    return joined.select(*df.columns, F.col("_head")["v"].alias(name), is_first.alias("_is_first"))
+    earlier = heads.select(*group, _BLOCK, F.first("_head").over(_before(group)).alias("_head")).where("_head IS NOT NULL")
+    inside = _inside(group, order)
+    local = cut.withColumns({"_local": F.first(first).over(inside), "_within": F.row_number().over(inside)})
+    joined = _carry(local, earlier, group)
+    is_first = _present(F.col("_head").isNull() & (F.col("_within") == 1), [*group, order])
+    return joined.select(
+        *df.columns, F.coalesce(F.col("_head"), F.col("_local"))["v"].alias(name), is_first.alias("_is_first")
+    )

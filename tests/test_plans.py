@@ -65,9 +65,15 @@ def test_conversions_move_no_rows(spark, tmp_path, registry):
 def test_small_limits_are_cut_before_the_shuffle(spark):
     text = plan(queries.QUERIES["limit_per_file"](spark, SF))
     steps = ["Exchange" if "Exchange" in line else "limit" for line in text if re.search("Exchange|GroupLimit", line)]
-    # From the result down to the scan: each shuffle is followed and preceded by a cut.
-    assert steps[-1] == "limit" and steps.count("Exchange") == 2
-    assert all(a != b or a == "limit" for a, b in zip(steps, steps[1:]))
+    # From the result down to the scan: the one shuffle is followed and preceded by a cut.
+    assert steps == ["limit", "Exchange", "limit"]
+
+
+def test_numbering_takes_four_shuffles(spark):
+    """Rows by block, counts by block, counts by group, offsets by block; the sketch sends one row a task."""
+    for name in ("number_rows", "carry_prev", "skip_until", "promote_header"):
+        shuffles = [x for x in row_exchanges(queries.QUERIES[name](spark, SF)) if "SinglePartition" not in x]
+        assert len(shuffles) <= 4, name
 
 
 def test_no_group_is_sent_to_one_task(spark):
