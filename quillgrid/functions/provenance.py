@@ -119,6 +119,13 @@ def output_name(name: Column | str, sheet_no: Column | str | None = None, extens
     return F.when(name.endswith(".xlsx"), F.concat(stem, suffix, F.lit(extension))).otherwise(plain)
 
 
+def volume_name(name: Column | str) -> Column:
+    """The name under which a file is looked up in ``NAME_RULES``: an exported workbook
+    goes by the name of its output."""
+    name = _col(name)
+    return F.when(name.endswith(".xls"), output_name(name)).otherwise(name)
+
+
 def is_stub(name: Column | str) -> Column:
     """True for the name of a file that was never delivered."""
     return F.rlike(_col(name), F.lit(STUB_PATTERN))

@@ -25,6 +25,9 @@ BLOCK_ROWS = 1_000_000
 QUANTILES, ACCURACY = 2048, 20_000
 """A block is never cut finer than a ``QUANTILES``th of the table; ranks are off by an ``ACCURACY``th of it at most."""
 
+SPLITTERS = 1023
+"""Groups that ranges of groups begin at."""
+
 LIMIT_PARTS = 32
 """Parts of a group that are cut to the limit before they meet."""
 
@@ -117,6 +120,34 @@ def number_rows(
     return numbered.select(*df.columns, rn.alias(name))
 
 
+def number_all(df: DataFrame, group: str | Sequence[str], order: str, name: str, rows: int = BLOCK_ROWS) -> DataFrame:
+    """Number all rows from 1, by group and then by ``order``, which must be an integer
+    and unique inside the group.
+
+    Blocks of groups are counted, and the counts added up in ``SPLITTERS + 1`` ranges of
+    groups: inside each range by a window, across the ranges from a table with one row
+    for each. The ranges begin at the groups with the smallest hashes, a sample of fixed
+    size that does not depend on how rows are dealt out.
+    """
+    group = _names(group)
+    cut = _with_block(df, [order], None, rows)
+    counts = cut.groupBy(*group, _BLOCK).agg(F.count(F.lit(1)).alias("_n"))
+    key = F.struct(*group)
+    sample = df.select(key.alias("k")).distinct().orderBy(F.xxhash64("k"), "k").limit(SPLITTERS)
+    bounds = sample.agg(F.array_sort(F.collect_list("k")).alias("bounds")).scalar()
+    ranged = counts.withColumn(_BOUNDS, bounds).withColumn("_range", _below(F.col(_BOUNDS), key)).drop(_BOUNDS)
+    inside = Window.partitionBy("_range").orderBy(*group, _BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # over one row for each range
+    totals = ranged.groupBy("_range").agg(F.sum("_n").alias("_total")).select("_range", F.sum("_total").over(across).alias("_base"))
+    offsets = ranged.withColumn("_before", F.sum("_n").over(inside)).join(F.broadcast(totals), "_range").select(
+        *group, _BLOCK, (F.coalesce("_before", F.lit(0)) + F.coalesce("_base", F.lit(0))).alias("_offset")
+    )
+    within = F.row_number().over(_inside(group, order))
+    placed = _carry(cut.withColumn("_within", within), offsets, group)
+    position = _present(F.col("_offset") + F.col("_within"), [*group, order]).cast("bigint")
+    return placed.select(*df.columns, position.alias(name))
+
+
 def split_summary(scan: DataFrame, file: str, block: str, pos: str, marked: Column | None = None) -> DataFrame:
     """One row per split of a file scan: how many rows come before it in its file.
 

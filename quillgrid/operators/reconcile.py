@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgrid.functions.provenance import file_name, is_stub, output_name, parse_file_name
+from quillgrid.functions.provenance import file_name, is_stub, output_name, parse_file_name, volume_name
 
 # The verdicts on a count, and the layouts that are fixed
 # delimited files with their fields, declared records and charset.
@@ -26,7 +26,7 @@ def count_records(df: DataFrame, key: str = "file", counted: Column | None = Non
 
 def manifest_from_names(files: DataFrame) -> DataFrame:
     """``(file, declared_n)`` as the file names promise it."""
-    told = parse_file_name(file_name("file"))
+    told = parse_file_name(volume_name(file_name("file")))
     return files.select("file", told["expected_n"].alias("declared_n"))
 
 
@@ -81,7 +81,7 @@ def route(name: Column | str, record_type: Column | str) -> Column:
 
 
 def route_files(files: DataFrame, name: str = "file_name", record_type: str = "record_type") -> DataFrame:
-    """Add ``route``; with ``unsupported`` files the caller should stop."""
+    """Add ``route``; ``convert_listing`` stops at ``unsupported`` files."""
     return files.withColumn("route", route(name, record_type))
 
 

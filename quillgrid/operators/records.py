@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quillgrid.functions.clean import FALSY, drop_empty_value, drop_falsy
 from quillgrid.functions.dates import date_text, leading_int
-from quillgrid.functions.provenance import file_name, parse_file_name
+from quillgrid.functions.provenance import file_name, parse_file_name, volume_name
 from quillgrid.operators import ordering
 
 POSITION = ("file", "block", "rn")
@@ -115,7 +115,7 @@ def fold_dates(df: DataFrame, triples: Sequence[tuple[str, str, str, str]], keep
 def with_provenance(df: DataFrame, file: str = "file") -> DataFrame:
     """Add ``source`` and what its name says: ``series, volume, expected_n``."""
     name = file_name(file)
-    told = parse_file_name(name)
+    told = parse_file_name(volume_name(name))
     return df.withColumns(
         {"source": name, "series": told["series"], "volume": told["volume"], "expected_n": told["expected_n"]}
     )
@@ -124,3 +124,13 @@ def with_provenance(df: DataFrame, file: str = "file") -> DataFrame:
 def order_by_document(df: DataFrame, group: str | Sequence[str] = "file", order: str = "rn") -> DataFrame:
     """Global document order, by a range-partitioned sort."""
     return df.orderBy(*([group] if isinstance(group, str) else group), order)
+
+
+def document_position(df: DataFrame, group: str | Sequence[str] = "file", order: str = "rn", name: str = "position") -> DataFrame:
+    """Add the position of each record among all records, from 1, in document order.
+
+    Rows are numbered within their group; what comes before a group is added from a
+    table with one row per group. Nothing is sorted in one task but the counts of
+    blocks of groups.
+    """
+    return ordering.number_all(df, [group] if isinstance(group, str) else list(group), order, name)

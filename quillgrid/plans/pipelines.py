@@ -3,22 +3,23 @@ their records in document order."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgrid.functions.clean import drop_falsy, unescape_xml
 from quillgrid.functions.dates import DATE_STEMS, date_triples, partial_date
-from quillgrid.functions.provenance import document_key, is_stub, parse_file_name
+from quillgrid.functions.provenance import document_key, is_stub, output_name, parse_file_name, volume_name
 from quillgrid.operators import dictionary as words
 from quillgrid.operators import reconcile as counts
 from quillgrid.operators import records
+from quillgrid.operators.guards import stop_if
 from quillgrid.operators.joins import lookup
 from quillgrid.operators.reshape import cells_to_records, drop_elements, promote_header
-from quillgrid.operators.schema import registry_names, with_record_type
+from quillgrid.operators.schema import HEADER_TYPE, registry_names, with_record_type
 from quillgrid.sinks.tabular import clean_cells
-from quillgrid.sources.files import few_splits, list_files
+from quillgrid.sources.files import list_files
 from quillgrid.sources.lines import field_columns, read_delimited, read_fields
-from quillgrid.sources.record_xml import read_records
+from quillgrid.sources.record_xml import read_counted_records
 from quillgrid.sources.workbook import read_workbook_cells
 
 
@@ -27,13 +28,16 @@ def convert_registered(
     n_records: int | None = None, split: bool = True,
 ) -> DataFrame:
     """Records of a registered type: named by the registry, without the header
-    record, cut to ``n_records`` per file, empty values NULL."""
+    record, cut to ``n_records`` per file, empty values NULL. A file without a
+    record of the type stops the job."""
     names = registry_names(registry, record_type)
-    rows = read_records(spark, path, record_type, names, split)
-    body = records.drop_header_record(rows)
+    rows, told = read_counted_records(spark, path, record_type, names, split=split)
+    body = records.drop_header_record(rows.drop("started"))
     if n_records is not None:
         body = records.limit_per_file(body, n_records, skipped=1)
-    return records.drop_empty(body)
+    empty = counts.files_without_records(list_files(spark, path), told.where("total > 0"))
+    message = F.concat(F.lit(f"no record of type {record_type} in "), F.col("file"))
+    return stop_if(records.drop_empty(body), empty, message)
 
 
 def convert_registered_cells(
@@ -56,27 +60,33 @@ def convert_registered_cells(
 
 
 def convert_volumes(
-    spark: SparkSession, path: str | list[str], registry: DataFrame, row_tag: str, split: bool = True,
+    spark: SparkSession, path: str | list[str], registry: DataFrame, row_tag: str, split: bool = True, fatal: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Records of volumes whose file names tell volume and count.
 
     Returns the records, with the document key as ``lineNum`` and the parts of
     the key beside it, and the table ``(file, declared_n, actual_n, verdict)``.
-    A file whose name tells no volume stops the job.
+    A file whose name tells no volume stops the job, and with ``fatal`` one that
+    holds another number of records than it promises.
+
+    Starts, numbers and verdicts come from one pass over the text and the records
+    from a second one, whether both tables are used or one.
     """
     names = registry_names(registry, row_tag)
-    rows = read_records(spark, path, row_tag, names, split)
-    numeric = F.rlike("lineNum", F.lit(records.NUMERIC_LINE))
+
+    def numeric(line: Column) -> Column:
+        return F.rlike(line, F.lit(records.NUMERIC_LINE))
+
+    rows, found = read_counted_records(spark, path, row_tag, names, ("lineNum", numeric), split)
     # Names are parsed once per file, not per record.
     files = list_files(spark, path)
-    told = files.select("file", parse_file_name("file_name").alias("told"))
-    body = records.skip_until(rows, numeric, few_blocks=few_splits(spark, path))
-    body = lookup(body, told, "file", salt="rn")
-    line = F.regexp_extract("lineNum", records.NUMERIC_LINE, 0)
+    told = files.select("file", parse_file_name(volume_name("file_name")).alias("told"))
+    body = lookup(rows.where("started").drop("started"), told, "file", salt="rn")
+    is_numeric = numeric(F.col("lineNum"))
     marked = body.withColumns(
         {
             "volume": F.col("told.volume"),
-            "line": F.when(numeric, line),
+            "line": F.when(is_numeric, F.regexp_extract("lineNum", records.NUMERIC_LINE, 0)),
             "record_type": F.coalesce("told.record_type", F.lit(row_tag)),
         }
     ).drop("told")
@@ -86,9 +96,12 @@ def convert_volumes(
     marked = marked.withColumn("lineNum", key)
     keep = (*records.POSITION, "record_type", "volume", "line")
     out = records.drop_empty(marked, keep)
-    found = counts.count_records(rows, counted=F.coalesce(numeric, F.lit(False)))
-    promised = counts.manifest_from_names(files)
-    return out, counts.reconcile(found, promised)
+    actual = found.select("file", F.col("marked").alias("actual_n"))
+    verdicts = counts.reconcile(actual, counts.manifest_from_names(files))
+    if fatal:
+        wrong = verdicts.where(F.col("verdict") != counts.GOOD)
+        out = stop_if(out, wrong, F.concat_ws(" ", F.lit("count differs for"), "file", F.lit("found"), "actual_n"))
+    return out, verdicts
 
 
 def convert_delimited(
@@ -151,11 +164,28 @@ def convert_workbooks(
     return elements.where(F.col("value").isNotNull()), cells
 
 
-def convert_listing(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+def convert_listing(files: DataFrame, registry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Split a listing ``(file, file_name, record_type)`` into the routed files
-    that hold data and the stubs for those that were never delivered."""
+    that hold data and the stubs for those that were never delivered.
+
+    A file that no conversion can read stops the job, and with a ``registry`` one
+    whose record type is not in it.
+    """
     routed = counts.route_files(files)
-    return routed.where(~is_stub("file_name")), counts.stubs_for_missing(files)
+    unread = routed.where(F.col("route") == "unsupported")
+    held = stop_if(routed.where(~is_stub("file_name")), unread, F.concat_ws(" ", F.lit("unsupported file"), "file", "file_name"))
+    if registry is not None:
+        named = registry.select("record_type").union(registry.sparkSession.createDataFrame([(HEADER_TYPE,)], "record_type string"))
+        unknown = files.join(named.distinct(), "record_type", "left_anti")
+        held = stop_if(held, unknown, F.concat_ws(" ", F.lit("unknown record type"), "record_type", F.lit("of"), "file"))
+    return held, counts.stubs_for_missing(files)
+
+
+def file_roots(files: DataFrame) -> DataFrame:
+    """``(file, source, n)`` of each file of a listing: the attributes its document has,
+    the name of the output and the number of records that the name promises."""
+    told = parse_file_name(volume_name("file_name"))
+    return files.select("file", output_name("file_name").alias("source"), told["expected_n"].alias("n"))
 
 
 def build_dictionary(

@@ -392,6 +392,51 @@ def skip_until(spark, sf):
     return records.skip_until(rows, F.col("role") == "assistant", "conv_id", "turn", block=None)
 
 
+@query(
+    "volume_summary",
+    """SELECT conv_id, count(*) AS total, count(*) FILTER (WHERE role = 'assistant') AS actual_n,
+    min(turn) FILTER (WHERE role = 'assistant') AS start, max(turn) // 2 + 1 AS declared_n,
+    CASE WHEN max(turn) // 2 + 1 = count(*) FILTER (WHERE role = 'assistant') THEN 'GOOD' ELSE 'BOO' END AS verdict
+    FROM conversations GROUP BY conv_id""",
+)
+def volume_summary(spark, sf):
+    # A conversation stands in for a volume, and what its assistant says for numbered records.
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role")
+    told = ordering.group_summary(rows, F.col("role") == "assistant", "conv_id", "turn").withColumnRenamed("marked", "actual_n")
+    promised = rows.groupBy("conv_id").agg((F.floor(F.max("turn") / 2) + 1).alias("declared_n"))
+    return reconcile.check_counts(told.join(promised, "conv_id"), "conv_id", fatal=False)
+
+
+@query(
+    "root_per_file",
+    """WITH f AS (SELECT c_mktsegment AS file, count(*) AS n FROM customer GROUP BY 1)
+    SELECT file, 0 AS part, CAST(NULL AS BIGINT) AS at, '<?xml version="1.0" encoding="UTF-8"?>' || chr(10) ||
+      '<dataroot source="' || file || ' &amp; &quot;all&quot;" n="' || n || '">' AS value FROM f
+    UNION ALL SELECT file, 2, NULL, '</dataroot>' FROM f
+    UNION ALL SELECT c_mktsegment, 1, c_custkey, '<cust key="' || c_custkey || '">' || chr(10) || '<name>' || c_name || ' &lt;b&gt;</name>'
+      || CASE WHEN c_nationkey = 0 THEN '' ELSE chr(10) || '<nation>' || c_nationkey || '</nation>' END || chr(10) || '</cust>'
+    FROM customer""",
+)
+def root_per_file(spark, sf):
+    customer = table(spark, sf, "customer")
+    rows = customer.select(
+        F.col("c_mktsegment").alias("file"), F.col("c_custkey").alias("rn"), F.col("c_custkey").cast("string").alias("_key"),
+        F.concat("c_name", F.lit("\x0b <b>")).alias("name"), Q.drop_falsy(F.col("c_nationkey").cast("string")).alias("nation"),
+    )
+    roots = customer.groupBy(F.col("c_mktsegment").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    named = roots.select("file", F.concat("file", F.lit(' & "all"')).alias("source"), "n")
+    return xml.record_documents(rows, "cust", named)
+
+
+@query(
+    "document_position",
+    """SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS position FROM conversations""",
+)
+def document_position(spark, sf):
+    rows = table(spark, sf, "conversations").select("conv_id", "turn")
+    return records.document_position(rows, "conv_id", "turn")
+
+
 @query(
     "carry_prev",
     """SELECT user_id, event_id, coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id), 'none')

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from quillgrid.functions.clean import drop_falsy, element_name, escape_xml, strip_control, unescape_xml
 from quillgrid.functions.provenance import file_name, folder, output_name
+from quillgrid.operators.guards import stop_if
 from quillgrid.operators.reshape import drop_elements
 from quillgrid.sinks.order import in_document_order
 from quillgrid.sinks.tabular import clean_cells
@@ -51,6 +52,73 @@ def write_records(
     writer.option("declaration", DECLARATION).xml(path)
 
 
+def _value(c: Column) -> Column:
+    """An attribute's value as it is read back: blanks other than the space would be
+    read as spaces, so they are written as references."""
+    out = F.replace(escape_xml(strip_control(c)), F.lit('"'), F.lit("&quot;"))
+    for blank in "\t\n\r":
+        out = F.replace(out, F.lit(blank), F.lit(f"&#{ord(blank)};"))
+    return out
+
+
+def _attributes(names: Sequence[str], prefix: str = "") -> Column:
+    """The attributes of a tag from columns, NULLs left out."""
+    parts = [
+        F.when(F.col(f"`{c}`").isNotNull(), F.concat(F.lit(f' {c.removeprefix(prefix)}="'), _value(F.col(f"`{c}`").cast("string")), F.lit('"')))
+        for c in names
+    ]
+    return F.concat_ws("", *parts) if parts else F.lit("")
+
+
+def record_documents(
+    records: DataFrame, row_tag: str, roots: DataFrame, order: str = "rn", drop: Sequence[str] = ("file", "block", "rn"),
+) -> DataFrame:
+    """``(file, part, at, value)``: the lines of one document per source file. ``part``
+    is 0 for its opening, 1 for its records, by ``order``, and 2 for its end.
+
+    ``roots`` has one row per file; its other columns are the attributes of the root.
+    Values of any text are read back unchanged. In a record NULLs are left out and
+    columns that start with ``_`` are attributes. A file without records has an empty
+    document; a record whose file has no root stops the job.
+
+    Opening and end are rows of their own, so that a document may lie on any number
+    of tasks and no row need know whether it is the last of its file.
+    """
+    given = [c for c in records.columns if c not in drop]
+    elements = [c for c in given if not c.startswith("_")]
+    texts = [
+        F.when(F.col(f"`{c}`").isNotNull(), F.concat(F.lit(f"<{c}>"), escape_xml(strip_control(F.col(f"`{c}`").cast("string"))), F.lit(f"</{c}>")))
+        for c in elements
+    ]
+    inner = F.array_compact(F.array(*texts)) if texts else F.array().cast("array<string>")
+    start = F.concat(F.lit(f"<{row_tag}"), _attributes([c for c in given if c.startswith("_")], "_"))
+    record = F.when(F.size(inner) == 0, F.concat(start, F.lit("/>"))).otherwise(
+        F.concat(start, F.lit(">\n"), F.array_join(inner, "\n"), F.lit(f"\n</{row_tag}>"))
+    )
+    names = [c for c in roots.columns if c != "file"]
+    opening = F.concat(F.lit(f"<?xml {DECLARATION}?>\n<{ROOT_TAG}"), _attributes(names), F.lit(">"))
+    at = F.lit(None).cast("bigint").alias("at")
+    lines = records.select("file", F.lit(1).alias("part"), F.col(order).cast("bigint").alias("at"), record.alias("value"))
+    ends = roots.select("file", F.lit(0).alias("part"), at, opening.alias("value")).unionByName(
+        roots.select("file", F.lit(2).alias("part"), at, F.lit(f"</{ROOT_TAG}>").alias("value"))
+    )
+    homeless = records.select("file").distinct().join(roots.select("file"), "file", "left_anti")
+    return stop_if(lines.unionByName(ends), homeless, F.concat(F.lit("no root for the records of "), F.col("file")))
+
+
+def write_documents(
+    records: DataFrame, path: str, row_tag: str, roots: DataFrame, order: str = "rn",
+    drop: Sequence[str] = ("file", "block", "rn"), mode: str = "error",
+) -> None:
+    """Write ``record_documents``: one folder per document, named like the source's
+    folder and its output. Its part files follow each other in document order and are
+    well formed together; a document that one task has written is one file."""
+    where = {"folder": F.coalesce(folder("file"), F.lit("")), "output": output_name(file_name("file"))}
+    lines = record_documents(records, row_tag, roots, order, drop).withColumns(where)
+    ordered = in_document_order(lines, ["file", "part", "at"], list(where))
+    ordered.select(*where, "value").write.mode(mode).partitionBy(*where).text(path)
+
+
 def write_stubs(stubs: DataFrame, path: str, mode: str = "error") -> None:
     """An empty document for each row ``(file, output, declared_n)``, under the
     folder of ``file``. The XML sink would write no root for an empty frame, so

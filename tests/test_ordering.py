@@ -127,3 +127,14 @@ def test_group_summary(df, rows):
 def test_large_limits_are_cut_in_parts(spark, n):
     df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.col("id").alias("o"))
     assert ordering.first_n(df, n, "g", "o").count() == 2 * n
+
+
+@pytest.mark.parametrize("splitters", [3, 1023])
+def test_positions_among_all_rows(spark, df, rows, splitters, monkeypatch):
+    monkeypatch.setattr(ordering, "SPLITTERS", splitters)
+    got = {(r.g, r.o): r.p for r in ordering.number_all(df, "g", "o", "p", rows=WIDTH).collect()}
+    assert got == {key: i for i, key in enumerate(sorted((g, o) for g, o, _ in rows), 1)}
+    two = spark.createDataFrame([(i % 3, f"f{i % 2}", i) for i in range(50)], "a int, b string, o bigint")
+    got = {(r.a, r.b, r.o): r.p for r in ordering.number_all(two, ["a", "b"], "o", "p").collect()}
+    assert got == {key: i for i, key in enumerate(sorted((i % 3, f"f{i % 2}", i) for i in range(50)), 1)}
+    assert ordering.number_all(df.where("o is null"), "g", "o", "p").count() == 0

@@ -1,5 +1,6 @@
 import glob
 import os
+import re
 from xml.etree import ElementTree
 
 import pytest
@@ -112,6 +113,96 @@ def test_volumes(spark, tmp_path, registry):
     assert {n: v[2] for n, v in named.items()} == {n: v for n, (_, _, _, v) in VOLUMES.items()}
 
 
+def test_volumes_are_read_twice_with_their_verdicts(spark, tmp_path, registry):
+    tmp_path = tmp_path / "in"
+    tmp_path.mkdir()
+    (tmp_path / "CON31_05_n3.xml").write_text(document("c31a", ["lineNum"], [("L",), ("1",)]))
+    out, verdicts = pipelines.convert_volumes(spark, str(tmp_path), registry, "c31a")
+    plans = [df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended")) for df in (out, verdicts)]
+    physical = [p.split("== Physical Plan ==")[1] for p in plans]
+    kept = {m for p in physical for m in re.findall(r"Scan In-memory|InMemoryTableScan", p)}
+    # The records scan the text once beside the summary; the verdicts have the summary only.
+    scans = [len(re.findall(r"FileScan text", p)) for p in physical]
+    summaries = [len(re.findall(r"InMemoryRelation", p)) for p in physical]
+    assert kept and scans[0] - summaries[0] == 1 and scans[1] - summaries[1] == 0
+    assert len({r for p in physical for r in re.findall(r"_call", p)}) <= 1
+
+
+def test_volumes_that_break_their_promise_can_stop(spark, tmp_path, registry):
+    tmp_path = tmp_path / "in"
+    tmp_path.mkdir()
+    (tmp_path / "CON31_05_n3.xml").write_text(document("c31a", ["lineNum"], [("L",), ("1",)]))
+    out, verdicts = pipelines.convert_volumes(spark, str(tmp_path), registry, "c31a", fatal=True)
+    assert [r.verdict for r in verdicts.collect()] == ["BOO"]
+    with pytest.raises(Exception, match="count differs for .*CON31_05_n3.xml found 1"):
+        out.select("lineNum").collect()
+    with pytest.raises(Exception, match="count differs for"):
+        out.where("lineNum = 'none'").count()
+    (tmp_path / "CON31_05_n3.xml").write_text(document("c31a", ["lineNum"], [("L",), ("1",), ("2",), ("3",)]))
+    assert pipelines.convert_volumes(spark, str(tmp_path), registry, "c31a", fatal=True)[0].count() == 3
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_a_file_without_the_type_stops(spark, tmp_path, registry, split):
+    tmp_path = tmp_path / "in"
+    tmp_path.mkdir()
+    (tmp_path / "d1.xml").write_text(document("dcf", ["lineNum"], [("L",), ("1",)]))
+    (tmp_path / "d2.xml").write_text(document("other", ["lineNum"], [("L",)]))
+    with pytest.raises(Exception, match="no record of type dcf in .*d2.xml"):
+        pipelines.convert_registered(spark, str(tmp_path), registry, "dcf", split=split).collect()
+    with pytest.raises(Exception, match="no record of type dcf in .*d2.xml"):
+        pipelines.convert_registered(spark, str(tmp_path / "d2.xml"), registry, "dcf", split=split).collect()
+
+
+def test_unsupported_files_and_unknown_types_stop(spark, registry):
+    def listing(*rows):
+        return spark.createDataFrame(list(rows), "file string, file_name string, record_type string")
+
+    good = ("f", "a.xls", "dcf"), ("n", "a.xlsx", "NEW")
+    assert pipelines.convert_listing(listing(*good), registry)[0].count() == 2
+    with pytest.raises(Exception, match="unsupported file g a.csv"):
+        pipelines.convert_listing(listing(*good, ("g", "a.csv", "NEW")))[0].select("file").collect()
+    with pytest.raises(Exception, match="unknown record type zzz of g"):
+        pipelines.convert_listing(listing(*good, ("g", "a.xls", "zzz")), registry)[0].select("file").collect()
+
+
+ODD = 'a & b "q" <t> \'s\' &amp; tab\there\nline\rend  é'
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_one_document_per_source_file(spark, tmp_path, many):
+    rows = [(f"file:/in/{f}.xls", i, str(i), None if i % 3 else f"v<{i}>") for f in ("one", "two") for i in range(1, 700 if f == "one" else 3)]
+    df = spark.createDataFrame(rows, "file string, rn bigint, _n string, a string").repartition(6)
+    roots = spark.createDataFrame(
+        [("file:/in/one.xls", ODD, 699), ("file:/in/two.xls", None, 2), ("file:/in/none.xls", "x", 0)], "file string, source string, n bigint")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, str(not many).lower())
+    try:
+        xml.write_documents(df, str(tmp_path / "o"), "row", roots)
+    finally:
+        spark.conf.set(key, "true")
+    found = {}
+    for output in glob.glob(str(tmp_path / "o" / "*" / "*")):
+        parts = sorted(glob.glob(output + "/part-*"))
+        assert not many or not output.endswith("output=one.xml") or len(parts) > 1
+        root = ElementTree.fromstring("".join(open(p, newline="").read() for p in parts).encode())
+        found[os.path.basename(output)] = (root.attrib, [(r.get("n"), r.findtext("a")) for r in root])
+    assert found == {
+        "output=one.xml": ({"source": ODD, "n": "699"}, [(str(i), None if i % 3 else f"v<{i}>") for i in range(1, 700)]),
+        "output=two.xml": ({"n": "2"}, [("1", None), ("2", None)]), "output=none.xml": ({"source": "x", "n": "0"}, []),
+    }
+    told = {(r.source, r.declared_n) for r in read_root_attributes(spark, str(tmp_path / "o")).collect()}
+    scanned = {(r.source, r.declared_n) for r in read_root_attributes(spark, str(tmp_path / "o"), "row").collect()}
+    assert told == scanned == {(ODD, 699), (None, 2), ("x", 0)}
+    with pytest.raises(Exception, match="no root for the records of file:/in/two.xls"):
+        xml.record_documents(df, "row", roots.where("n <> 2")).collect()
+
+
+def test_roots_from_names(spark):
+    files = spark.createDataFrame([("f", "CON33_12_n9.xls"), ("g", "CON18_01_2_n7.xls"), ("h", "my x.xml")], "file string, file_name string")
+    assert [tuple(r) for r in pipelines.file_roots(files).collect()] == [("f", "CON33_12_n9.xml", 9), ("g", "CON18_01_2_n7.xml", 7), ("h", "my x.xml", None)]
+
+
 def test_volumes_need_a_volume(spark, tmp_path, registry):
     (tmp_path / "other.xml").write_text(document("c31a", ["lineNum"], [("L",), ("1",)]))
     out, verdicts = pipelines.convert_volumes(spark, str(tmp_path / "other.xml"), registry, "c31a")

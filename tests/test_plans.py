@@ -26,13 +26,13 @@ def depth(line: str) -> int:
 
 
 def row_exchanges(df) -> list[str]:
-    """Shuffles of the rows themselves: those not below a broadcast."""
+    """Shuffles of the rows themselves: those not below a broadcast or in a subquery."""
     found, below = [], None
     for line in plan(df):
         if below is not None and depth(line) > below:
             continue
         below = None
-        if "BroadcastExchange" in line:
+        if "BroadcastExchange" in line or re.search(r"[+:]- (Reused)?Subquery", line):
             below = depth(line)
         elif re.search(r"\bExchange\b", line):
             found.append(line)

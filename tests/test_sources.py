@@ -122,7 +122,7 @@ def test_record_xml(spark, tmp_path, split):
         (1, None, "LINE", "SHIP", None), (2, "1", " 1 & ", None, "x"), (3, None, None, None, None),
         (4, "3", "3", None, None)]
     roots = read_root_attributes(spark, str(tmp_path)).collect()
-    assert [(r["source"], r["declared_n"]) for r in roots] == [("a&amp;b", 3)]
+    assert [(r["source"], r["declared_n"]) for r in roots] == [("a&b", 3)]
 
 
 @pytest.mark.parametrize("tag", ["q", "a"])
@@ -266,3 +266,32 @@ def test_strict_workbooks_and_workbooks_without_sheets(spark):
     cells = cells_from_content(spark.createDataFrame(books, "file string, content binary"), keep_bad=True)
     found = sorted((r.file, r.value or "", r.error or "") for r in cells.collect())
     assert found == [("bare", "", "the workbook lists no sheet"), ("strict", "h", ""), ("strict", "v", "")]
+
+
+def test_roots_are_read_from_heads(spark, tmp_path):
+    from quillgrid.sources.record_xml import first_element, read_roots
+
+    head = '<?xml version="1.0" encoding="ISO-8859-1"?>\n<!-- <dataroot n="0"/> -->\n<dataroot\n source=\'a>b &#233; "\' n="7">\n'
+    for name, more in (("short one.xml", 10), ("long.xml", 3_000_000_000)):
+        with open(tmp_path / name, "wb") as f:
+            f.write((head + "<r/>").encode("latin-1"))
+            f.truncate(more + 200)  # a hole: reading through it would take long
+    (tmp_path / "other.xml").write_text("<other/>")
+    (tmp_path / "empty.xml").write_text("")
+    (tmp_path / "text.xml").write_text("no xml")
+    found = {r.file.rsplit("/", 1)[1]: r.attributes for r in read_roots(spark, str(tmp_path)).collect()}
+    assert found == {name: {"source": 'a>b é "', "n": "7"} for name in ("short%20one.xml", "long.xml")}
+
+    taken = []
+    text = head.encode("latin-1") + b" " * 10_000_000
+
+    def read(size):
+        start = sum(taken)
+        taken.append(size)
+        return text[start:start + size]
+
+    assert first_element(read) == ("dataroot", {"source": 'a>b é "', "n": "7"}) and len(taken) == 1
+    wide = b"<dataroot " + b"".join(b'a%d="%s" ' % (i, b"x" * 90) for i in range(5000)) + b">"
+    taken.clear()
+    text = wide + b" " * 10_000_000
+    assert len(first_element(read)[1]) == 5000 and sum(taken) < 2 * len(wide)
