@@ -77,6 +77,22 @@ def cells_to_records(cells: DataFrame, names: Sequence[str] | None = None) -> Da
     return records.select(*row, *(F.col("record")[n].alias(n) for n in names))
 
 
+def rows_to_records(rows: DataFrame, entries: Column, names: Sequence[str] | None = None, keep: Sequence[str] = ("file", "sheet_no", "n")) -> DataFrame:
+    """The same from row-shaped data, without moving a row: ``entries`` is an array of
+    structs ``(element, value)`` in column order. Values that are NULL are no entries;
+    for a repeated name the last one wins.
+    """
+    told = rows.select(*keep, F.filter(entries, lambda e: e["value"].isNotNull()).alias("_entries"))
+    if names is not None:
+        def last(name: str) -> Column:
+            return F.get(F.reverse(F.filter("_entries", lambda e: e["element"] == name)), F.lit(0))["value"]
+
+        return told.select(*keep, *(last(n).alias(n) for n in names))
+    elements = F.transform("_entries", lambda e: e["element"])
+    is_last = F.filter("_entries", lambda e, i: ~F.array_contains(F.slice(elements, i + 2, F.size(elements)), e["element"]))
+    return told.select(*keep, F.map_from_entries(is_last).alias("record"))
+
+
 def union_sheets(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of frames whose columns may differ."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

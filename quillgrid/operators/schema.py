@@ -93,9 +93,14 @@ def describe_types(registry: DataFrame) -> DataFrame:
 
 def registry_from_header(cells: DataFrame, record_type) -> DataFrame:
     """A registry made from the header row of each sheet; ``record_type`` is a
-    Column over the cell table."""
+    Column over the table of cells or rows."""
     from quillgrid.functions.clean import element_name
 
+    if "values" in cells.columns:
+        names = F.transform("values", lambda v, i: element_name(v, F.col("first_col") + i + 1))
+        top = cells.where(F.col("n") == 1).select(record_type.alias("record_type"), F.posexplode(names).alias("_at", "column"))
+        return top.select("record_type", (F.col("_at") + 1).alias("ordinal"), "column")
+
     top = cells.where(F.col("n") == 1)
     first = F.min("col").over(Window.partitionBy("file", "sheet_no"))
     return top.select(

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.functions.clean import drop_falsy, unescape_xml
+from quillgrid.functions.clean import clean_cell, drop_empty_value, drop_falsy, unescape_xml
 from quillgrid.functions.dates import DATE_STEMS, date_triples, partial_date
 from quillgrid.functions.provenance import document_key, is_stub, output_name, parse_file_name, volume_name
 from quillgrid.operators import dictionary as words
@@ -20,7 +20,7 @@ from quillgrid.sinks.tabular import clean_cells
 from quillgrid.sources.files import list_files
 from quillgrid.sources.lines import field_columns, read_delimited, read_fields
 from quillgrid.sources.record_xml import read_counted_records
-from quillgrid.sources.workbook import read_workbook_cells
+from quillgrid.sources.workbook import cells_of, read_workbook_cells, read_workbook_rows
 
 
 def convert_registered(
@@ -43,10 +43,17 @@ def convert_registered(
 def convert_registered_cells(
     cells: DataFrame, registry: DataFrame, record_type: str, n_records: int | None = None
 ) -> DataFrame:
-    """The same from the cells of workbooks that do not name their columns: the
-    i-th column of a sheet has the i-th name of the type. Columns beyond the
-    names are left out. ``block`` is the number of the sheet."""
+    """The same from the cells or rows of workbooks that do not name their columns:
+    the i-th column of a sheet has the i-th name of the type. Columns beyond the
+    names are left out. ``block`` is the number of the sheet. Rows stay where they
+    are; cells are gathered first."""
     names = registry_names(registry, record_type)
+    if "values" in cells.columns:
+        wanted = F.col("n") > 1 if n_records is None else F.col("n").between(2, n_records + 1)
+        values = cells.where(wanted).withColumn("_v", F.transform("values", lambda v: unescape_xml(clean_cell(v))))
+        at = [F.get("_v", F.lit(i) - F.col("first_col")) for i in range(len(names))]
+        place = (F.col("file"), F.col("sheet_no").cast("bigint").alias("block"), F.col("n").cast("bigint").alias("rn"))
+        return values.select(*place, *(drop_empty_value(v).alias(n) for v, n in zip(at, names)))
     wanted = (F.col("n") > 1) & (F.col("col") < len(names))
     if n_records is not None:
         wanted &= F.col("n") <= n_records + 1
@@ -150,18 +157,18 @@ def check_delimited(df: DataFrame, record_type: str, declared_n: int | None = No
 def convert_workbooks(
     spark: SparkSession, path: str | list[str], keep_zero: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Self-describing workbooks: ``(elements, cells)``.
+    """Self-describing workbooks: ``(elements, rows)``.
 
     ``elements`` has a row for each value under its header's name, as plain
-    text; ``cells`` feeds ``write_rows``, ``write_tsv_cells`` and ``write_audit``.
+    text; ``rows`` feeds ``write_rows``, ``write_tsv_cells`` and ``write_audit``.
     """
-    cells = read_workbook_cells(spark, path)
-    named = drop_elements(promote_header(clean_cells(cells)))
+    rows = read_workbook_rows(spark, path)
+    named = drop_elements(promote_header(clean_cells(cells_of(rows))))
     value = unescape_xml(drop_falsy("cleaned", keep_zero))
     elements = named.select(
         "file", "sheet_no", "sheet_name", "n", (F.col("col") + 1).alias("ordinal"), "element", value.alias("value")
     )
-    return elements.where(F.col("value").isNotNull()), cells
+    return elements.where(F.col("value").isNotNull()), rows
 
 
 def convert_listing(files: DataFrame, registry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -12,11 +12,11 @@ from quillgrid import functions as Q
 from quillgrid.operators import dictionary, ordering, reconcile, records, reshape, schema
 from quillgrid.operators.joins import lookup
 from quillgrid.plans.pipelines import convert_registered_cells
-from quillgrid.plans.samples import pack_workbooks
+from quillgrid.plans.samples import pack_workbooks, write_books
 from quillgrid.session import scratch_path
 from quillgrid.sinks import tabular, xml
 from quillgrid.sources import lines, record_xml
-from quillgrid.sources.workbook import cells_from_content
+from quillgrid.sources.workbook import cells_from_content, read_workbook_rows, rows_from_content
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -488,15 +488,10 @@ def unpivot_nonempty(spark, sf):
     AS nation FROM customer""",
 )
 def records_from_cells(spark, sf):
-    wide = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     # Two cells have the name "name"; the right one wins.
-    name = F.when(F.col("element") == "c_nationkey", "nation").otherwise("name")
-    cells = reshape.to_elements(wide, ("c_custkey",)).select(
-        F.lit("customer").alias("file"), F.lit(1).alias("sheet_no"), F.col("c_custkey").alias("n"),
-        F.col("ordinal").alias("col"), name.alias("element"), "value",
-    )
-    rows = reshape.cells_to_records(cells, ["name", "nation"])
-    return rows.select(F.col("n").alias("c_custkey"), "name", "nation")
+    cells = [("name", F.col("c_name")), ("nation", F.col("c_nationkey")), ("name", F.col("c_mktsegment"))]
+    entries = F.array(*(F.struct(F.lit(n).alias("element"), Q.drop_falsy(v.cast("string")).alias("value")) for n, v in cells))
+    return reshape.rows_to_records(table(spark, sf, "customer"), entries, ["name", "nation"], ["c_custkey"])
 
 
 @query(
@@ -681,9 +676,17 @@ def registry_round_trip(spark, sf):
     return back.select("record_type", "ordinal", "column")
 
 
-def _customer_cells(spark, sf):
+def _customer_books(spark, sf):
     wide = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
-    return cells_from_content(pack_workbooks(wide, "c_custkey", ["f1 id", "Master's name", "#"]))
+    return pack_workbooks(wide, "c_custkey", ["f1 id", "Master's name", "#"])
+
+
+def _customer_rows(spark, sf):
+    return rows_from_content(_customer_books(spark, sf))
+
+
+def _customer_cells(spark, sf):
+    return cells_from_content(_customer_books(spark, sf))
 
 
 _BOOK_SQL = "'book_' || CAST(c_custkey // 500 AS BIGINT) || '.xlsx'"
@@ -702,18 +705,44 @@ def workbook_cells(spark, sf):
     return _customer_cells(spark, sf).select("file", "n", "col", "header", "value")
 
 
+_HELD = [f"c{i}" for i in range(1, 28)]
+
+
 @query(
     "registered_workbook",
     f"""SELECT {_BOOK_SQL} AS file, CAST(c_custkey % 500 + 2 AS BIGINT) AS rn, CAST(c_custkey AS VARCHAR) AS "lineNum",
-    c_name AS holder, CAST(c_nationkey AS VARCHAR) AS nation FROM customer WHERE c_custkey % 500 < 120""",
+    c_name AS holder, CAST(c_nationkey AS VARCHAR) AS nation,
+    {', '.join(f"CASE WHEN c_custkey % {i} <> 1 THEN '{i} ' || CAST(c_custkey * {i} % 97 AS VARCHAR) END AS c{i}" for i in range(1, 28))}
+    FROM customer WHERE c_custkey % 500 < 120""",
 )
 def registered_workbook(spark, sf):
-    names = enumerate(["lineNum", "holder", "nation"], 1)
+    # Thirty columns below a header row, cut to 120 records of each workbook.
+    customer = table(spark, sf, "customer")
+    more = [
+        F.when(F.col("c_custkey") % i != 1, F.concat(F.lit(f" {i} "), (F.col("c_custkey") * i % 97).cast("string"), F.lit("\t"))).alias(c)
+        for i, c in enumerate(_HELD, 1)
+    ]
+    wide = customer.select("c_custkey", "c_name", "c_nationkey", *more)
+    names = ["lineNum", "holder", "nation", *_HELD]
     registry = spark.createDataFrame(
-        [(1, "held", i, c) for i, c in names], "entry_no bigint, record_type string, ordinal int, column string"
+        [(1, "held", i, c) for i, c in enumerate(names, 1)], "entry_no bigint, record_type string, ordinal int, column string"
     )
-    found = convert_registered_cells(_customer_cells(spark, sf), registry, "held", 120)
-    return found.drop("block")
+    rows = rows_from_content(pack_workbooks(wide, "c_custkey", [f"COLUMN {i}" for i in range(1, 31)]))
+    return convert_registered_cells(rows, registry, "held", 120).drop("block")
+
+
+@query(
+    "workbook_files",
+    f"""WITH c AS (SELECT *, {_BOOK_SQL} AS file, CAST(c_custkey % 500 + 2 AS INT) AS n FROM customer)
+    SELECT file, 1 AS sheet_no, n, concat_ws('|', CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR)) AS line,
+      n = max(n) OVER (PARTITION BY file) AS last FROM c
+    UNION ALL SELECT DISTINCT file, 1, 1, 'f1 id|Master''s name|#', false FROM c""",
+)
+def workbook_files(spark, sf):
+    path = scratch_path(spark, "books")
+    write_books(_customer_books(spark, sf), path)
+    rows = read_workbook_rows(spark, path, split_bytes=20_000)
+    return rows.select(Q.file_name("file").alias("file"), "sheet_no", "n", F.array_join("values", "|").alias("line"), "last")
 
 
 @query(
@@ -742,7 +771,7 @@ def workbook_elements(spark, sf):
     FROM c UNION ALL SELECT DISTINCT output, 1, '<?xml version="1.0" encoding="UTF-8"?>' || chr(10) || '<dataroot>' FROM c""",
 )
 def workbook_xml(spark, sf):
-    return xml.row_documents(_customer_cells(spark, sf)).select("output", "n", "value")
+    return xml.row_documents(_customer_rows(spark, sf)).select("output", "n", "value")
 
 
 @query(
@@ -753,7 +782,7 @@ def workbook_xml(spark, sf):
     UNION ALL SELECT DISTINCT file, 1, concat_ws(chr(9), 'f01_id', 'Masters_name', '_No_') FROM c""",
 )
 def workbook_tsv(spark, sf):
-    return tabular.tsv_lines(_customer_cells(spark, sf)).select("file", "n", "line")
+    return tabular.tsv_lines(_customer_rows(spark, sf)).select("file", "n", "line")
 
 
 @query(
@@ -762,7 +791,7 @@ def workbook_tsv(spark, sf):
     (VALUES (1, 'f01_id'), (2, 'Masters_name'), (3, '_No_')) AS h(k, v)""",
 )
 def registry_from_header(spark, sf):
-    return schema.registry_from_header(_customer_cells(spark, sf), F.col("file"))
+    return schema.registry_from_header(_customer_rows(spark, sf), F.col("file"))
 
 
 @query(

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,3 +66,18 @@ def pack_workbooks(df: DataFrame, key: str, headers: Sequence[str], rows_per_boo
 
     book = F.floor(F.col(key) / rows_per_book).alias("_book")
     return df.select("*", book).groupBy("_book").applyInPandas(pack, "file string, content binary")
+
+
+def write_books(books: DataFrame, path: str) -> None:
+    """Write ``(file, content)`` as files below ``path``, each by the task that has it."""
+
+    def write(batches):
+        for batch in batches:
+            for file, content in zip(batch["file"], batch["content"]):
+                store, place = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+                store.create_dir(place, recursive=True)
+                with store.open_output_stream(f"{place}/{file}") as out:
+                    out.write(content)
+            yield batch[["file"]]
+
+    books.mapInPandas(write, "file string").count()

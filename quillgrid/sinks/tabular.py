@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillgrid.functions.clean import clean_cell, normalise_header
 from quillgrid.functions.provenance import file_name, folder, output_name
 from quillgrid.sinks.order import in_document_order
+from quillgrid.sources.workbook import cells_of
 
 
 def clean_cells(cells: DataFrame) -> DataFrame:
@@ -18,10 +19,24 @@ def clean_cells(cells: DataFrame) -> DataFrame:
     return cells.withColumn("cleaned", F.when(F.col("n") == 1, name).otherwise(clean_cell("value")))
 
 
+def cleaned_values(rows: DataFrame) -> Column:
+    """The values of row-shaped workbooks, cleaned as ``clean_cells`` does."""
+    return F.when(F.col("n") == 1, F.transform("values", lambda v: clean_cell(normalise_header(v)))).otherwise(
+        F.transform("values", clean_cell)
+    )
+
+
 def tsv_lines(cells: DataFrame) -> DataFrame:
     """``(file, sheet_no, n, line)``: a line per row, the header included, with
     empty and ``0`` cells kept. A sheet that starts right of the first column
-    keeps a leading tab."""
+    keeps a leading tab.
+
+    Rows of ``read_workbook_rows`` stay where they are; cells are gathered first."""
+    if "values" in cells.columns:
+        shown = F.array_compact(cleaned_values(cells))
+        rows = cells.select("file", "sheet_no", "n", "first_col", shown.alias("c"))
+        indent = F.when(F.col("first_col") > 0, F.lit("\t")).otherwise(F.lit(""))
+        return rows.select("file", "sheet_no", "n", F.concat(indent, F.array_join("c", "\t")).alias("line"))
     cell = F.struct("col", "cleaned")
     rows = clean_cells(cells).groupBy("file", "sheet_no", "n").agg(F.sort_array(F.collect_list(cell)).alias("c"))
     text = F.array_join(F.transform("c", lambda x: F.coalesce(x["cleaned"], F.lit(""))), "\t")
@@ -53,7 +68,7 @@ def write_tsv(
 
 def audit_cells(cells: DataFrame) -> DataFrame:
     """What each cell held and what became of it."""
-    return clean_cells(cells).select(
+    return clean_cells(cells_of(cells) if "values" in cells.columns else cells).select(
         "file", "sheet_no", "sheet_name", "row", "col", F.col("value").alias("raw"), "cleaned"
     )
 

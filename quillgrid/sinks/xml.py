@@ -12,9 +12,9 @@ from pyspark.sql.types import StringType
 from quillgrid.functions.clean import drop_falsy, element_name, escape_xml, strip_control, unescape_xml
 from quillgrid.functions.provenance import file_name, folder, output_name
 from quillgrid.operators.guards import stop_if
-from quillgrid.operators.reshape import drop_elements
+from quillgrid.operators.reshape import DROPPED, drop_elements
 from quillgrid.sinks.order import in_document_order
-from quillgrid.sinks.tabular import clean_cells
+from quillgrid.sinks.tabular import clean_cells, cleaned_values
 from quillgrid.sources.record_xml import ROOT_TAG
 from quillgrid.sources import registry as registry_format
 
@@ -140,7 +140,12 @@ def row_documents(cells: DataFrame, root: Mapping[str, object] | None = None, ke
     in one job; a row or a sheet without values keeps its empty element. The
     first and the last row of a document bring its root along. The format bounds
     a sheet, and so a document, to about a million rows.
+
+    Rows of ``read_workbook_rows`` tell which is the last, and stay where they are;
+    cells are gathered first.
     """
+    if "values" in cells.columns:
+        return _row_documents(cells, root, keep_zero)
     below = F.col("n") > 1
     named = clean_cells(cells).withColumn("element", element_name("header", F.col("col") + 1))
     named = drop_elements(named.withColumn("value", F.when(below, F.col("value"))))
@@ -169,16 +174,50 @@ def row_documents(cells: DataFrame, root: Mapping[str, object] | None = None, ke
     ).where(F.col("value") != "")
 
 
+def _row_documents(rows: DataFrame, root: Mapping[str, object] | None, keep_zero: bool) -> DataFrame:
+    below = F.col("n") > 1
+    pairs = F.arrays_zip(
+        F.transform("header", lambda h, i: element_name(h, F.col("first_col") + i + 1)).alias("element"),
+        cleaned_values(rows).alias("cleaned"),
+    )
+    named = rows.select("file", "sheet_no", "n", "last", F.when(below, pairs).otherwise(F.slice(pairs, 1, 0)).alias("pairs"))
+    listed = F.filter("pairs", lambda p: p["element"].isin(*DROPPED) & F.coalesce(drop_falsy(p["cleaned"]).isNotNull(), F.lit(False)))
+    message = F.concat(F.lit("dropped column "), F.get(listed, F.lit(0))["element"], F.lit(" has value "), F.get(listed, F.lit(0))["cleaned"])
+    guarded = named.where(F.when(F.size(listed) > 0, F.raise_error(message).cast("boolean")).otherwise(True))
+
+    def text(p: Column) -> Column:
+        value = escape_xml(strip_control(unescape_xml(p["cleaned"])))
+        return F.concat(F.lit("<"), p["element"], F.lit(">"), value, F.lit("</"), p["element"], F.lit(">"))
+
+    def present(p: Column) -> Column:
+        return ~p["element"].isin(*DROPPED) & drop_falsy(p["cleaned"], keep_zero).isNotNull()
+
+    tags = F.concat(
+        F.array(F.concat(F.lit('<row n="'), F.col("n").cast("string"), F.lit('">'))),
+        F.transform(F.filter("pairs", present), text), F.array(F.lit("</row>")),
+    )
+    opening = f"<?xml {DECLARATION}?>\n<{_root(ROOT_TAG, root or {})}>"
+    return guarded.select(
+        F.coalesce(folder("file"), F.lit("")).alias("folder"),
+        F.coalesce(output_name(file_name("file"), F.col("sheet_no")), F.lit("")).alias("output"), "n",
+        F.concat_ws(
+            "\n", F.when(F.col("n") == 1, F.lit(opening)), F.when(below, F.array_join(tags, "\n")),
+            F.when(F.col("last"), F.lit(f"</{ROOT_TAG}>")),
+        ).alias("value"),
+    ).where(F.col("value") != "")
+
+
 def write_rows(
     cells: DataFrame, path: str, root: Mapping[str, object] | None = None, keep_zero: bool = False, mode: str = "error"
 ) -> None:
     """Write ``row_documents``: one folder and one well-formed file per document.
 
-    The window has left the rows by document and in order, which is what the
-    write needs.
+    A sheet goes to one task for that, in order, as the format bounds it.
     """
-    lines = row_documents(cells, root, keep_zero).drop("n")
-    lines.write.mode(mode).partitionBy("folder", "output").text(path)
+    where = ["folder", "output"]
+    lines = row_documents(cells, root, keep_zero)
+    ordered = lines.repartition(*where).sortWithinPartitions(*where, "n") if "values" in cells.columns else lines
+    ordered.drop("n").write.mode(mode).partitionBy(*where).text(path)
 
 
 def write_registry(registry: DataFrame, path: str, mode: str = "error") -> DataFrame:

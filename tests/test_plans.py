@@ -99,3 +99,9 @@ def test_a_row_of_cells_is_gathered_by_one_shuffle(spark):
     cells = spark.createDataFrame([("f", 1, 1, 1, "a", "b")],
                                   "file string, sheet_no int, n int, col int, element string, value string")
     assert len(row_exchanges(cells_to_records(cells))) == 1
+
+
+@pytest.mark.parametrize("name", ["records_from_cells", "workbook_tsv", "workbook_xml", "registered_workbook"])
+def test_cells_are_not_gathered(spark, name):
+    """Packing the sample workbooks takes the one shuffle of those that read workbooks."""
+    assert len(row_exchanges(queries.QUERIES[name](spark, SF))) == (name != "records_from_cells")

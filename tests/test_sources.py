@@ -295,3 +295,50 @@ def test_roots_are_read_from_heads(spark, tmp_path):
     taken.clear()
     text = wide + b" " * 10_000_000
     assert len(first_element(read)[1]) == 5000 and sum(taken) < 2 * len(wide)
+
+
+def test_a_large_workbook_is_read_by_several_tasks(spark, tmp_path):
+    from quillgrid.sources.workbook import read_workbook_rows
+
+    rows = [["h", "i"], *([i, f"text {i * 7919 % 1000}"] for i in range(3000))]
+    (tmp_path / "large one.xlsx").write_bytes(workbook_bytes([(f"s{k}", rows) for k in range(5)]))
+    for k in range(4):
+        (tmp_path / f"small{k}.xlsx").write_bytes(workbook_bytes([("s", rows[:3])]))
+    found = read_workbook_rows(spark, str(tmp_path), split_bytes=20_000)
+    tasks = {r.p: (r.files, r.sheets) for r in found.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count_distinct("file").alias("files"), F.count_distinct("sheet_no").alias("sheets")).collect()}
+    assert sorted(tasks.values()) == [(1, 1)] * 5 + [(4, 1)]
+    per_sheet = found.groupBy("file", "sheet_no").agg(F.count("*").alias("n"), F.max("n").alias("most"), F.count_if("last").alias("last"))
+    assert sorted((r.n, r.most, r.last) for r in per_sheet.collect()) == [(3, 3, 1)] * 4 + [(3001, 3001, 1)] * 5
+
+
+def test_long_sheets_and_books_that_break_off(spark, tmp_path, monkeypatch):
+    from quillgrid.sources import workbook
+
+    monkeypatch.setattr(workbook, "HELD_CELLS", 10)
+    rows = [["h"], *([str(i)] for i in range(50)), ["x", "wide"]]
+    book = workbook_bytes([("s", rows), ("t", rows[:3])])
+    made = list(workbook._book_rows("f", __import__("io").BytesIO(book), True, False))
+    assert [(r[1], r[4], r[5], r[8]) for r in made if r[5] or r[4] == 2] == [
+        (1, 2, False, ["0", ""]), (1, 52, True, ["x", "wide"]), (2, 2, False, ["0"]), (2, 3, True, ["1"])]
+    import io
+    import zipfile
+
+    broken = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(book)) as old, zipfile.ZipFile(broken, "w") as new:
+        for name in old.namelist():
+            content = old.read(name)
+            new.writestr(name, content[: len(content) // 2] if name.endswith("sheet2.xml") else content)
+    books = spark.createDataFrame([("bad", broken.getvalue())], "file string, content binary")
+    kept = cells_from_content(books, keep_bad=True).collect()
+    assert len(kept) == 1 and kept[0].error and kept[0].value is None
+    with pytest.raises(Exception, match="cannot read workbook bad"):
+        cells_from_content(books).collect()
+
+
+def test_row_shaped_sparse_rows(spark):
+    from quillgrid.sources.workbook import rows_from_content
+
+    book = workbook_bytes([("s", [["a", None, "c"], [None, "x", None], [1, None, 2]])])
+    rows = rows_from_content(spark.createDataFrame([("f", book)], "file string, content binary"), dense=False)
+    assert [(r.n, r.first_col, r["values"], r.last) for r in rows.orderBy("n").collect()][0][1] == 0
