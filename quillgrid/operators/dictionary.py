@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillgrid.functions.clean import FALSY, _col
 from quillgrid.functions.provenance import column_letter
-from quillgrid.operators.joins import is_small, lookup
+from quillgrid.operators.joins import lookup
 
 # The types that share the metadata of another one.
 ALIASES = {"c31s": "crs", "c33s": "crs", "c37s": "crs", "c40s": "crs", "c41s": "crs"}
@@ -49,8 +49,7 @@ def describe_fields(
     general = dictionary.select(F.col("key").alias(column), F.col("description").alias("general"))
     specific = dictionary.select(F.col("key").alias("_key"), F.col("description").alias("specific"))
     keyed = df.withColumn("_key", F.concat_ws(".", record_type, column))
-    small = is_small(dictionary.select("key", "description"))
-    return lookup(lookup(keyed, general, column, small=small), specific, "_key", small=small).drop("_key")
+    return lookup(lookup(keyed, general, column), specific, "_key").drop("_key")
 
 
 def extra_description(record_type: Column | str, column: Column | str, general: Column | str, specific: Column | str):

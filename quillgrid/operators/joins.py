@@ -35,18 +35,19 @@ def lookup(
     salts: int = 64,
 ) -> DataFrame:
     """Join ``df`` with a look-up table (``left``, ``inner``, ``left_semi`` or
-    ``left_anti``).
-
-    A table of checked small size is broadcast; ``small`` hands in a check made
-    before. A larger one is joined by a
-    shuffle; ``salt`` then names an integer column of ``df`` (a row number)
-    which spreads the rows of a hot key over ``salts`` tasks. Without it the
-    split of skewed partitions is left to adaptive execution.
+    ``left_anti``). No job runs while the plan is built.
+
+    Without ``small`` Spark chooses: by the sizes it knows beforehand, else by those it
+    has measured when the look-up table has been made, so that a small one is broadcast.
+    ``small`` says that the caller has bounded the table (or, if false, that it must not
+    be broadcast). ``salt`` then names an integer column of ``df`` (a row number) which
+    spreads the rows of a hot key over ``salts`` tasks; without it the split of skewed
+    partitions is left to adaptive execution.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if is_small(table) if small is None else small:
+    if small:
         return df.join(F.broadcast(table), keys, how)
-    if salt is None:
+    if small is None or salt is None:
         return df.join(table, keys, how)
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = df.withColumn("_salt", F.pmod(F.col(salt), F.lit(salts)).cast("int"))

@@ -3,7 +3,9 @@ their records in document order."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quillgrid.functions.clean import clean_cell, drop_empty_value, drop_falsy, unescape_xml
@@ -17,7 +19,7 @@ from quillgrid.operators.joins import lookup
 from quillgrid.operators.reshape import cells_to_records, drop_elements, promote_header
 from quillgrid.operators.schema import HEADER_TYPE, registry_names, with_record_type
 from quillgrid.sinks.tabular import clean_cells
-from quillgrid.sources.files import list_files
+from quillgrid.sources.files import few_splits, list_files
 from quillgrid.sources.lines import field_columns, read_delimited, read_fields
 from quillgrid.sources.record_xml import read_counted_records
 from quillgrid.sources.workbook import cells_of, read_workbook_cells, read_workbook_rows
@@ -88,7 +90,7 @@ def convert_volumes(
     # Names are parsed once per file, not per record.
     files = list_files(spark, path)
     told = files.select("file", parse_file_name(volume_name("file_name")).alias("told"))
-    body = lookup(rows.where("started").drop("started"), told, "file", salt="rn")
+    body = lookup(rows.where("started").drop("started"), told, "file", small=few_splits(spark, path), salt="rn")
     is_numeric = numeric(F.col("lineNum"))
     marked = body.withColumns(
         {
@@ -154,6 +156,29 @@ def check_delimited(df: DataFrame, record_type: str, declared_n: int | None = No
     return counts.reconcile(actual, promised, "record_type", fatal)
 
 
+def write_and_report(
+    df: DataFrame, write: Callable[[DataFrame, Callable[[DataFrame], DataFrame]], None], declared: dict[str, int],
+    kind: Column | None = None, fatal: bool = False,
+) -> DataFrame:
+    """Write records and report on them in one pass: ``(record_type, declared_n, actual_n,
+    verdict)``.
+
+    ``write`` gets the records and a function that it applies to them right before they
+    are written, behind any sort, as ``watch`` of the sinks does: there the numbers are
+    observed, so neither the source nor the output is read again. ``declared`` has the number of records of each
+    type and ``kind`` tells the type of a record; without it all are of the one type
+    declared. With ``fatal`` a wrong number stops the job, after the write.
+    """
+    if kind is None and len(declared) != 1:
+        raise ValueError("tell the type of a record")
+    seen = Observation()
+    of = {k: F.count(F.lit(1)) if kind is None else F.count_if(kind == k) for k in declared}
+    write(df, lambda rows: rows.observe(seen, *(n.alias(k) for k, n in of.items())))
+    rows = [(k, n, seen.get[k]) for k, n in declared.items()]
+    found = df.sparkSession.createDataFrame(rows, "record_type string, declared_n bigint, actual_n bigint")
+    return counts.check_counts(found, "record_type", fatal)
+
+
 def convert_workbooks(
     spark: SparkSession, path: str | list[str], keep_zero: bool = False
 ) -> tuple[DataFrame, DataFrame]:

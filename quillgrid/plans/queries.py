@@ -828,6 +828,72 @@ def dictionary_document(spark, sf):
     )
 
 
+@query(
+    "type_letters",
+    """WITH r AS (SELECT p_brand AS k, p_type AS c, row_number() OVER (PARTITION BY p_brand ORDER BY min(p_partkey)) AS i
+      FROM part GROUP BY 1, 2)
+    SELECT k AS record_type, CAST(i AS INT) AS ordinal, chr(CAST(64 + i AS INT)) AS letter, c AS "column" FROM r""",
+)
+def type_letters(spark, sf):
+    first = table(spark, sf, "part").groupBy(F.col("p_brand").alias("record_type"), F.col("p_type").alias("column")).agg(
+        F.min("p_partkey").alias("order")
+    )
+    ranked = ordering.number_rows(first, "record_type", "order", name="ordinal").withColumn("ordinal", F.col("ordinal").cast("int"))
+    return schema.describe_types(ranked)
+
+
+@query(
+    "typed_counts",
+    """SELECT record_type, count(*) AS actual_n FROM (SELECT 'cust' AS record_type FROM customer
+    UNION ALL SELECT 'supp' FROM supplier) GROUP BY 1""",
+)
+def typed_counts(spark, sf):
+    customers = schema.with_record_type(table(spark, sf, "customer").select("c_custkey"), "cust")
+    suppliers = schema.with_record_type(table(spark, sf, "supplier").select("s_suppkey"), "supp")
+    return reconcile.count_records(reshape.union_sheets([customers, suppliers]), "record_type")
+
+
+@query(
+    "dictionary_lines",
+    """WITH l AS (SELECT doc_id, text AS line, string_split(text, ' ') AS x FROM documents)
+    SELECT x[1] AS key, arg_max(CASE WHEN len(x) > 1 THEN array_to_string(x[2:], chr(9)) END, doc_id) AS description
+    FROM (SELECT doc_id, x, x[1] AS k FROM l WHERE NOT starts_with(line, '#') AND line NOT LIKE '%' || chr(9) || '%'
+      AND rtrim(line, chr(13) || chr(10)) = line AND len(x) > 1) GROUP BY x[1]""",
+)
+def dictionary_lines(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    plain = ~F.contains("text", F.lit("\t")) & (F.rtrim(F.col("text"), F.lit("\r\n")) == F.col("text")) & F.contains("text", F.lit(" "))
+    lines_ = docs.where(plain).select("doc_id", F.translate("text", " ", "\t").alias("line"))
+    return lines.dictionary_entries(lines_, ["doc_id"])
+
+
+@query(
+    "document_provenance",
+    f"""SELECT page_id, regexp_extract(regexp_replace(name, '[.]xls$', '.xml'), 'CON33_[0-9]+_n([0-9]+)[.]xml', 1) <> '' AS counted, name AS source,
+    CASE WHEN starts_with(name, 'CON') THEN regexp_extract(name, 'CON(..)', 1) WHEN starts_with(name, 'htg_absc') THEN 'hga' ELSE 'hgf' END AS series,
+    TRY_CAST(regexp_extract(name, '_n([0-9]*)', 1) AS BIGINT) AS expected_n FROM {_FILE_NAME_SQL}""",
+)
+def document_provenance(spark, sf):
+    # Export names of one series count once their output is named.
+    pages = table(spark, sf, "pages").select("page_id", F.concat(F.lit("file:/in/"), _file_name()).alias("file"))
+    told = records.with_provenance(pages)
+    counted = F.col("source").startswith("CON33_") & F.col("expected_n").isNotNull()
+    return told.select("page_id", counted.alias("counted"), "source", "series", "expected_n")
+
+
+@query(
+    "workbook_audit",
+    f"""WITH c AS (SELECT *, {_BOOK_SQL} AS file, CAST(c_custkey % 500 + 1 AS INT) AS r FROM customer)
+    SELECT file, r AS "row", 0 AS col, CAST(c_custkey AS VARCHAR) AS raw, CAST(c_custkey AS VARCHAR) AS cleaned FROM c
+    UNION ALL SELECT file, r, 1, c_name, c_name FROM c
+    UNION ALL SELECT file, r, 2, CAST(c_nationkey AS VARCHAR), CAST(c_nationkey AS VARCHAR) FROM c
+    UNION ALL SELECT DISTINCT file, 0, h.k, h.v, h.w FROM c,
+      (VALUES (0, 'f1 id', 'f01_id'), (1, 'Master''s name', 'Masters_name'), (2, '#', '_No_')) AS h(k, v, w)""",
+)
+def workbook_audit(spark, sf):
+    return tabular.audit_cells(_customer_rows(spark, sf)).select("file", "row", "col", "raw", "cleaned")
+
+
 # ---- flagship --------------------------------------------------------------
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,10 +57,11 @@ def write_tsv_cells(cells: DataFrame, path: str, mode: str = "error") -> None:
 def write_tsv(
     df: DataFrame, path: str, header: bool = True, order: Sequence[str] = ("file", "rn"),
     drop: Sequence[str] = ("file", "block", "rn"), mode: str = "error",
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """Wide records as tab-separated text: nothing is quoted, ``0`` and empties
-    stay as they are."""
-    rows = in_document_order(df, order).drop(*drop)
+    stay as they are. ``watch`` may observe the ordered rows."""
+    rows = watch(in_document_order(df, order)).drop(*drop)
     # Every escape mechanism of the format is switched off.
     writer = rows.write.mode(mode).options(sep="\t", quote="", escapeQuotes="false", emptyValue="", nullValue="")
     writer.options(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path, header=header)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -42,10 +42,12 @@ def write_records(
     drop: Sequence[str] = ("file", "block", "rn"),
     partition_by: Sequence[str] = (),
     mode: str = "error",
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """Write records as XML, one root per part file. NULLs are left out, columns
-    that start with ``_`` become attributes, and rows keep document order."""
-    rows = in_document_order(_printable(df), order, partition_by).drop(*(c for c in drop if c not in partition_by))
+    that start with ``_`` become attributes, and rows keep document order. ``watch``
+    may observe the ordered rows."""
+    rows = watch(in_document_order(_printable(df), order, partition_by)).drop(*(c for c in drop if c not in partition_by))
     writer = rows.write.mode(mode).option("rootTag", _root(ROOT_TAG, root or {})).option("rowTag", row_tag)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

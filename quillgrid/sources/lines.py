@@ -120,17 +120,19 @@ def read_delimited(
     return rows.select("file", "block", "rn", *(c.alias(name) for name, c in field_columns(names, n).items()))
 
 
-def read_dictionary(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(key, description)``: the last description of each key. Comment lines
-    are skipped and later tabs belong to the description."""
+def dictionary_entries(lines: DataFrame, at: Sequence[str] = ("file", "rn")) -> DataFrame:
+    """``(key, description)``: the last description of each key among ``line``s, in the
+    order of ``at``. Comment lines are skipped and later tabs belong to the description."""
     from quillgrid.operators.records import skip_comments
     from quillgrid.operators.reshape import last_wins
 
-    lines = skip_comments(read_lines(spark, path), "line")
     parts = F.split(strip_eol(F.col("line")), "\t", 2)
-    pairs = lines.select(
-        F.struct("file", "rn").alias("at"),
-        F.get(parts, F.lit(0)).alias("key"),
-        F.get(parts, F.lit(1)).alias("description"),
+    pairs = skip_comments(lines, "line").select(
+        F.struct(*at).alias("at"), F.get(parts, F.lit(0)).alias("key"), F.get(parts, F.lit(1)).alias("description")
     )
     return last_wins(pairs, "key", "description", "at")
+
+
+def read_dictionary(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``dictionary_entries`` of text files."""
+    return dictionary_entries(read_lines(spark, path))

@@ -375,3 +375,20 @@ def test_blanks_in_a_dropped_column_are_no_value(spark, tmp_path):
     (tmp_path / "a.xlsx").write_bytes(workbook_bytes([("s", [["h", "xxxx"], ["v", " w "]])]))
     with pytest.raises(Exception, match="dropped column xxxx"):
         pipelines.convert_workbooks(spark, str(tmp_path))[0].collect()
+
+
+def test_a_report_is_observed_while_records_are_written(spark, tmp_path):
+    df = spark.range(1000).select(F.col("id").alias("rn"), F.lit("f").alias("file"), F.when(F.col("id") % 4 > 0, "a").otherwise("b").alias("kind"))
+    spark.sparkContext.setJobGroup("reported", "write")
+    try:
+        report = pipelines.write_and_report(df, lambda rows, watch: watch(rows).write.parquet(str(tmp_path / "o")), {"a": 750, "b": 9}, F.col("kind"))
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("reported"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs == 1 and sorted(map(tuple, report.collect())) == [("a", 750, 750, "GOOD"), ("b", 9, 250, "BOO")]
+    want = spark.read.parquet(str(tmp_path / "o")).groupBy("kind").count().collect()
+    assert {(r["kind"], r["count"]) for r in want} == {(r.record_type, r.actual_n) for r in report.collect()}
+    one = pipelines.write_and_report(df, lambda rows, watch: xml.write_records(rows, str(tmp_path / "x"), "r", watch=watch), {"r": 1000}, fatal=True)
+    assert one.first().verdict == "GOOD"
+    with pytest.raises(Exception, match="count differs for r found 1000"):
+        pipelines.write_and_report(df, lambda rows, watch: watch(rows).write.parquet(str(tmp_path / "p")), {"r": 999}, fatal=True).collect()

@@ -105,3 +105,25 @@ def test_a_row_of_cells_is_gathered_by_one_shuffle(spark):
 def test_cells_are_not_gathered(spark, name):
     """Packing the sample workbooks takes the one shuffle of those that read workbooks."""
     assert len(row_exchanges(queries.QUERIES[name](spark, SF))) == (name != "records_from_cells")
+
+
+WRITES = {"record_xml_round_trip", "tsv_round_trip", "charset_round_trip", "registry_round_trip", "dictionary_document", "workbook_files"}
+
+
+def test_no_job_runs_while_a_query_is_built(spark, monkeypatch):
+    """But for one that reads the schema of each parquet table. Those that write files and
+    read them back aside, and the one that collects the names of a registered type."""
+    opened = []
+    table = queries.table
+    monkeypatch.setattr(queries, "table", lambda *args: opened.append(args[-1]) or table(*args))
+    context = spark.sparkContext
+    try:
+        for name, query in queries.QUERIES.items():
+            if name not in WRITES | {"registered_workbook"}:
+                opened.clear()
+                context.setJobGroup(f"building {name}", "plans only")
+                query(spark, SF)
+                jobs = len(context.statusTracker().getJobIdsForGroup(f"building {name}"))
+                assert jobs <= len(opened), name
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
