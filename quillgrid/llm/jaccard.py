@@ -62,6 +62,19 @@ def shingle_set(text: str, width: int) -> np.ndarray:
     return np.unique(found)
 
 
+PARITY_LONGS = 8
+"""Longs of a parity sketch: 64 buckets each."""
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """For each of 512 buckets of hashes whether the set has an odd number of shingles in
+    it, as bits of longs. Where two sets differ in a bit they differ in a shingle of that
+    bucket, so the bits that differ are no more than the shingles that do."""
+    buckets = PARITY_LONGS * 64
+    odd = np.bincount((shingles >> np.uint64(64 - 9)).astype(np.int64), minlength=buckets) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 class Threshold:
     """Sizes and overlaps of a Jaccard threshold of ``percent`` / 100."""
 
@@ -165,9 +178,9 @@ def near_classes(
     shingles is at least ``percent`` / 100; ``component_id`` is the smallest id
     that links lead to. Words are split at ASCII blanks, A-Z in lower case.
     Documents without words have no shingles and link with nothing, not even
-    with each other. Rows that repeat an id are one document each and keep
-    their rows; they share their component only as far as links or the id do.
-    NULL ids are not allowed. An empty table gives an empty result; other
+    with each other. Rows that repeat an id keep their rows; those with words share
+    their component, whether their texts link or not, as they are reached by that id.
+    Rows without an id have no shingles and no component. An empty table gives an empty result; other
     columns are not read.
 
     Shingles are compared by 64-bit hashes, equal sets by 128 bits.
@@ -190,19 +203,27 @@ def near_classes(
             subsets.append(subset_keys(shingles, limits, boundary) if new else None)
         return [sizes, prints, keys, subsets]
 
-    sets = checkpointed(add_columns(rows, SET, "text", work, ["id"]))
-    # Equal sets are one node, named by the smallest id.
+    # Rows have numbers of their own, fixed by the checkpoint, since ids may repeat with other texts.
+    made = add_columns(rows, SET, "text", work, ["id"]).withColumnRenamed("id", "doc")
+    sets = checkpointed(made.withColumn("id", F.monotonically_increasing_id()))
+    # Equal sets are one node, named by the smallest number.
     firsts = sets.where("_print IS NOT NULL").groupBy("_print").agg(F.min("id").alias("node"), F.first("n_shingles").alias("n"))
-    nodes = checkpointed(sets.join(firsts, "_print").select("id", "node", "n"))
+    nodes = checkpointed(sets.join(firsts, "_print").select("id", "doc", "node", "n", "_print"))
     same = nodes.where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-
-    light = _light_links(sets, nodes)
-    on_lists = _shared_lists(sets, nodes)
-    heavy = _heavy_links(rows, on_lists, light, limits, width)
-    found = components(same.union(light).union(heavy))
-    out = sets.select(F.col("id"), F.col("n_shingles")).join(found, "id", "left")
-    return out.select(
-        F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id")
+    # Rows of one id are reached together.
+    ids = nodes.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("doc", "a")
+    told = nodes.join(ids, "doc").where("node <> a").select("a", F.col("node").alias("b"))
+
+    names = nodes.drop("doc", "_print")
+    light = _light_links(sets, names)
+    on_lists = _shared_lists(sets, names)
+    named = nodes.where("id = node").select("node", "doc", "_print")
+    heavy = _heavy_links(rows, named, on_lists, light, limits, width)
+    found = components(same.union(told).union(light).union(heavy))
+    out = sets.select("id", "doc", "n_shingles").join(found, "id", "left")
+    least = out.where("component IS NOT NULL").groupBy("component").agg(F.min("doc").alias("least"))
+    return out.join(least, "component", "left").select(
+        F.col("doc").alias(id_col), "n_shingles", F.coalesce("least", "doc").alias("component_id")
     )
 
 
@@ -236,15 +257,19 @@ def _shared_lists(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     return checkpointed(named.join(several, "key"))
 
 
-def _heavy_links(rows: DataFrame, on_lists: DataFrame, light: DataFrame, limits: Threshold, width: int) -> DataFrame:
+def _heavy_links(rows: DataFrame, named: DataFrame, on_lists: DataFrame, light: DataFrame, limits: Threshold, width: int) -> DataFrame:
     """Verified links among the sets on common lists."""
-    wanted = on_lists.select("node").distinct()
-    texts = rows.join(wanted, rows["id"] == wanted["node"]).groupBy("node").agg(F.first("text").alias("text"))
+    # Texts are fetched by id; of those with one id the print tells which is meant.
+    wanted = on_lists.select("node").distinct().join(named, "node").withColumnRenamed("doc", "id")
+    texts = rows.join(wanted, "id").select("node", "text", "_print")
 
     def work(texts: list[str | None]) -> list[list]:
-        return [[shingle_set(t or "", width).view(np.int64) for t in texts]]
+        sets = [shingle_set(t or "", width) for t in texts]
+        return [[x.view(np.int64) for x in sets], [parity(x) for x in sets], [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]]
 
-    shingles = checkpointed(add_columns(texts, "shingles array<long>", "text", work, ["node"]))
+    made = add_columns(texts, "shingles array<long>, parity array<long>, made binary", "text", work, ["node", "_print"])
+    fitting = made.where(F.col("made") == F.col("_print"))
+    shingles = checkpointed(fitting.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("parity").alias("parity")))
 
     # First two members of each list against all others on it.
     one, two = F.min("node").alias("one"), F.min_by("node", F.xxhash64("node")).alias("two")
@@ -261,11 +286,11 @@ def _heavy_links(rows: DataFrame, on_lists: DataFrame, light: DataFrame, limits:
     mixed = apart.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
     loose = checkpointed(apart.join(mixed, "key").select("node", "n", "part").distinct())
 
-    lists = _rare_lists(shingles, loose, limits).join(_met(first, hubs), "node", "left")
+    lists = _rare_lists(shingles, loose, limits).join(_met(first, hubs), "node", "left").join(shingles.select("node", "parity"), "node")
     lists = checkpointed(lists)
     x, y = lists.alias("x"), lists.alias("y")
     near = (100 * F.col("x.n") >= limits.percent * F.col("y.n")) & (100 * F.col("y.n") >= limits.percent * F.col("x.n"))
-    across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near & ~_too_far(limits) & ~F.arrays_overlap("x.before", "y.before"))
+    across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near & _alike(limits) & ~_too_far(limits) & ~F.arrays_overlap("x.before", "y.before"))
     across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     second = _verified(across, shingles, limits).where("linked").select("a", "b")
     return checkpointed(linked.union(second))
@@ -288,6 +313,13 @@ def _met(first: DataFrame, hubs: DataFrame) -> DataFrame:
     return known.select("node", F.slice("met", 1, MET).alias("met"))
 
 
+def _alike(limits: Threshold) -> Column:
+    """Whether the sketches of ``x`` and ``y`` differ in no more bits than linked sets may
+    in shingles: (1 - t) / (1 + t) of their sizes together."""
+    bits = sum((F.bit_count(F.get("x.parity", F.lit(i)).bitwiseXOR(F.get("y.parity", F.lit(i)))) for i in range(PARITY_LONGS)), F.lit(0))
+    return bits * (100 + limits.percent) <= (100 - limits.percent) * (F.col("x.n") + F.col("y.n"))
+
+
 def _too_far(limits: Threshold) -> Column:
     """Whether a hub that both sets ``x`` and ``y`` have met shows that they
     cannot link: what they share lies inside or outside of the hub, and is no

@@ -67,6 +67,25 @@ def test_ids_repeated_rows_and_empty_table(docs, prose):
     assert near_classes(docs([])).count() == 0
 
 
+def test_one_id_with_several_texts(docs, prose):
+    a, b = prose(1, 80), prose(2, 80)
+    for rows in ([(1, b), (1, a), (2, a + " tail"), (7, b + " tail")], [(1, a), (1, b), (2, a + " tail"), (7, b + " tail")]):
+        found = near_classes(docs([*rows, (9, None), (9, prose(3)), (4, "")])).collect()
+        assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (1, 1), (2, 1), (4, 4), (7, 1), (9, 9), (9, 9)]
+
+
+def test_parities_never_tell_linked_sets_apart():
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    for n, changed in ((5, 1), (70, 12), (3000, 400)):
+        x = np.unique(draw.integers(0, 2**63, n).astype(np.uint64) << np.uint64(1))
+        y = np.unique(np.concatenate([x[changed:], draw.integers(0, 2**63, changed).astype(np.uint64) << np.uint64(1)]))
+        bits = sum(int(v).bit_count() for v in (jaccard.parity(x) ^ jaccard.parity(y)).view(np.uint64))
+        differ = np.setxor1d(x, y).size
+        assert bits <= differ and (n > 100 or bits >= differ - 6)
+
+
 def test_drop_keeps_one_of_each_class_with_its_columns(docs, prose):
     t = prose(1, 100)
     df = docs([None, "", t, t + " more", prose(2), (None, t)]).withColumn("component_id", F.lit("mine"))

@@ -53,4 +53,4 @@ def test_an_empty_table_passes_all_stages(spark, docs):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
