@@ -136,12 +136,18 @@ def warc_round_trip(spark, sf_dir):
     archives = warc.pack_arc(table(spark, sf_dir, "pages"), "page_id", "url", "html")
     # The page of a record stands in its HTTP head, as text that reads back as the id.
     page = F.regexp_extract("http", r"\r\nX-Record: (-?\d*)\r\n", 1).try_cast("bigint").alias("page_id")
-    records = warc.convert_arc(archives).where("record_type <> 'warcinfo'").select("*", page)
+
+    def converted(columns: list[str] | None = None) -> DataFrame:
+        return warc.convert_arc(archives, columns=columns).where("record_type <> 'warcinfo'").select("*", page)
+
     path = shared_path(spark, "warc")
-    warc.write_warc(warc.revisits(records, "page_id"), path)
-    back = warc.read_warc(spark, path).select(
+    narrow = converted(["record_id", "record_type", "http", "payload_digest", "payload_bytes"])
+    warc.write_warc(warc.revisits(converted(), "page_id", narrow=narrow), path)
+    told = ["record_id", "record_type", "http", "payload_digest", "payload_bytes", "refers_to"]
+    back = warc.read_warc(spark, path, told).select(
         page, "payload_bytes", "payload_digest", "record_type", "record_id", F.col("refers_to").alias("original"),
     )
+    back = checkpointed(back)  # read once, used for the pages and for what revisits refer to
     responses = back.where("record_type = 'response'").select(F.col("record_id").alias("original"), F.col("page_id").alias("refers_to"))
     return back.drop("record_id").join(responses, "original", "left").drop("original")
 

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from quillgrid.llm.common import checkpointed
+
 # Fields of the header lines by version, fixed values of the ARC format.
 ARC_FIELDS = {
     "1": ["url", "ip", "date", "content_type", "length"],
@@ -114,8 +116,12 @@ def arc_records(name: str, data: bytes) -> Iterator[dict]:
         place = end + 1 + length
 
 
-def _records(archives: DataFrame, parse) -> DataFrame:
-    schema = T.StructType.fromDDL(RECORDS)
+def _records(archives: DataFrame, parse, columns: list[str] | None = None) -> DataFrame:
+    """The records of archives, or of these only ``columns``, so that payloads that are
+    not asked for stay in the task."""
+    fields = T.StructType.fromDDL(RECORDS).fields
+    schema = T.StructType([f for f in fields if columns is None or f.name in columns])
+    kept = schema.fieldNames()
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,8 +129,8 @@ def _records(archives: DataFrame, parse) -> DataFrame:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 held, size = [], 0
                 for record in parse(name or "", inflated(content.as_buffer().to_pybytes() if content.is_valid else b"")):
-                    held.append(record)
-                    size += len(record["payload"]) + 500
+                    held.append({c: record[c] for c in kept})
+                    size += len(record["payload"]) + 500 if "payload" in kept else 500
                     if size > 4_000_000:
                         yield pa.RecordBatch.from_pylist(held, arrow)
                         held, size = [], 0
@@ -134,15 +140,17 @@ def _records(archives: DataFrame, parse) -> DataFrame:
     return archives.mapInArrow(run, schema)
 
 
-def convert_arc(archives: DataFrame, name_col: str = "path", content_col: str = "content") -> DataFrame:
-    """The WARC records of ARC archives, one archive per row.
+def convert_arc(
+    archives: DataFrame, name_col: str = "path", content_col: str = "content", columns: list[str] | None = None
+) -> DataFrame:
+    """The WARC records of ARC archives, one archive per row, or only ``columns`` of them.
 
     Header lines are read by the version their file declares. A damaged line or
     a block shorter than declared stops the job; an empty or NULL archive has no
     records. A ``response`` keeps its HTTP head in ``http``, its body is the
     payload; other blocks are a ``resource``.
     """
-    return _records(archives.select(F.col(name_col).alias("n"), F.col(content_col).alias("c")), arc_records)
+    return _records(archives.select(F.col(name_col).alias("n"), F.col(content_col).alias("c")), arc_records, columns)
 
 
 def pack_arc(pages: DataFrame, order_col: str, url_col: str, html_col: str, size: int = 4_000_000) -> DataFrame:
@@ -185,7 +193,7 @@ def _archive(task: int, number: int, pages: list[tuple[str, str, bytes]]) -> pa.
     return pa.RecordBatch.from_pydict({"path": [name], "content": [b"".join(out)]})
 
 
-def revisits(records: DataFrame, order_col: str, at_least: int = 0) -> DataFrame:
+def revisits(records: DataFrame, order_col: str, at_least: int = 0, narrow: DataFrame | None = None) -> DataFrame:
     """Add ``refers_to``: of records with equal payloads of at least ``at_least``
     bytes, all but the one with the smallest ``order_col`` refer to its record id.
 
@@ -193,8 +201,12 @@ def revisits(records: DataFrame, order_col: str, at_least: int = 0) -> DataFrame
     digest comes from a partial aggregate; what is joined to it is narrow, and
     hot digests are left to adaptive skew handling. Records without an order, or
     with the very order of the first, stay as they are.
+
+    The narrow columns are written to the shared folder once, since they are read
+    twice. ``narrow`` hands them in where they can be had without the payloads.
     """
-    narrow = records.select("record_id", order_col, "payload_digest", "payload_bytes").where(F.col("payload_bytes") >= at_least)
+    told = records if narrow is None else narrow
+    narrow = checkpointed(told.select("record_id", order_col, "payload_digest", "payload_bytes").where(F.col("payload_bytes") >= at_least))
     firsts = narrow.groupBy("payload_digest", "payload_bytes").agg(
         F.min(order_col).alias("_first"), F.min_by("record_id", order_col).alias("refers_to")
     )
@@ -264,8 +276,9 @@ def warc_records(name: str, data: bytes) -> Iterator[dict]:
         place = end + 4 + length + 4
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all WARC files below ``path``; revisits name the record
-    they refer to in ``refers_to``. Blocks are held against their digests."""
+def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """The records of all WARC files below ``path``, or only ``columns`` of them; revisits
+    name the record they refer to in ``refers_to``. Blocks are held against their digests."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return _records(files, warc_records).withColumnRenamed("block_digest", "refers_to")
+    inner = None if columns is None else ["block_digest" if c == "refers_to" else c for c in columns]
+    return _records(files, warc_records, inner).withColumnRenamed("block_digest", "refers_to")

@@ -80,3 +80,20 @@ def test_empty_table(spark, tmp_path):
     assert records.count() == 0
     warc.write_warc(warc.revisits(records, "offset"), str(tmp_path / "o"))
     assert warc.read_warc(spark, str(tmp_path / "o")).count() == 0
+
+
+def test_the_query_as_registered(spark, tmp_path):
+    from quillgrid.llm.queries import QUERIES
+
+    html = {7: "a", 3: "a", 9: None, 2: "", 5: "é" * 1000, 8: "a", 1: "<p>b</p>"}
+    spark.createDataFrame([(i, f"http://x/{i}", h) for i, h in html.items()], "page_id long, url string, html string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    found = QUERIES["op5_warc"](spark, str(tmp_path))
+    assert set(found.columns) == {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"}
+    first = {}
+    for i in sorted(html):
+        first.setdefault(html[i] or "", i)
+    want = {
+        i: (len((h or "").encode()), digest((h or "").encode()), "response" if first[h or ""] == i else "revisit", None if first[h or ""] == i else first[h or ""])
+        for i, h in html.items()
+    }
+    assert {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found.collect()} == want
