@@ -39,6 +39,10 @@ SHALLOW = 8
 """Bytes beyond the common start that quicksort looks at before tries take over."""
 GROUP = 1000
 """Different segments of one anchor that one task sorts."""
+BITS = 10
+MOST = (1 << BITS) - 1
+"""A segment is shorter than this: it has at most 2 * length - GRAM bytes."""
+LONGEST = (MOST + GRAM) // 2
 CHUNK = 1 << 22
 """Bytes of a text that are hashed at a time."""
 
@@ -87,8 +91,8 @@ def segments(text: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int,
 
 
 def _packed(first: int, stop: int, at: int) -> int:
-    """A place in one number: 9 bits each for the length and for the way to the anchor."""
-    return first << 18 | (stop - first) << 9 | (at - first)
+    """A place in one number: ``BITS`` bits each for the length and for the way to the anchor."""
+    return first << 2 * BITS | (stop - first) << BITS | (at - first)
 
 
 # ---- deep-shallow sorting --------------------------------------------------
@@ -249,8 +253,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text. A row without an id counts like any other. An empty table gives an
     empty result; other columns are not read.
     """
-    if length < 2 * GRAM or length > 400:
-        raise ValueError(f"length from {2 * GRAM} to 400")
+    if not 2 * GRAM <= length <= LONGEST:
+        raise ValueError(f"length from {2 * GRAM} to {LONGEST}")
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text))
     rows = docs.select(F.col(id_col).alias("id"), key.alias("doc"), text.alias("text"))
@@ -282,8 +286,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     kinds = _stored(kinds, "segments")
     whole_segments = places.join(kinds.where("n > 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi")
-    first = F.shiftright("place", 18)
-    size = F.shiftright("place", 9).bitwiseAND(F.lit(511))
+    first = F.shiftright("place", 2 * BITS)
+    size = F.shiftright("place", BITS).bitwiseAND(F.lit(MOST))
     covered = whole_segments.select("doc", first.alias("begin"), (first + size).alias("end"))
 
     mixed = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
@@ -323,7 +327,7 @@ def _fetch(packed: DataFrame, border: DataFrame) -> DataFrame:
         for row in rows:
             raw, taken = zstandard.decompress(row["packed"]), []
             for w in row["wanted"]:
-                begin, size, at = w["place"] >> 18, w["place"] >> 9 & 511, w["place"] & 511
+                begin, size, at = w["place"] >> 2 * BITS, w["place"] >> BITS & MOST, w["place"] & MOST
                 taken.append({**w, "text": raw[begin : begin + size], "at": at})
             out.append(taken)
         return [out]
@@ -343,7 +347,7 @@ def _sorted(fetched: DataFrame, length: int) -> DataFrame:
             if len(held) > 1:
                 for (_, doc, n, place, *_), parts in zip(held, agreements([(h[4], h[5]) for h in held], length)):
                     if n == 1:  # the others are covered as a whole
-                        out += [(doc, (place >> 18) + a, (place >> 18) + b) for a, b in parts]
+                        out += [(doc, (place >> 2 * BITS) + a, (place >> 2 * BITS) + b) for a, b in parts]
             return out
 
         for batch in batches:
@@ -376,5 +380,5 @@ def _counted(fetched: DataFrame, length: int) -> DataFrame:
     strings = add_columns(fetched, "hashes array<binary>", "text", hashed, ["doc", "n", "place"])
     strings = strings.select("doc", "n", "place", F.posexplode("hashes").alias("i", "hash"))
     often = strings.groupBy("hash").count().where("count > 1").select("hash")
-    begin = F.shiftright("place", 18) + F.col("i")
+    begin = F.shiftright("place", 2 * BITS) + F.col("i")
     return strings.where("n = 1").join(often, "hash", "left_semi").select("doc", begin.alias("begin"), (begin + length).alias("end"))

@@ -100,3 +100,18 @@ def test_agreements_by_brute_force():
                     if l + rgt >= 10:
                         covered |= set(range(at - l, at + rgt))
             assert {k for a, b in found[x] for k in range(a, b)} == covered
+
+
+@pytest.mark.parametrize("length", [96, 279, 280, 300, 400, 535])
+def test_lengths_up_to_the_bound(docs, prose, length):
+    same, shared = prose(5, 400), prose(6, 200)
+    texts = [same[:1199], same[:1199], prose(7, 60) + shared + prose(8, 60), shared[: length + 7] + prose(9, 90), prose(10, 90)]
+    found = {r.doc_id: r for r in repeated_spans(docs(texts), length=length).collect()}
+    want = [kept for *_, kept in brute(texts, length)]
+    assert [bytes(found[i].kept) for i in range(len(texts))] == want
+
+
+def test_lengths_beyond_the_bound(docs):
+    for length in (95, 536):
+        with pytest.raises(ValueError, match="length from 96 to 535"):
+            repeated_spans(docs(["a"]), length=length)
