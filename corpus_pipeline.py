@@ -23,7 +23,7 @@ from quillgrid.llm.queries import learns_language, tokenizer_path
 
 def told_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told. Those without a letter go, and those
-    that two languages pack equally well."""
+    that two languages pack nearly equally well."""
     return language.accepted(docs, learns_language())
 
 
