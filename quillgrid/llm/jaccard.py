@@ -187,7 +187,7 @@ def near_classes(
     """
     limits = Threshold(percent)
     text = F.when(F.col(id_col).isNotNull(), F.col(text_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
     boundary = _boundary(rows, limits, width)
 
     def work(texts: list[str | None]) -> list[list]:
@@ -204,20 +204,20 @@ def near_classes(
         return [sizes, prints, keys, subsets]
 
     # Rows have numbers of their own, fixed by the checkpoint, since ids may repeat with other texts.
-    made = add_columns(rows, SET, "text", work, ["id"]).withColumnRenamed("id", "doc")
+    made = add_columns(rows, SET, "text", work, ["id", "hash"]).withColumnRenamed("id", "doc")
     sets = checkpointed(made.withColumn("id", F.monotonically_increasing_id()))
     # Equal sets are one node, named by the smallest number.
     firsts = sets.where("_print IS NOT NULL").groupBy("_print").agg(F.min("id").alias("node"), F.first("n_shingles").alias("n"))
-    nodes = checkpointed(sets.join(firsts, "_print").select("id", "doc", "node", "n", "_print"))
+    nodes = checkpointed(sets.join(firsts, "_print").select("id", "doc", "hash", "node", "n"))
     same = nodes.where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     # Rows of one id are reached together.
     ids = nodes.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("doc", "a")
     told = nodes.join(ids, "doc").where("node <> a").select("a", F.col("node").alias("b"))
 
-    names = nodes.drop("doc", "_print")
+    names = nodes.drop("doc", "hash")
     light = _light_links(sets, names)
     on_lists = _shared_lists(sets, names)
-    named = nodes.where("id = node").select("node", "doc", "_print")
+    named = nodes.where("id = node").select("node", "doc", "hash")
     heavy = _heavy_links(rows, named, on_lists, light, limits, width)
     found = components(same.union(told).union(light).union(heavy))
     out = sets.select("id", "doc", "n_shingles").join(found, "id", "left")
@@ -259,17 +259,16 @@ def _shared_lists(sets: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _heavy_links(rows: DataFrame, named: DataFrame, on_lists: DataFrame, light: DataFrame, limits: Threshold, width: int) -> DataFrame:
     """Verified links among the sets on common lists."""
-    # Texts are fetched by id; of those with one id the print tells which is meant.
+    # Texts are fetched by id and hash, since one id may have several. Copies of a row fall
+    # together where the join has dealt them.
     wanted = on_lists.select("node").distinct().join(named, "node").withColumnRenamed("doc", "id")
-    texts = rows.join(wanted, "id").select("node", "text", "_print")
+    texts = rows.join(wanted, ["id", "hash"]).groupBy("id", "hash").agg(F.first("node").alias("node"), F.first("text").alias("text"))
 
     def work(texts: list[str | None]) -> list[list]:
         sets = [shingle_set(t or "", width) for t in texts]
-        return [[x.view(np.int64) for x in sets], [parity(x) for x in sets], [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]]
+        return [[x.view(np.int64) for x in sets], [parity(x) for x in sets]]
 
-    made = add_columns(texts, "shingles array<long>, parity array<long>, made binary", "text", work, ["node", "_print"])
-    fitting = made.where(F.col("made") == F.col("_print"))
-    shingles = checkpointed(fitting.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("parity").alias("parity")))
+    shingles = checkpointed(add_columns(texts, "shingles array<long>, parity array<long>", "text", work, ["node"]))
 
     # First two members of each list against all others on it.
     one, two = F.min("node").alias("one"), F.min_by("node", F.xxhash64("node")).alias("two")
