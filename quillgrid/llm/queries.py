@@ -12,6 +12,7 @@ from quillgrid.llm.common import checkpointed, shared_path, table
 from quillgrid.llm.decontaminate import find_passages
 from quillgrid.llm.exact_dedup import exact_groups
 from quillgrid.llm.jaccard import near_classes
+from quillgrid.llm.oracles import REPAIR_SQL, quality_sql
 from quillgrid.llm.sharding import shard
 from quillgrid.llm.suffix_dedup import repeated_spans
 from quillgrid.llm.whitening import fit, whiten
@@ -200,13 +201,13 @@ def damaged(rows: DataFrame) -> DataFrame:
     ).drop("copy")
 
 
-@query("op12_conversation_repair")
+@query("op12_conversation_repair", REPAIR_SQL)
 def conversation_repair(spark, sf_dir):
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return conversations.report(damaged(given), given)
 
 
-@query("op13_quality_rules")
+@query("op13_quality_rules", quality_sql())
 def quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     measured = checkpointed(quality.measure(docs))
