@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
@@ -54,6 +55,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete what is no longer needed: shuffle files of frames that have been
+    checkpointed since, and checkpoints no frame refers to (where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set).
+
+    Spark deletes them when the driver's JVM finds them unused. A driver that makes few
+    objects would find that late, and disks of executors would fill meanwhile.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder that all executors share; only a local session
     without ``spark.checkpoint.dir`` gets a temporary one."""

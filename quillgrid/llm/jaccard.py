@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillgrid.llm.common import add_columns, checkpointed, own_names
+from quillgrid.llm.common import add_columns, checkpointed, own_names, release
 from quillgrid.llm.components import components
 
 MOST_LIGHT = 40
@@ -206,6 +206,7 @@ def near_classes(
     # Rows have numbers of their own, fixed by the checkpoint, since ids may repeat with other texts.
     made = add_columns(rows, SET, "text", work, ["id", "hash"]).withColumnRenamed("id", "doc")
     sets = checkpointed(made.withColumn("id", F.monotonically_increasing_id()))
+    every = checkpointed(sets.select("id", "doc", "n_shingles"))
     # Equal sets are one node, named by the smallest number.
     firsts = sets.where("_print IS NOT NULL").groupBy("_print").agg(F.min("id").alias("node"), F.first("n_shingles").alias("n"))
     nodes = checkpointed(sets.join(firsts, "_print").select("id", "doc", "hash", "node", "n"))
@@ -217,10 +218,13 @@ def near_classes(
     names = nodes.drop("doc", "hash")
     light = _light_links(sets, names)
     on_lists = _shared_lists(sets, names)
+    del made, sets, firsts, names  # keys and subsets have been read
+    release(docs.sparkSession)
     named = nodes.where("id = node").select("node", "doc", "hash")
     heavy = _heavy_links(rows, named, on_lists, light, limits, width)
     found = components(same.union(told).union(light).union(heavy))
-    out = sets.select("id", "doc", "n_shingles").join(found, "id", "left")
+    release(docs.sparkSession)
+    out = every.join(found, "id", "left")
     least = out.where("component IS NOT NULL").groupBy("component").agg(F.min("doc").alias("least"))
     return out.join(least, "component", "left").select(
         F.col("doc").alias(id_col), "n_shingles", F.coalesce("least", "doc").alias("component_id")
@@ -250,11 +254,15 @@ def _light_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
 def _shared_lists(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """``(key, node, n)`` of the lists with at least two different sets."""
     listed = sets.where(F.size("_keys") > 0).select("id", F.explode("_keys").alias("key"))
-    shared = listed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most").select("key")
+    # Most lists hold one set: for these nothing but the key is shuffled, and once.
+    shared = listed.groupBy("key").count().where("count > 1").select("key")
     named = checkpointed(listed.join(shared, "key").join(nodes, "id").select("key", "node", "n").distinct())
     # Copies that different tasks have listed are one set by now.
     several = named.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key")
-    return checkpointed(named.join(several, "key"))
+    lists = checkpointed(named.join(several, "key"))
+    del named, several, listed, shared
+    release(nodes.sparkSession)
+    return lists
 
 
 def _heavy_links(rows: DataFrame, named: DataFrame, on_lists: DataFrame, light: DataFrame, limits: Threshold, width: int) -> DataFrame:
@@ -269,6 +277,8 @@ def _heavy_links(rows: DataFrame, named: DataFrame, on_lists: DataFrame, light:
         return [[x.view(np.int64) for x in sets], [parity(x) for x in sets]]
 
     shingles = checkpointed(add_columns(texts, "shingles array<long>, parity array<long>", "text", work, ["node"]))
+    del texts, wanted
+    release(rows.sparkSession)
 
     # First two members of each list against all others on it.
     one, two = F.min("node").alias("one"), F.min_by("node", F.xxhash64("node")).alias("two")
@@ -277,6 +287,8 @@ def _heavy_links(rows: DataFrame, named: DataFrame, on_lists: DataFrame, light:
     pairs = pairs.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     first = checkpointed(_verified(pairs, shingles, limits))
     linked = first.where("linked").select("a", "b")
+    del pairs
+    release(rows.sparkSession)
 
     # What these and the light links leave apart on some list.
     parts = components(linked.union(light))
@@ -287,6 +299,8 @@ def _heavy_links(rows: DataFrame, named: DataFrame, on_lists: DataFrame, light:
 
     lists = _rare_lists(shingles, loose, limits).join(_met(first, hubs), "node", "left").join(shingles.select("node", "parity"), "node")
     lists = checkpointed(lists)
+    del apart, mixed, loose, parts
+    release(rows.sparkSession)
     x, y = lists.alias("x"), lists.alias("y")
     near = (100 * F.col("x.n") >= limits.percent * F.col("y.n")) & (100 * F.col("y.n") >= limits.percent * F.col("x.n"))
     across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near & _alike(limits) & ~_too_far(limits) & ~F.arrays_overlap("x.before", "y.before"))
