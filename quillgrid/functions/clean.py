@@ -141,8 +141,11 @@ def normalise_header(c: Column | str) -> Column:
     """
     c = _col(c)
     out = F.when(c.startswith("f"), F.regexp_replace(c, "\\Af([0-9]) ", "f0$1_")).otherwise(c)
-    out = F.regexp_replace(_swap(out, (" ", "_"), ("#", "_No_")), "['\";()/\\\\]", "")
-    return F.regexp_replace(_swap(out, ("&apos", "")), "__+", "_")
+    # Blanks become underscores and the other marks go, in one pass.
+    out = _swap(F.translate(out, " '\";()/\\", "_"), ("#", "_No_"), ("&apos", ""))
+    # Only runs are left to a regular expression; where there were none of what makes them, there is none.
+    runs = c.contains("__") | c.contains(" ") | c.contains("#") | c.contains("_")
+    return F.when(runs, F.regexp_replace(out, "__+", "_")).otherwise(out)
 
 
 def element_name(header: Column | str, col_no: Column | str) -> Column:
