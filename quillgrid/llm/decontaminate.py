@@ -4,8 +4,8 @@ The benchmark is cut into windows of consecutive words. Its windows are the
 broadcast side: the driver measures the benchmark first and reads it in blocks
 of at most ``BLOCK_BYTES`` of text, each of which scans all documents once, so a
 large benchmark means more passes, never a larger broadcast. Documents are not
-moved. Words are numbered by the vocabulary of the block; windows are looked up
-by a rolling hash of these numbers, and each hit is verified number by number.
+moved. Windows are looked up by a rolling hash of their words, and each hit is
+verified word by word.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,8 @@ from quillgrid.llm.common import add_columns, checkpointed, once_per_worker, own
 
 WINDOW = 13
 BLOCK_BYTES = 16_000_000
+MAYBE = 1 << 22
+"""Entries of the table that tells at one look of most windows that they are none."""
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 """A word of text whose A-Z are in lower case: digits, letters and all beyond ASCII."""
 
@@ -34,57 +37,82 @@ def words_of(text: str) -> list[bytes]:
     return WORD.findall(text.encode().lower())
 
 
-def _rolling(ids: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each ``size`` consecutive numbers."""
-    n = ids.size - size + 1
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def _rolling(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each ``size`` consecutive words, from theirs."""
+    n = hashes.size - size + 1
     found, factor = np.zeros(n, np.uint64), np.uint64(1)
     with np.errstate(over="ignore"):
         for j in range(size):
             factor = factor * _STEP + np.uint64(2 * j + 1)
-            found += ids[j : j + n] * factor
-    return found
+            found += hashes[j : j + n] * factor
+        return found ^ (found >> np.uint64(29))
 
 
 class Windows:
-    """The windows of one block of benchmark items."""
+    """The windows of one block of benchmark items, as arrays: sixteen bytes for each
+    beside the words of the block, so a full block takes less than 200 MB."""
 
     def __init__(self, items: list[tuple[int, str]], window: int) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.items: dict[bytes, set[int]] = {}
-        by_size: dict[int, list[np.ndarray]] = {}
-        for item, text in items:
+        self.ids = np.array([item for item, _ in items], np.int64)
+        kept: list[bytes] = []
+        starts: list[np.ndarray] = []
+        by_size: dict[int, list[tuple[np.ndarray, np.ndarray, int]]] = {}
+        length = count = 0
+        for number, (_, text) in enumerate(items):
             words = words_of(text)
             if not words:
                 continue
-            ids = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words], np.uint64)
-            size = min(window, ids.size)
-            by_size.setdefault(size, []).append(_rolling(ids, size))
-            for i in range(ids.size - size + 1):
-                self.items.setdefault(ids[i : i + size].tobytes(), set()).add(item)
-        self.hashes = {size: np.unique(np.concatenate(h)) for size, h in by_size.items()}
+            size = min(window, len(words))
+            found = _rolling(_hashes(words), size)
+            by_size.setdefault(size, []).append((found, np.arange(count, count + found.size, dtype=np.int32), number))
+            sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            starts.append((length + np.cumsum(sizes) - sizes).astype(np.int32))
+            kept.append(b" ".join(words) + b" ")
+            length, count = length + len(kept[-1]), count + len(words)
+        self.text, self.starts = b"".join(kept), np.append(np.concatenate(starts) if starts else np.empty(0, np.int32), length)
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size, parts in by_size.items():
+            hashes = np.concatenate([h for h, _, _ in parts])
+            order = np.argsort(hashes, kind="stable")
+            hashes = hashes[order]
+            place = np.concatenate([p for _, p, _ in parts])[order]
+            item = np.concatenate([np.full(h.size, n, np.int32) for h, _, n in parts])[order]
+            maybe = np.zeros(MAYBE, bool)  # most windows of a document are told to be none by one look
+            maybe[hashes & np.uint64(MAYBE - 1)] = True
+            self.tables[size] = hashes, place, item, maybe
 
     def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[int]]:
         """Which words lie in a window, and the items whose windows occur."""
-        get = self.numbers.get
-        ids = np.array([get(w, 0) for w in words], np.uint64)
-        hit, items = np.zeros(ids.size + 1, np.int64), set()
-        unknown = np.concatenate([[0], np.cumsum(ids == 0)])
-        for size, hashes in self.hashes.items():
-            if ids.size < size:
+        own, hit, items = _hashes(words), np.zeros(len(words) + 1, np.int64), set()
+        for size, (hashes, place, item, maybe) in self.tables.items():
+            if len(words) < size:
                 continue
-            start = np.flatnonzero(unknown[size:] == unknown[:-size])
+            there = _rolling(own, size)
+            start = np.flatnonzero(maybe[there & np.uint64(MAYBE - 1)])
             if not start.size:
                 continue
-            there = _rolling(ids, size)[start]
-            place = np.minimum(np.searchsorted(hashes, there), hashes.size - 1)
-            for i in start[hashes[place] == there]:
-                named = self.items.get(ids[i : i + size].tobytes())
-                if named:
-                    items |= named
+            low, high = np.searchsorted(hashes, there[start]), np.searchsorted(hashes, there[start], "right")
+            told: dict[bytes, bool] = {}
+            for i, a, b in zip(start.tolist(), low.tolist(), high.tolist()):
+                if a == b:
+                    continue
+                said = b" ".join(words[i : i + size])
+                if said not in told:  # the words decide, not their hashes
+                    same = [k for k in range(a, b) if self._window(place[k], size) == said]
+                    told[said] = bool(same)
+                    items.update(self.ids[item[same]].tolist())
+                if told[said]:
                     hit[i] += 1
                     hit[i + size] -= 1
         return np.cumsum(hit)[:-1] > 0, items
 
+    def _window(self, place: int, size: int) -> bytes:
+        return self.text[self.starts[place] : self.starts[place + size] - 1]
+
 
 def _spans(mask: np.ndarray) -> list[tuple[int, int]]:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))

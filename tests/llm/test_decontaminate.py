@@ -63,3 +63,29 @@ def test_empty_tables_and_repeated_rows(spark, docs):
     none = find_passages(docs(["a b"]), bench(spark, [])).first()
     assert (none.n_words, none.n_hit, none["items"], none.contaminated) == (2, 0, [], False)
     assert [r.n_hit for r in find_passages(docs([(1, "a b"), (1, "a b")]), bench(spark, [(1, "a b")])).collect()] == [2, 2]
+
+
+def test_a_full_block_takes_little_memory():
+    import subprocess
+    import sys
+
+    code = """
+import random, resource, sys
+sys.path.insert(0, %r)
+from quillgrid.llm.decontaminate import BLOCK_BYTES, Windows
+r = random.Random(1)
+def peak():
+    return resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+items = [(i, " ".join("%%010x" %% r.getrandbits(40) for _ in range(1000))) for i in range(BLOCK_BYTES // 11000)]
+before = peak()
+windows = Windows(items, 13)
+words = [w.encode() for w in items[7][1].split()]
+mask, found = windows.scan([b"x", *words[:20], b"y"])
+assert found == {7} and mask.tolist() == [False] + [True] * 20 + [False]
+print(peak() - before)
+"""
+    import os
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code % root], capture_output=True, text=True, timeout=300)
+    assert float(done.stdout) < 200, (done.stdout, done.stderr[-500:])
