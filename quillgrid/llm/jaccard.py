@@ -255,7 +255,8 @@ def _shared_lists(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """``(key, node, n)`` of the lists with at least two different sets."""
     listed = sets.where(F.size("_keys") > 0).select("id", F.explode("_keys").alias("key"))
     # Most lists hold one set: for these nothing but the key is shuffled, and once.
-    shared = listed.groupBy("key").count().where("count > 1").select("key")
+    shared = checkpointed(listed.groupBy("key").count().where("count > 1").select("key"))
+    release(nodes.sparkSession)
     named = checkpointed(listed.join(shared, "key").join(nodes, "id").select("key", "node", "n").distinct())
     # Copies that different tasks have listed are one set by now.
     several = named.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key")
