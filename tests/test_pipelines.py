@@ -392,3 +392,35 @@ def test_a_report_is_observed_while_records_are_written(spark, tmp_path):
     assert one.first().verdict == "GOOD"
     with pytest.raises(Exception, match="count differs for r found 1000"):
         pipelines.write_and_report(df, lambda rows, watch: watch(rows).write.parquet(str(tmp_path / "p")), {"r": 999}, fatal=True).collect()
+
+
+def test_rows_and_cells_of_workbooks_give_the_same(spark, tmp_path, registry):
+    from quillgrid.sources.workbook import cells_of, read_workbook_rows
+
+    sheets = [
+        *BOOK, ("three", [[None, "h 1", "h&2", "h 1"], [None, " a ", "0", ""], [None, None, None, None], [None, "x\r\ny", "<b>", "&lt;"]]),
+        ("four", [["only", "header"]]),
+    ]
+    (tmp_path / "a b.xlsx").write_bytes(workbook_bytes(sheets))
+    rows = read_workbook_rows(spark, str(tmp_path / "a b.xlsx"))
+    cells = cells_of(rows)
+    for made in (tabular.tsv_lines, tabular.audit_cells, lambda x: xml.row_documents(x, {"by": "t"}),
+                 lambda x: pipelines.convert_registered_cells(x, registry, "dcf", 2), lambda x: registry_from_header(x, F.col("sheet_name"))):
+        by_row, by_cell = made(rows), made(cells)
+        names = sorted(by_cell.columns)
+        assert sorted(by_row.columns) == names
+        assert sorted(map(str, by_row.select(names).collect())) == sorted(map(str, by_cell.select(names).collect()))
+
+
+def test_rows_to_records(spark):
+    from quillgrid.operators.reshape import cells_to_records, rows_to_records
+
+    rows = spark.createDataFrame(
+        [("f", 1, 1, ["a", "b", "a"], ["1", None, "3"]), ("f", 1, 2, ["a", "b", "a"], [None, "x", None]), ("f", 1, 3, [], [])],
+        "file string, sheet_no int, n int, header array<string>, values array<string>")
+    entries = F.transform(F.arrays_zip("header", "values"), lambda p: F.struct(p["header"].alias("element"), p["values"].alias("value")))
+    assert {r.n: r.record for r in rows_to_records(rows, entries).collect()} == {1: {"a": "3"}, 2: {"b": "x"}, 3: {}}
+    named = {r.n: (r.a, r.b, r.z) for r in rows_to_records(rows, entries, ["a", "b", "z"]).collect()}
+    assert named == {1: ("3", None, None), 2: (None, "x", None), 3: (None, None, None)}
+    cells = rows.select("file", "sheet_no", "n", F.posexplode(entries).alias("col", "e")).select("file", "sheet_no", "n", "col", "e.*").where("value IS NOT NULL")
+    assert {r.n: r.record for r in cells_to_records(cells).collect()} == {1: {"a": "3"}, 2: {"b": "x"}}
