@@ -303,8 +303,7 @@ def _heavy_links(rows: DataFrame, named: DataFrame, on_lists: DataFrame, light:
     del apart, mixed, loose, parts
     release(rows.sparkSession)
     x, y = lists.alias("x"), lists.alias("y")
-    near = (100 * F.col("x.n") >= limits.percent * F.col("y.n")) & (100 * F.col("y.n") >= limits.percent * F.col("x.n"))
-    across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near & _alike(limits) & ~_too_far(limits) & ~F.arrays_overlap("x.before", "y.before"))
+    across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & _near(limits) & _alike(limits) & ~_too_far(limits) & ~F.arrays_overlap("x.before", "y.before"))
     across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     second = _verified(across, shingles, limits).where("linked").select("a", "b")
     return checkpointed(linked.union(second))
@@ -365,11 +364,22 @@ def _rare_lists(shingles: DataFrame, loose: DataFrame, limits: Threshold) -> Dat
     return listed.withColumn("before", before).drop("sets", "number")
 
 
+def _near(limits: Threshold) -> Column:
+    """Whether the sizes of ``x`` and ``y`` allow a link."""
+    x, y = F.col("x.n"), F.col("y.n")
+    return (100 * x >= limits.percent * y) & (100 * y >= limits.percent * x)
+
+
 def _verified(pairs: DataFrame, shingles: DataFrame, limits: Threshold) -> DataFrame:
-    """The pairs ``(a, b)`` with their exact verdict ``linked``."""
+    """The pairs ``(a, b)`` with their exact verdict ``linked``. Those that sizes or
+    sketches rule out are left out before any shingles are moved."""
+    told = F.struct(F.size("shingles").alias("n"), "parity")
+    close = pairs.join(shingles.select(F.col("node").alias("a"), told.alias("x")), "a")
+    close = close.join(shingles.select(F.col("node").alias("b"), told.alias("y")), "b")
+    close = close.where(_near(limits) & _alike(limits)).select("a", "b")
     a = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
     b = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
-    both = pairs.join(b, "b").join(a, "a")
+    both = close.join(b, "b").join(a, "a")
     shared = F.size(F.array_intersect("s", "t"))
     union = F.size("s") + F.size("t") - shared
     return both.select("a", "b", shared.alias("shared"), (100 * shared >= limits.percent * union).alias("linked"))
