@@ -62,16 +62,17 @@ def shingle_set(text: str, width: int) -> np.ndarray:
     return np.unique(found)
 
 
-PARITY_LONGS = 8
-"""Longs of a parity sketch: 64 buckets each."""
+LEAST_BUCKETS = 512
 
 
 def parity(shingles: np.ndarray) -> np.ndarray:
-    """For each of 512 buckets of hashes whether the set has an odd number of shingles in
+    """For each of some buckets of hashes whether the set has an odd number of shingles in
     it, as bits of longs. Where two sets differ in a bit they differ in a shingle of that
-    bucket, so the bits that differ are no more than the shingles that do."""
-    buckets = PARITY_LONGS * 64
-    odd = np.bincount((shingles >> np.uint64(64 - 9)).astype(np.int64), minlength=buckets) & 1
+    bucket, so the bits that differ are no more than the shingles that do. There are at
+    least two buckets a shingle, a power of two, told by the low bits of the hash: of half
+    as many buckets the sketch is the exclusive or of both halves."""
+    buckets = max(LEAST_BUCKETS, 1 << (2 * shingles.size - 1).bit_length()) if shingles.size else LEAST_BUCKETS
+    odd = np.bincount((shingles & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -328,8 +329,16 @@ def _met(first: DataFrame, hubs: DataFrame) -> DataFrame:
 
 def _alike(limits: Threshold) -> Column:
     """Whether the sketches of ``x`` and ``y`` differ in no more bits than linked sets may
-    in shingles: (1 - t) / (1 + t) of their sizes together."""
-    bits = sum((F.bit_count(F.get("x.parity", F.lit(i)).bitwiseXOR(F.get("y.parity", F.lit(i)))) for i in range(PARITY_LONGS)), F.lit(0))
+    in shingles: (1 - t) / (1 + t) of their sizes together. Sizes that may link have
+    sketches of one length, or one of twice the other's."""
+    least = F.least(F.size("x.parity"), F.size("y.parity"))
+
+    def folded(sketch: str) -> Column:
+        halves = F.zip_with(F.slice(sketch, F.lit(1), least), F.slice(sketch, least + 1, least), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(sketch) == least, F.col(sketch)).otherwise(halves)
+
+    differ = F.zip_with(folded("x.parity"), folded("y.parity"), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    bits = F.aggregate(differ, F.lit(0), lambda n, b: n + b)
     return bits * (100 + limits.percent) <= (100 - limits.percent) * (F.col("x.n") + F.col("y.n"))
 
 

@@ -78,12 +78,31 @@ def test_parities_never_tell_linked_sets_apart():
     import numpy as np
 
     draw = np.random.default_rng(1)
-    for n, changed in ((5, 1), (70, 12), (3000, 400)):
-        x = np.unique(draw.integers(0, 2**63, n).astype(np.uint64) << np.uint64(1))
-        y = np.unique(np.concatenate([x[changed:], draw.integers(0, 2**63, changed).astype(np.uint64) << np.uint64(1)]))
-        bits = sum(int(v).bit_count() for v in (jaccard.parity(x) ^ jaccard.parity(y)).view(np.uint64))
+    for n, changed in ((5, 1), (70, 12), (256, 30), (3000, 400)):
+        x = np.unique(draw.integers(0, 2**63, n).astype(np.uint64) << np.uint64(1) | np.uint64(1))
+        x ^= x >> np.uint64(7)
+        y = np.unique(np.concatenate([x[changed:], draw.integers(0, 2**63, changed + 3).astype(np.uint64)]))
+        p, q = jaccard.parity(x), jaccard.parity(y)
+        while q.size > p.size:
+            q = q[: q.size // 2] ^ q[q.size // 2 :]
+        bits = sum(int(v).bit_count() for v in (p ^ q).view(np.uint64))
         differ = np.setxor1d(x, y).size
-        assert bits <= differ and (n > 100 or bits >= differ - 6)
+        assert differ / 2 < bits <= differ
+
+
+def test_sketches_of_different_lengths_fold(spark):
+    import numpy as np
+    from quillgrid.llm.jaccard import Threshold, _alike
+
+    draw = np.random.default_rng(2)
+    for n, m in ((256, 260), (250, 300), (900, 1030), (70, 80)):
+        x = draw.integers(0, 2**63, n).astype(np.uint64)
+        y = np.concatenate([x, draw.integers(0, 2**63, m - n).astype(np.uint64)])
+        z = draw.integers(0, 2**63, m).astype(np.uint64)
+        rows = [(n, jaccard.parity(x).tolist(), m, jaccard.parity(other).tolist()) for other in (y, z)]
+        df = spark.createDataFrame(rows, "n int, p array<long>, m int, q array<long>")
+        pairs = df.select(F.struct("n", F.col("p").alias("parity")).alias("x"), F.struct(F.col("m").alias("n"), F.col("q").alias("parity")).alias("y"))
+        assert [r[0] for r in pairs.select(_alike(Threshold(80))).collect()] == [True, False]
 
 
 def test_drop_keeps_one_of_each_class_with_its_columns(docs, prose):
