@@ -28,7 +28,7 @@ def test_against_brute_force(spark, tmp_path):
     rows = [r.asDict() for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     model = corpus_pipeline.language.learn(spark.read.parquet(f"{folder}/documents.parquet"), corpus_pipeline.learns_language())
     languages = corpus_pipeline.language.Languages(model)
-    kept = [r for r in rows if languages.predict(r["text"] or "")[0] != "und" and languages.predict(r["text"] or "")[2] > 0]
+    kept = [r for r in rows if languages.predict(r["text"] or "")[0] != "und" and languages.predict(r["text"] or "")[2] > corpus_pipeline.language.MIN_MARGIN]
     first = {}
     for r in sorted(kept, key=lambda r: r["doc_id"]):
         first.setdefault(lower(r["text"]), r)
