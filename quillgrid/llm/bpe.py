@@ -301,8 +301,8 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     said, key = _shared(docs, vocabulary)
 
     def work(texts: list[str | None]) -> list[list]:
+        tables = once_per_worker(("bpe", key, "tables"), lambda: Vocabulary(said.value))
         gc.disable()  # millions of strings and no cycles
-        tables = once_per_worker(("bpe", key), lambda: Vocabulary(said.value))
         return [tables.encode([t or "" for t in texts])]
 
     return add_columns(docs, f"`{ids_col}` array<int>", text_col, work)
@@ -317,7 +317,7 @@ def decode(docs: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str
     said, key = _shared(docs, vocabulary)
 
     def work(ids: list[list[int] | None]) -> list[list]:
-        decoder = once_per_worker(("bpe decoder", key), lambda: Decoder(said.value))
+        decoder = once_per_worker(("bpe", key, "decoder"), lambda: Decoder(said.value))
         return [["" if x is None else decoder.decode(x) for x in ids]]
 
     return add_columns(docs, f"`{text_col}` string", ids_col, work)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import sys
 import tempfile
+import time
 import types
 import uuid
 from collections.abc import Callable, Iterator
@@ -55,15 +56,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+LET_GO_S = 10
+"""Seconds that ``release`` waits at most."""
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete what is no longer needed: shuffle files of frames that have been
     checkpointed since, and checkpoints no frame refers to (where
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set).
 
     Spark deletes them when the driver's JVM finds them unused. A driver that makes few
-    objects would find that late, and disks of executors would fill meanwhile.
+    objects would find that late, and disks of executors would fill meanwhile. What Python
+    has dropped is let go by a thread of py4j that looks for it once a second, so this waits
+    until that thread has nothing left; the JVM would still find all of it in use otherwise.
     """
     gc.collect()
+    dropped, end = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None), time.time() + LET_GO_S
+    while dropped and time.time() < end:
+        time.sleep(0.02)
+    time.sleep(0.1)  # for the last one, which is on its way
     spark.sparkContext._jvm.System.gc()
 
 
@@ -76,16 +87,22 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{root or tempfile.mkdtemp(prefix='shared-')}/{label}-{uuid.uuid4().hex}"
 
 
-def once_per_worker(key: object, build: Callable[[], Any]) -> Any:
-    """``build()``, made once in each Python worker and kept for its later tasks.
+def once_per_worker(key: tuple, build: Callable[[], Any]) -> Any:
+    """``build()``, made once in each Python worker and kept for its later tasks, until
+    the worker is asked for something whose key begins with two other parts: workers
+    outlive the stages of a job, and what these have kept would add up.
 
     Functions sent by value lose their globals from task to task, so the store
     is a module of its own.
     """
-    store = sys.modules.setdefault("_quillgrid_kept", types.ModuleType("_quillgrid_kept")).__dict__
-    if key not in store:
-        store[key] = build()
-    return store[key]
+    store = sys.modules.setdefault("_quillgrid_kept", types.ModuleType("_quillgrid_kept"))
+    if getattr(store, "owner", None) != key[:2]:
+        store.owner, store.found = key[:2], {}
+        gc.enable()  # tasks may have turned it off
+        gc.collect()
+    if key not in store.found:
+        store.found[key] = build()
+    return store.found[key]
 
 
 SLICE_BYTES = 2_000_000

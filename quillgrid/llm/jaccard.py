@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -99,12 +100,17 @@ class Threshold:
     def class_of(self, n: int) -> int:
         return bisect_right(self.starts, n) - 1
 
-    def blocks(self, size_class: int) -> int:
-        """Blocks for pairs whose smaller set is of this class: two more than
-        the elements in which they may differ."""
+    def differing(self, size_class: int) -> int:
+        """Elements in which pairs may differ whose smaller set is of this class."""
         a = self.starts[size_class + 1] - 1
         together = a + self.largest_partner(a)
-        return (100 - self.percent) * together // (100 + self.percent) + 2
+        return (100 - self.percent) * together // (100 + self.percent)
+
+    def blocks(self, size_class: int) -> int:
+        """Blocks for pairs whose smaller set is of this class. They agree in all but
+        ``differing`` blocks, of which some may be empty: hence a tenth more."""
+        differing = self.differing(size_class)
+        return differing + 2 + differing // 10
 
     def subset_sizes(self, n: int, boundary: int) -> list[tuple[int, int, int]]:
         """``(smaller, larger, shared)`` of the light pairs that a set of size n may be in."""
@@ -145,10 +151,10 @@ def block_keys(shingles: np.ndarray, limits: Threshold, boundary: int) -> np.nda
             m = limits.blocks(at)
             block = (shingles >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)  # rises with the shingle
             edge = np.searchsorted(block, np.arange(m + 1, dtype=np.uint64))
-            # Two blocks agree at least. Where at most one is empty the other is
-            # enough, so empty blocks are left out and fill no list.
+            # All blocks agree but those in which the sets differ. Where fewer are empty, one
+            # of the others agrees, so empty blocks are left out and fill no list.
             told = np.diff(edge) > 0
-            if (~told).sum() > 1:
+            if (~told).sum() >= m - limits.differing(at):
                 told[:] = True
             number = np.arange(m, dtype=np.uint64)
             key = _mix(_mix(sums[edge[1:]] - sums[edge[:-1]]) + number * _A + np.uint64(at) * _B)
@@ -252,19 +258,27 @@ def _light_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     return checkpointed(links.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
 
 
+PASSES = 2
+"""Passes over the lists, each over those of some keys, so that fewer lie on disks at once."""
+
+
 def _shared_lists(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """``(key, node, n)`` of the lists with at least two different sets."""
-    listed = sets.where(F.size("_keys") > 0).select("id", F.explode("_keys").alias("key"))
-    # Most lists hold one set: for these nothing but the key is shuffled, and once.
-    shared = checkpointed(listed.groupBy("key").count().where("count > 1").select("key"))
-    release(nodes.sparkSession)
-    named = checkpointed(listed.join(shared, "key").join(nodes, "id").select("key", "node", "n").distinct())
-    # Copies that different tasks have listed are one set by now.
-    several = named.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key")
-    lists = checkpointed(named.join(several, "key"))
-    del named, several, listed, shared
-    release(nodes.sparkSession)
-    return lists
+    found = []
+    for number in range(PASSES):
+        listed = sets.where(F.size("_keys") > 0).select("id", F.explode("_keys").alias("key"))
+        listed = listed.where(F.pmod("key", F.lit(PASSES)) == number)
+        # Most lists hold one set: for these nothing but the key is shuffled, and once.
+        shared = checkpointed(listed.groupBy("key").count().where("count > 1").select("key"))
+        release(nodes.sparkSession)
+        named = checkpointed(listed.join(shared, "key").join(nodes, "id").select("key", "node", "n").distinct())
+        del shared, listed
+        release(nodes.sparkSession)
+        # Copies that different tasks have listed are one set by now.
+        several = named.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key")
+        found.append(checkpointed(named.join(several, "key")))
+        del named, several
+    return reduce(DataFrame.union, found)
 
 
 def _heavy_links(rows: DataFrame, named: DataFrame, on_lists: DataFrame, light: DataFrame, limits: Threshold, width: int) -> DataFrame:
@@ -298,10 +312,14 @@ def _heavy_links(rows: DataFrame, named: DataFrame, on_lists: DataFrame, light:
     apart = apart.select("key", "node", "n", F.coalesce("component", "node").alias("part"))
     mixed = apart.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
     loose = checkpointed(apart.join(mixed, "key").select("node", "n", "part").distinct())
+    del apart, mixed, parts
+    release(rows.sparkSession)
+    loose = checkpointed(_left_over(shingles, loose, limits))
+    release(rows.sparkSession)
 
     lists = _rare_lists(shingles, loose, limits).join(_met(first, hubs), "node", "left").join(shingles.select("node", "parity"), "node")
     lists = checkpointed(lists)
-    del apart, mixed, loose, parts
+    del loose
     release(rows.sparkSession)
     x, y = lists.alias("x"), lists.alias("y")
     across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & _near(limits) & _alike(limits) & ~_too_far(limits) & ~F.arrays_overlap("x.before", "y.before"))
@@ -353,20 +371,45 @@ def _too_far(limits: Threshold) -> Column:
     return F.coalesce(F.exists("x.met", lambda h: F.exists("y.met", lambda g: shows(h, g))), F.lit(False))
 
 
+SHARE = 4
+"""One in so many shingles is looked at first."""
+
+
+def _left_over(shingles: DataFrame, loose: DataFrame, limits: Threshold) -> DataFrame:
+    """``loose`` without the sets that one shingle in ``SHARE``, taken by hash, tells to have
+    no partner: those of them that no other part holds are more than a link leaves out."""
+    some = F.filter("shingles", lambda x: F.pmod(x, F.lit(SHARE)) == 0)
+    seen = shingles.join(loose, "node").select("node", "part", some.alias("some"))
+    held = seen.select("node", "part", F.explode("some").alias("shingle"))
+    both = held.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("shingle")
+    common = held.select("node", "shingle").join(both, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("common"))
+    own = seen.select("node", F.size("some").alias("looked")).join(common, "node", "left")
+    own = own.select("node", (F.col("looked") - F.coalesce("common", F.lit(0))).alias("alone"))
+    return loose.join(own, "node").where(F.col("alone") <= F.col("n") - _least_shared(limits)).drop("alone")
+
+
+def _least_shared(limits: Threshold) -> Column:
+    """Shingles that a set of size ``n`` shares with each of its partners."""
+    return F.ceil(F.lit(limits.percent) * F.col("n") / 100)
+
+
 def _rare_lists(shingles: DataFrame, loose: DataFrame, limits: Threshold) -> DataFrame:
     """``(shingle, node, n, part, before)``: inverted lists of the rarest shingles of
-    each set, so many that two linked sets have one of them in common. Only
-    lists that hold different parts are left."""
-    held = shingles.join(loose, "node").select("node", "n", "part", F.explode("shingles").alias("shingle"))
-    counts = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
-    place = F.row_number().over(Window.partitionBy("node").orderBy("sets", "shingle"))  # a set is one document's
-    rarest = held.join(counts, "shingle").withColumn("place", place)
-    needed = F.col("n") - F.ceil(F.lit(limits.percent) * F.col("n") / 100) + 1
-    rarest = rarest.where((F.col("place") <= needed) & (F.col("sets") > 1)).select("shingle", "node", "n", "part", "sets")
+    each set, so many that two linked sets have one of them in common. Those that one part
+    alone holds come first, and need no list. Only lists that hold different parts are left."""
+    held = shingles.join(loose, "node").select("node", "part", F.explode("shingles").alias("shingle"))
+    counts = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"), F.min("part").alias("p"), F.max("part").alias("q"))
+    counts = counts.where("p <> q").select("shingle", "sets")
+    common = held.select("node", "shingle").join(counts, "shingle").join(loose, "node")
+    own = Window.partitionBy("node")  # a set is one document's
+    rarest = common.withColumn("place", F.row_number().over(own.orderBy("sets", "shingle")))
+    rarest = rarest.withColumn("alone", F.col("n") - F.count(F.lit(1)).over(own))
+    rarest = rarest.where(F.col("alone") + F.col("place") <= F.col("n") - _least_shared(limits) + 1)
+    rarest = rarest.select("shingle", "node", "n", "part", "sets")
     several = rarest.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("shingle")
     listed = rarest.join(several, "shingle")
     # The lists a set is on before this one: two sets are paired on the first that both are on.
-    order = Window.partitionBy("node").orderBy("sets", "shingle")
+    order = own.orderBy("sets", "shingle")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     listed = listed.withColumn("number", F.row_number().over(order))
     before = F.collect_list(F.when(F.col("number") <= BEFORE, F.col("shingle"))).over(earlier)

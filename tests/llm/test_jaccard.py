@@ -121,3 +121,60 @@ def test_components_of_a_chain_and_a_star(spark):
     links = spark.createDataFrame([*chain, *star, (900, 900), (None, 7)], "a long, b long")
     found = {r.id: r.component for r in components(links).collect()}
     assert all(found[i] == 100 for i in range(100, 141)) and all(found[i] == 1 for i in [*range(1, 30), 500]) and found[900] == 900
+
+
+def test_empty_blocks_fill_no_lists():
+    import numpy as np
+
+    limits, draw = jaccard.Threshold(80), np.random.default_rng(3)
+    seen = []
+    for n in [500] * 30 + [90] * 30:  # sets with nothing in common have no list in common
+        x = np.unique(draw.integers(0, 2**64, n, dtype=np.uint64))
+        seen += np.unique(jaccard.block_keys(x, limits, 0)).tolist()
+    assert len(seen) == len(set(seen))
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_have_a_list_in_common(percent):
+    import numpy as np
+
+    limits, draw = jaccard.Threshold(percent), np.random.default_rng(4)
+    for n in [*range(2, 60), *range(60, 3000, 90)]:
+        shift = np.uint64(draw.integers(0, 62))  # hashes that crowd the first blocks leave others empty
+        x = np.unique(draw.integers(0, 2**64, n, dtype=np.uint64) >> shift)
+        more = draw.integers(0, 2**64, limits.largest_partner(x.size) - x.size, dtype=np.uint64)
+        less = x.size - limits.smallest_partner(x.size)
+        for y in (np.union1d(x, more), np.delete(x, draw.choice(x.size, less, replace=False)), np.union1d(x[less // 2 :], more[: less // 2])):
+            shared = np.intersect1d(x, y).size
+            if y.size and 100 * shared >= percent * (x.size + y.size - shared):
+                assert np.intersect1d(jaccard.block_keys(x, limits, 0), jaccard.block_keys(y, limits, 0)).size
+
+
+def test_sets_that_others_hold_too_little_of_need_no_lists(spark):
+    r = random.Random(5)
+    passage, near = [r.getrandbits(62) for _ in range(200)], [r.getrandbits(62) for _ in range(400)]
+    sets = {i: passage + [r.getrandbits(62) for _ in range(3000)] for i in range(5)}  # a passage in common
+    sets |= {10: near, 11: near[:-40] + [1, 2, 3], 12: near[:-30] + passage[:20]}
+    shingles = spark.createDataFrame(list(sets.items()), "node long, shingles array<long>")
+    loose = spark.createDataFrame([(i, len(s), i) for i, s in sets.items()], "node long, n int, part long")
+    limits = jaccard.Threshold(80)
+    left = jaccard._left_over(shingles, loose, limits)
+    assert left.columns == loose.columns and {row.node for row in left.collect()} == {10, 11, 12}
+    listed = jaccard._rare_lists(shingles, loose, limits).collect()
+    assert {row.node for row in listed} == {10, 11, 12} and len(listed) < 200
+    both = {(a, b): {row.shingle for row in listed if row.node == a} & {row.shingle for row in listed if row.node == b} for a, b in ((10, 11), (10, 12), (11, 12))}
+    assert all(both.values())
+    same = loose.withColumn("part", F.lit(1).cast("long"))  # one part has nothing to be scanned
+    assert jaccard._left_over(shingles, same, limits).count() == jaccard._rare_lists(shingles, same, limits).count() == 0
+
+
+def test_release_waits_until_dropped_objects_are_let_go(spark):
+    from quillgrid.llm.common import release
+
+    jvm = spark.sparkContext._jvm
+    for _ in range(5):
+        dropped = jvm.java.util.ArrayList()
+        seen = jvm.java.lang.ref.WeakReference(dropped)
+        del dropped
+        release(spark)
+        assert seen.get() is None

@@ -1,5 +1,6 @@
 import os
 import shutil
+import weakref
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,3 +55,17 @@ def test_an_empty_table_passes_all_stages(spark, docs):
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 14))
+
+
+def test_workers_keep_what_one_stage_needs():
+    from quillgrid.llm.common import once_per_worker
+
+    class Model:
+        pass
+
+    one = once_per_worker(("test", 1, "a"), Model)
+    assert once_per_worker(("test", 1, "b"), Model) is not one and once_per_worker(("test", 1, "a"), Model) is one
+    gone = weakref.ref(one)
+    del one
+    once_per_worker(("test", 2), Model)
+    assert gone() is None
