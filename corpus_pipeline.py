@@ -45,10 +45,9 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and as ``text`` what the ids decode to."""
-    encoded = bpe.encode(docs, tokenizer_path()).drop("text")
-    decoded = bpe.decode(encoded, tokenizer_path(), text_col="text")
+    both = bpe.round_trip(docs, tokenizer_path(), decoded_col="text")
     others = [F.col(f"`{c}`") for c in docs.columns]
-    return decoded.select(*others, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    return both.select(*others, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
 STAGES = [

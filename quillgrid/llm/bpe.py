@@ -321,3 +321,20 @@ def decode(docs: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str
         return [["" if x is None else decoder.decode(x) for x in ids]]
 
     return add_columns(docs, f"`{text_col}` string", ids_col, work)
+
+
+def round_trip(
+    docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded",
+) -> DataFrame:
+    """``encode`` and ``decode`` of what it gives, by one worker in one go: the texts pass
+    to Python once, and half as many workers hold a batch of them."""
+    said, key = _shared(docs, vocabulary)
+
+    def work(texts: list[str | None]) -> list[list]:
+        tables = once_per_worker(("bpe", key, "tables"), lambda: Vocabulary(said.value))
+        decoder = once_per_worker(("bpe", key, "decoder"), lambda: Decoder(said.value))
+        gc.disable()  # millions of strings and no cycles
+        ids = tables.encode([t or "" for t in texts])
+        return [ids, [decoder.decode(x) for x in ids]]
+
+    return add_columns(docs, f"`{ids_col}` array<int>, `{decoded_col}` string", text_col, work)

@@ -100,6 +100,7 @@ def once_per_worker(key: tuple, build: Callable[[], Any]) -> Any:
         store.owner, store.found = key[:2], {}
         gc.enable()  # tasks may have turned it off
         gc.collect()
+        pa.default_memory_pool().release_unused()
     if key not in store.found:
         store.found[key] = build()
     return store.found[key]

@@ -69,3 +69,16 @@ def test_workers_keep_what_one_stage_needs():
     del one
     once_per_worker(("test", 2), Model)
     assert gone() is None
+
+
+def test_tokens_there_and_back_in_one_go(docs):
+    from quillgrid.llm import bpe
+
+    texts = docs(["", None, "Zwei  Wörter\n", "<|endoftext|> a", "x" * 300])
+    path = tokenizer_path()
+    two = bpe.decode(bpe.encode(texts, path), path)
+    one = bpe.round_trip(texts, path)
+    assert one.columns == two.columns and sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    tokens = corpus_pipeline.tokens(one.sparkSession, texts, SF)
+    plan = tokens._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and tokens.columns == [*texts.columns, "n_tokens", "ids"]
