@@ -379,11 +379,11 @@ def _left_over(shingles: DataFrame, loose: DataFrame, limits: Threshold) -> Data
     """``loose`` without the sets that one shingle in ``SHARE``, taken by hash, tells to have
     no partner: those of them that no other part holds are more than a link leaves out."""
     some = F.filter("shingles", lambda x: F.pmod(x, F.lit(SHARE)) == 0)
-    seen = shingles.join(loose, "node").select("node", "part", some.alias("some"))
-    held = seen.select("node", "part", F.explode("some").alias("shingle"))
+    taken = shingles.select("node", some.alias("some"))  # before the join, which moves no others then
+    held = taken.join(loose, "node").select("node", "part", F.explode("some").alias("shingle"))
     both = held.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("shingle")
     common = held.select("node", "shingle").join(both, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("common"))
-    own = seen.select("node", F.size("some").alias("looked")).join(common, "node", "left")
+    own = taken.select("node", F.size("some").alias("looked")).join(common, "node", "left")
     own = own.select("node", (F.col("looked") - F.coalesce("common", F.lit(0))).alias("alone"))
     return loose.join(own, "node").where(F.col("alone") <= F.col("n") - _least_shared(limits)).drop("alone")
 
