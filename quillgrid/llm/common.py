@@ -41,11 +41,19 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+LARGEST_LONG = (1 << 63) - 1
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder that all executors share.
 
     The folder is that of ``spark.checkpoint.dir``. Only a session without one,
     as in tests, gets a temporary folder, and only a local one.
+
+    A checkpoint keeps the size that the optimizer has guessed for its rows. The guess for
+    a join is the product of both sides, so in a chain of joined checkpoints its digits
+    double from step to step, up to megabytes of the driver for one number. A guess beyond
+    any real size is dropped, and Spark's default, the largest long, stands in for it.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -53,7 +61,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
         if root is None and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(root or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    out = df.checkpoint()
+    plan = out._jdf.queryExecution().logical()
+    if plan.stats().sizeInBytes() <= LARGEST_LONG:
+        return out
+    again = df.sparkSession._jsparkSession.internalCreateDataFrame(plan.rdd(), out._jdf.schema(), False)
+    return DataFrame(again, df.sparkSession)
 
 
 LET_GO_S = 10

@@ -178,3 +178,15 @@ def test_release_waits_until_dropped_objects_are_let_go(spark):
         del dropped
         release(spark)
         assert seen.get() is None
+
+
+def test_size_guesses_of_joined_checkpoints_do_not_grow(spark):
+    from quillgrid.llm.common import checkpointed
+
+    odd = F.when(F.col("id") > 1, F.array("id"))
+    first = df = checkpointed(spark.range(3).select("id", odd.alias("list"), F.lit(1).alias("n")))
+    for _ in range(6):
+        df = checkpointed(df.join(df.select("id", F.col("n").alias("more")), "id").select("id", "list", (F.col("n") + F.col("more")).alias("n")))
+    guess = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert guess < 1 << 63  # was 6 times doubled in its digits
+    assert df.schema == first.schema and sorted(df.collect()) == [(0, None, 64), (1, None, 64), (2, [2], 64)]
