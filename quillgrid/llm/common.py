@@ -82,8 +82,11 @@ def release(spark: SparkSession) -> None:
     objects would find that late, and disks of executors would fill meanwhile. What Python
     has dropped is let go by a thread of py4j that looks for it once a second, so this waits
     until that thread has nothing left; the JVM would still find all of it in use otherwise.
+    Spark's listeners hold the last event they were told, and with it the last query, its plan
+    and its shuffles; a job without tasks gives them another.
     """
     gc.collect()
+    spark.sparkContext._jsc.emptyRDD().count()
     dropped, end = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None), time.time() + LET_GO_S
     while dropped and time.time() < end:
         time.sleep(0.02)

@@ -190,3 +190,16 @@ def test_size_guesses_of_joined_checkpoints_do_not_grow(spark):
     guess = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     assert guess < 1 << 63  # was 6 times doubled in its digits
     assert df.schema == first.schema and sorted(df.collect()) == [(0, None, 64), (1, None, 64), (2, [2], 64)]
+
+
+def test_release_lets_go_of_the_last_query(spark):
+    from quillgrid.llm.common import checkpointed, release
+
+    jvm = spark.sparkContext._jvm
+    for _ in range(3):
+        counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        kept = checkpointed(counted)
+        seen = jvm.java.lang.ref.WeakReference(counted._jdf.queryExecution())
+        del counted
+        release(spark)
+        assert seen.get() is None and kept.count() == 7
